@@ -79,7 +79,6 @@ def cumulate_players(spark: SparkSession, sf_dir: str) -> DataFrame:
         "country",
         F.size("seasons").alias("n_seasons"),
         _ids("seasons", "season").alias("season_list"),
-        F.round(F.element_at("seasons", -1)["pts"], 6).alias("last_pts"),
         "scoring_class",
         "is_active",
     )
