@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.operators import activity, cumulate, graph, matches, merge, patterns, scd
 from tallyfold.operators.dedupe import dedupe, dedupe_counted
-from tallyfold.session import scratch_path
+from tallyfold.session import cut_lineage, scratch_path
 from tallyfold.sources import proxy
 from tallyfold.sources.tables import overwrite_into, read_csv, read_table, write_bucketed, write_csv
 
@@ -41,7 +41,9 @@ def _ids(arr_col: str, field: str) -> F.Column:
 def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     af = proxy.actor_films(spark, sf_dir)
     y = _max_year(spark, sf_dir)
-    back = cumulate.actors_backfill(af, y - 1)
+    # The backfill is written once (reliable checkpoint in the shared folder)
+    # and read by both the result and the increment, like a snapshot table.
+    back = cut_lineage(cumulate.actors_backfill(af, y - 1))
     inc = cumulate.cumulate_actors(back, af, y)
     return back.unionByName(inc), y
 
@@ -49,7 +51,7 @@ def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     ps = proxy.player_seasons(spark, sf_dir)
     s = _max_year(spark, sf_dir)
-    back = cumulate.players_backfill(ps, s - 1)
+    back = cut_lineage(cumulate.players_backfill(ps, s - 1))
     inc = cumulate.cumulate_players(back, ps, s)
     return back.unionByName(inc), s
 
@@ -192,7 +194,7 @@ def _monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.
     ev = proxy.clean_events(spark, sf_dir)
     d = _max_day(spark, sf_dir)
     month = d.replace(day=1)
-    back = activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key) if d.day > 1 else None
+    back = cut_lineage(activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key)) if d.day > 1 else None
     inc = activity.reduce_monthly(back, ev, d, key)
     if back is None:
         return inc, d
@@ -236,7 +238,7 @@ def positional_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, s = _player_snapshots(spark, sf_dir)
     actives = cumulate.first_by_history(snaps)
-    back = activity.states_backfill(actives, s - 1)
+    back = cut_lineage(activity.states_backfill(actives, s - 1))
     inc = activity.track_states(back, actives, s)
     allrows = back.unionByName(inc)
     return allrows.select(
@@ -295,7 +297,16 @@ def broadcast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUCKETS = 16
 
 
+_LAYOUTS: dict[tuple[str, str], list[str]] = {}
+
+
 def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three match tables bucketed on match_id, written once per session
+    and data folder (a layout step), then shared by the match questions."""
+    ident = (spark.sparkContext.applicationId, sf_dir)
+    names = _LAYOUTS.get(ident)
+    if names and all(spark.catalog.tableExists(n) for n in names):
+        return tuple(spark.table(n) for n in names)  # type: ignore[return-value]
     tag = uuid.uuid4().hex[:10]
     out = []
     for name, df in (
@@ -305,6 +316,7 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
     ):
         table = f"{name}_bucketed_{tag}"
         out.append(write_bucketed(df, table, "match_id", BUCKETS, path=scratch_path(spark, f"bucketed/{table}", unique=False)))
+    _LAYOUTS[ident] = [f"{n}_bucketed_{tag}" for n in ("match_details", "matches", "medal_matches_players")]
     return out[0], out[1], out[2]
 
 

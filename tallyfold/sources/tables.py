@@ -71,6 +71,11 @@ def write_bucketed(
     Returns the table as read back from the catalog.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    # Same hash and modulus as bucketing: each write task receives exactly one
+    # bucket and writes one file, instead of every task writing n_buckets
+    # small files.  Size n_buckets to the data (a bucket should be a few
+    # hundred MB): 16 suits the test scale, a 100 TB table wants thousands.
+    df = df.repartition(n_buckets, *keys)
     writer = df.write.format("parquet").mode("overwrite").bucketBy(n_buckets, *keys)
     if sort:
         writer = writer.sortBy(*keys)
