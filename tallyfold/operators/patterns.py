@@ -16,10 +16,17 @@ LEVELS = {3: "player_team", 5: "player_season", 10: "team_home_wins"}
 def points_grouping_sets(game_details: DataFrame, games: DataFrame) -> DataFrame:
     """Points and home-win rows by (player, team), (player, season) and
     (team, home win) in one scan (Expand + one hash aggregate).  Rolled-up
-    keys stay NULL; ``agg_level`` names the set."""
-    g = games.select("game_id", "season", "home_team_wins")
-    j = game_details.select("game_id", "player_id", "team_id", "pts").join(g, "game_id")
-    j = j.withColumn("game_won", F.col("home_team_wins"))
+    keys stay NULL; ``agg_level`` names the set.
+
+    Detail rows are first summed per (game, player, team), a map-side
+    combinable aggregate, so a game with a huge number of rows reaches the
+    join with games as one row per player and team.
+    """
+    pre = game_details.groupBy("game_id", "player_id", "team_id").agg(
+        F.sum("pts").alias("pts"), F.count(F.lit(1)).alias("n_rows")
+    )
+    g = games.select("game_id", "season", F.col("home_team_wins").alias("game_won"))
+    j = pre.join(g, "game_id")
     agg = j.groupingSets(
         [["player_id", "team_id"], ["player_id", "season"], ["team_id", "game_won"]],
         "player_id",
@@ -28,7 +35,7 @@ def points_grouping_sets(game_details: DataFrame, games: DataFrame) -> DataFrame
         "game_won",
     ).agg(
         F.sum("pts").alias("sum_points"),
-        F.count(F.when(F.col("home_team_wins") == 1, F.lit(1))).alias("home_team_wins"),
+        F.sum(F.when(F.col("game_won") == 1, F.col("n_rows")).otherwise(F.lit(0))).cast("bigint").alias("home_team_wins"),
         F.grouping_id().alias("_gid"),
     )
     level = F.element_at(F.create_map(*[x for k, v in LEVELS.items() for x in (F.lit(k), F.lit(v))]), F.col("_gid"))
