@@ -137,6 +137,13 @@ gs AS (
 
 MATCHED = "o_orderkey IN (SELECT l_orderkey FROM lineitem)"
 
+JOINED = """
+j AS (
+  SELECT d.l_orderkey AS match_id, d.l_suppkey AS player_gamertag, d.l_quantity AS player_total_kills,
+         o.o_orderpriority AS mapid, o.o_orderstatus AS playlist_id, m.l_returnflag AS medal_id
+  FROM lineitem d JOIN orders o ON d.l_orderkey = o.o_orderkey JOIN lineitem m ON m.l_orderkey = d.l_orderkey)
+"""
+
 
 def _props(names: list[tuple[str, str]]) -> str:
     return "\nUNION ALL\n".join(
@@ -291,6 +298,16 @@ SELECT o_orderpriority AS mapid, count(*) AS map_count FROM orders WHERE {MATCHE
 SELECT o.o_orderpriority AS mapid, count(*) AS medal_count
 FROM lineitem m JOIN orders o ON m.l_orderkey = o.o_orderkey
 WHERE m.l_returnflag = 'R' GROUP BY 1 ORDER BY medal_count DESC, mapid LIMIT 1""",
+    "avg_kills_joined_rows": f"""
+WITH {{JOINED}}
+SELECT player_gamertag, avg(player_total_kills) AS avg_kills FROM j
+GROUP BY 1 ORDER BY avg_kills DESC, player_gamertag LIMIT 1""",
+    "playlist_joined_rows": f"WITH {{JOINED}} SELECT playlist_id, count(*) AS playlist_counter FROM j GROUP BY 1",
+    "map_joined_rows": f"WITH {{JOINED}} SELECT mapid, count(*) AS map_count FROM j GROUP BY 1",
+    "medal_map_joined_rows": f"""
+WITH {{JOINED}}
+SELECT mapid, count(*) AS killing_spree_count FROM j WHERE medal_id = 'R'
+GROUP BY 1 ORDER BY killing_spree_count DESC, mapid LIMIT 1""",
     "sorted_layout": "SELECT o_orderkey AS match_id, o_orderpriority AS mapid, o_orderstatus AS playlist_id FROM orders",
     "upsert_roundtrip": """
 WITH u AS (
@@ -318,3 +335,4 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 }
 
 SQL["scd2_incremental"] = SQL["scd2_backfill_two"]
+SQL = {k: v.replace("{JOINED}", JOINED) for k, v in SQL.items()}

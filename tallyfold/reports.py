@@ -27,11 +27,13 @@ from tallyfold.sources.tables import overwrite_into, read_csv, read_table, write
 
 
 def _max_year(spark: SparkSession, sf_dir: str) -> int:
-    return read_table(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).first()[0]
+    """Latest period of the facts: a plain column max (answerable from parquet
+    footers when aggregate pushdown is on); production passes the run date."""
+    return read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0].year
 
 
 def _max_day(spark: SparkSession, sf_dir: str) -> dt.date:
-    return read_table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+    return read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0].date()
 
 
 def _ids(arr_col: str, field: str) -> F.Column:
@@ -349,6 +351,30 @@ def top_medal_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.map_with_most_medal(d, m, med, MEDAL)
 
 
+def avg_kills_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O23 as the reference weighs it: over the rows of the three-way join."""
+    d, m, med = _bucketed(spark, sf_dir)
+    return matches.fanout_avg_kills(d, m, med).limit(1)
+
+
+def playlist_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O24 as the reference counts it: joined rows per playlist."""
+    d, m, med = _bucketed(spark, sf_dir)
+    return matches.fanout_counts(d, m, med, "playlist_id", "playlist_counter")
+
+
+def map_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O25 as the reference counts it: joined rows per map."""
+    d, m, med = _bucketed(spark, sf_dir)
+    return matches.fanout_counts(d, m, med, "mapid", "map_count")
+
+
+def medal_map_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O26 as the reference counts it: joined rows of one medal per map."""
+    d, m, med = _bucketed(spark, sf_dir)
+    return matches.fanout_counts(d, m, med, "mapid", "killing_spree_count", medal_id=MEDAL).limit(1)
+
+
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.sort_within(proxy.matches(spark, sf_dir), "mapid", BUCKETS)
 
@@ -444,6 +470,10 @@ QUERIES = {
     "top_playlist": top_playlist,
     "top_map": top_map,
     "top_medal_map": top_medal_map,
+    "avg_kills_joined_rows": avg_kills_joined_rows,
+    "playlist_joined_rows": playlist_joined_rows,
+    "map_joined_rows": map_joined_rows,
+    "medal_map_joined_rows": medal_map_joined_rows,
     "sorted_layout": sorted_layout,
     "upsert_roundtrip": upsert_roundtrip,
     "overwrite_roundtrip": overwrite_roundtrip,
