@@ -47,7 +47,7 @@ def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     # and read by both the result and the increment, like a snapshot table.
     back = cut_lineage(cumulate.actors_backfill(af, y - 1))
     inc = cumulate.cumulate_actors(back, af, y)
-    return back.unionByName(inc), y
+    return schemas.check_enums(back.unionByName(inc), "actors"), y
 
 
 def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
@@ -55,7 +55,7 @@ def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]
     s = _max_year(spark, sf_dir)
     back = cut_lineage(cumulate.players_backfill(ps, s - 1))
     inc = cumulate.cumulate_players(back, ps, s)
-    return back.unionByName(inc), s
+    return schemas.check_enums(back.unionByName(inc), "players"), s
 
 
 # ---------------------------------------------------------------- O1 O2 O14

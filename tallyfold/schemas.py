@@ -6,7 +6,8 @@ partition p-1 (partition pruning) and overwrites partition p.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -127,6 +128,19 @@ TEAM_VERTEX = StructType(
     ]
 )
 
+# Column comments written into the DDL.
+COLUMN_COMMENTS: dict[str, dict[str, str]] = {
+    "actors": {"quality_class": "class of the average film rating in the latest active year"},
+    "actors_history_scd": {"end_year": "last year of the streak; rows of current streaks end at current_year"},
+}
+
+# Columns restricted to a fixed set of labels (the reference's enum types).
+ENUM_COLUMNS: dict[str, dict[str, tuple[str, ...]]] = {
+    "actors": {"quality_class": QUALITY_CLASSES},
+    "actors_history_scd": {"quality_class": QUALITY_CLASSES},
+    "players": {"scoring_class": SCORING_CLASSES},
+}
+
 # table name -> (schema, partition columns, comment)
 TABLES: dict[str, tuple[StructType, tuple[str, ...], str]] = {
     "actors": (ACTORS, ("current_year",), "Yearly cumulative snapshot of actors with their film history"),
@@ -146,9 +160,13 @@ def ddl(name: str, location: str | None = None, table_name: str | None = None) -
     data_cols = [f for f in schema.fields if f.name not in parts]
     part_cols = [schema[p] for p in parts]
     schema = StructType(data_cols + part_cols)
-    cols = ",\n  ".join(
-        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
-    )
+    notes = COLUMN_COMMENTS.get(name, {})
+
+    def col(f):
+        text = f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
+        return text + (f" COMMENT '{notes[f.name]}'" if f.name in notes else "")
+
+    cols = ",\n  ".join(col(f) for f in schema.fields)
     text = f"CREATE TABLE IF NOT EXISTS {table_name or name} (\n  {cols}\n) USING parquet"
     if parts:
         text += f"\nPARTITIONED BY ({', '.join(parts)})"
@@ -157,6 +175,19 @@ def ddl(name: str, location: str | None = None, table_name: str | None = None) -
     return text + f"\nCOMMENT '{comment}'"
 
 
+def check_enums(df: DataFrame, name: str) -> DataFrame:
+    """Fail the job (``raise_error``) on a label outside the allowed set of
+    an enum column; NULL passes.  A native expression, evaluated per row in
+    the same stage."""
+    out = df
+    for c, allowed in ENUM_COLUMNS.get(name, {}).items():
+        if c in df.columns:
+            bad = F.col(c).isNotNull() & ~F.col(c).isin(*allowed)
+            msg = F.concat(F.lit(f"{name}.{c}: label not in {list(allowed)}: "), F.col(c))
+            out = out.withColumn(c, F.when(bad, F.raise_error(msg)).otherwise(F.col(c)))
+    return out
+
+
 def define_table(spark: SparkSession, name: str, location: str | None = None, table_name: str | None = None) -> str:
     """Create the table (if absent); returns its name."""
     spark.sql(ddl(name, location, table_name))

@@ -140,3 +140,47 @@ def test_states_return_from_retirement(spark):
     assert got == [(1, "New"), (2, "Retired"), (3, "Stayed Retired"), (4, "Returned from Retirement"), (5, "Retired")]
     folded = fold_periods(lambda prev, s: activity.track_states(prev, act, s), range(1, 6))
     assert [(r.season, r.activity_state) for r in folded.collect()] == [(5, "Retired")]
+
+
+def test_enum_check_rejects_unknown_label(spark):
+    from tallyfold.schemas import check_enums
+
+    ok = spark.createDataFrame([("star",), (None,)], "quality_class string")
+    assert check_enums(ok, "actors").count() == 2
+    bad = spark.createDataFrame([("superb",)], "quality_class string")
+    with pytest.raises(Exception, match="label not in"):
+        check_enums(bad, "actors").collect()
+
+
+def test_ddl_has_partitions_and_comments():
+    from tallyfold.schemas import ddl
+
+    text = ddl("actors")
+    assert "PARTITIONED BY (current_year)" in text
+    assert "COMMENT 'class of the average film rating" in text
+    assert text.index("`current_year`") > text.index("`is_active`")  # partition column last
+
+
+def test_read_csv_explicit_and_inferred(spark, tmp_path):
+    from tallyfold.sources.tables import read_csv, write_csv
+
+    df = spark.createDataFrame([(1, "a", 2.5), (2, "b", None)], "id bigint, s string, x double")
+    path = str(tmp_path / "t")
+    write_csv(df, path)
+    assert rows(read_csv(spark, path, schema="id bigint, s string, x double")) == rows(df)
+    inferred = read_csv(spark, path, infer=True)
+    assert [f.dataType.simpleString() for f in inferred.schema.fields] == ["int", "string", "double"]
+    assert [f.dataType.simpleString() for f in read_csv(spark, path).schema.fields] == ["string"] * 3
+
+
+def test_sort_within_clusters_by_column(spark):
+    from tallyfold.operators.matches import sort_within
+    from tallyfold.plans.explain import plan_text
+
+    df = spark.createDataFrame([(i, f"m{i % 3}") for i in range(30)], "match_id bigint, mapid string")
+    out = sort_within(df, "mapid", 4)
+    text = plan_text(out, "simple")
+    assert "hashpartitioning(mapid" in text and "Sort [mapid" in text
+    for part in out.rdd.glom().collect():
+        keys = [r.mapid for r in part]
+        assert keys == sorted(keys)
