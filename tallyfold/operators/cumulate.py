@@ -200,11 +200,15 @@ def _up_to(day: dt.date) -> Column:
     return F.col("event_time") < end
 
 
-def user_browser_days(events: DataFrame, devices: DataFrame, day_filter: Column) -> DataFrame:
-    """Distinct (user_id, browser_type, day) of deduplicated events."""
+def _user_browser_rows(events: DataFrame, devices: DataFrame, day_filter: Column) -> DataFrame:
     ev = events.where(day_filter).select("user_id", "device_id", F.to_date("event_time").alias("day"))
     dev = devices.select("device_id", "browser_type").distinct()
-    return join_small(ev, dev, "device_id").select("user_id", "browser_type", "day").distinct()
+    return join_small(ev, dev, "device_id").select("user_id", "browser_type", "day")
+
+
+def user_browser_days(events: DataFrame, devices: DataFrame, day_filter: Column) -> DataFrame:
+    """Distinct (user_id, browser_type, day) of deduplicated events."""
+    return _user_browser_rows(events, devices, day_filter).distinct()
 
 
 def cumulate_user_devices(prev: DataFrame | None, events: DataFrame, devices: DataFrame, day: dt.date) -> DataFrame:
@@ -233,10 +237,12 @@ def cumulate_user_devices(prev: DataFrame | None, events: DataFrame, devices: Da
 
 
 def user_devices_backfill(events: DataFrame, devices: DataFrame, as_of: dt.date) -> DataFrame:
-    """O8 closed form: snapshot as of ``as_of`` in one aggregation."""
-    days = user_browser_days(events, devices, _up_to(as_of))
+    """O8 closed form: snapshot as of ``as_of`` in one aggregation.  The
+    day set is built map-side (partial ``collect_set``), so one shuffle of at
+    most one row per key, day and task."""
+    days = _user_browser_rows(events, devices, _up_to(as_of))
     return days.groupBy("user_id", "browser_type").agg(
-        F.array_sort(F.collect_list("day")).alias("device_activity_datelist"),
+        F.array_sort(F.collect_set("day")).alias("device_activity_datelist"),
         F.lit(as_of).alias("date"),
     )
 
@@ -264,8 +270,8 @@ def cumulate_hosts(prev: DataFrame | None, events: DataFrame, day: dt.date) -> D
 
 
 def hosts_backfill(events: DataFrame, as_of: dt.date) -> DataFrame:
-    days = host_days(events, _up_to(as_of))
+    days = events.where(_up_to(as_of) & F.col("host").isNotNull()).select("host", F.to_date("event_time").alias("day"))
     return days.groupBy(F.col("host").alias("host_name")).agg(
-        F.array_sort(F.collect_list("day")).alias("host_activity_datelist"),
+        F.array_sort(F.collect_set("day")).alias("host_activity_datelist"),
         F.lit(as_of).alias("date"),
     )
