@@ -187,17 +187,19 @@ def first_by_history_grouped(players: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+def _midnight(day: dt.date) -> Column:
+    # From text, so no session or process time zone can shift the bound.
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def _day_bounds(day: dt.date) -> Column:
     """Rows whose ``event_time`` falls on ``day``: a range on the raw column,
     so the predicate reaches the parquet scan."""
-    start = F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
-    end = F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
-    return (F.col("event_time") >= start) & (F.col("event_time") < end)
+    return (F.col("event_time") >= _midnight(day)) & (F.col("event_time") < _midnight(day + dt.timedelta(days=1)))
 
 
 def _up_to(day: dt.date) -> Column:
-    end = F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
-    return F.col("event_time") < end
+    return F.col("event_time") < _midnight(day + dt.timedelta(days=1))
 
 
 def _user_browser_rows(events: DataFrame, devices: DataFrame, day_filter: Column) -> DataFrame:

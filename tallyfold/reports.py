@@ -26,14 +26,25 @@ from tallyfold.sources.tables import overwrite_into, read_csv, read_table, write
 # ---------------------------------------------------------------- helpers
 
 
+_LATEST: dict[tuple[str, str, str], object] = {}
+
+
+def _latest(spark: SparkSession, sf_dir: str, table: str, col: str):
+    """Latest value of a time column: a plain column max (answerable from
+    parquet footers when aggregate pushdown is on), looked up once per
+    session and read-only data folder.  Production passes the run date."""
+    ident = (spark.sparkContext.applicationId, sf_dir, f"{table}.{col}")
+    if ident not in _LATEST:
+        _LATEST[ident] = read_table(spark, sf_dir, table).agg(F.max(col)).first()[0]
+    return _LATEST[ident]
+
+
 def _max_year(spark: SparkSession, sf_dir: str) -> int:
-    """Latest period of the facts: a plain column max (answerable from parquet
-    footers when aggregate pushdown is on); production passes the run date."""
-    return read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0].year
+    return _latest(spark, sf_dir, "orders", "o_orderdate").year
 
 
 def _max_day(spark: SparkSession, sf_dir: str) -> dt.date:
-    return read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0].date()
+    return _latest(spark, sf_dir, "events", "ts").date()
 
 
 def _ids(arr_col: str, field: str) -> F.Column:
