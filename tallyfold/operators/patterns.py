@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.dedupe import dedupe
 from tallyfold.plans.sequence import sequence_positions
+from tallyfold.session import cut_lineage
 
 # Fixed level names for grouping_id() over (player_id, team_id, season, game_won).
 LEVELS = {3: "player_team", 5: "player_season", 10: "team_home_wins"}
@@ -91,8 +92,9 @@ def rolling_wins(tg: DataFrame, stretch: int = 90) -> DataFrame:
     (ordered by date, then game id).  Computed as running-sum differences
     ``wins(i) - wins(i - stretch)`` from skew-safe positions, so a team with
     a huge schedule is split over many tasks."""
-    seq = sequence_positions(tg, ["team_id"], ["game_date", "game_id"], sums=["won"])
-    cur = seq.select("team_id", "_pos", "won_cum")
+    # Positions are read twice (current row and row - stretch): write once.
+    seq = cut_lineage(sequence_positions(tg, ["team_id"], ["game_date", "game_id"], sums=["won"]).select("team_id", "_pos", "won_cum"))
+    cur = seq
     lagged = seq.select("team_id", (F.col("_pos") + stretch).alias("_pos"), F.col("won_cum").alias("_won_before"))
     j = cur.join(lagged, ["team_id", "_pos"], "left")
     window_wins = F.col("won_cum") - F.coalesce("_won_before", F.lit(0))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.operators import activity, cumulate, graph, matches, merge, patterns, scd
 from tallyfold.operators.dedupe import dedupe, dedupe_counted
-from tallyfold.session import cut_lineage, scratch_path
+from tallyfold.session import materialize, scratch_path
 from tallyfold.sources import proxy
 from tallyfold.sources.tables import overwrite_into, read_csv, read_table, write_bucketed, write_csv
 
@@ -54,9 +54,9 @@ def _ids(arr_col: str, field: str) -> F.Column:
 def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     af = proxy.actor_films(spark, sf_dir)
     y = _max_year(spark, sf_dir)
-    # The backfill is written once (reliable checkpoint in the shared folder)
-    # and read by both the result and the increment, like a snapshot table.
-    back = cut_lineage(cumulate.actors_backfill(af, y - 1))
+    # The backfill is written once as a period-partitioned snapshot table in
+    # the shared folder; the increment reads only partition y-1 of it.
+    back = materialize(cumulate.actors_backfill(af, y - 1), "snapshots/actors", ["current_year"])
     inc = cumulate.cumulate_actors(back, af, y)
     return schemas.check_enums(back.unionByName(inc), "actors"), y
 
@@ -64,7 +64,7 @@ def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     ps = proxy.player_seasons(spark, sf_dir)
     s = _max_year(spark, sf_dir)
-    back = cut_lineage(cumulate.players_backfill(ps, s - 1))
+    back = materialize(cumulate.players_backfill(ps, s - 1), "snapshots/players", ["current_season"])
     inc = cumulate.cumulate_players(back, ps, s)
     return schemas.check_enums(back.unionByName(inc), "players"), s
 
@@ -140,14 +140,18 @@ def scd2_backfill_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, y = _actor_snapshots(spark, sf_dir)
     kw = dict(carry=["actor"], start_col="start_year", end_col="end_year")
-    prev = scd.scd2_backfill(
-        snaps.where(F.col("current_year") < y),
-        ["actorid"],
-        "current_year",
-        ["quality_class", "is_active"],
-        as_of=y - 1,
-        as_of_col="current_year",
-        **kw,
+    # Last year's SCD, as the incremental job finds it: a written table.
+    prev = materialize(
+        scd.scd2_backfill(
+            snaps.where(F.col("current_year") < y),
+            ["actorid"],
+            "current_year",
+            ["quality_class", "is_active"],
+            as_of=y - 1,
+            as_of_col="current_year",
+            **kw,
+        ),
+        "scd/actors_history_scd",
     )
     return scd.scd2_incremental(
         prev, snaps, y, ["actorid"], "current_year", ["quality_class", "is_active"], as_of_col="current_year", **kw
@@ -207,7 +211,11 @@ def _monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.
     ev = proxy.clean_events(spark, sf_dir)
     d = _max_day(spark, sf_dir)
     month = d.replace(day=1)
-    back = cut_lineage(activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key)) if d.day > 1 else None
+    back = (
+        materialize(activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key), f"snapshots/monthly_{key}", ["month_start"])
+        if d.day > 1
+        else None
+    )
     inc = activity.reduce_monthly(back, ev, d, key)
     if back is None:
         return inc, d
@@ -251,7 +259,7 @@ def positional_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, s = _player_snapshots(spark, sf_dir)
     actives = cumulate.first_by_history(snaps)
-    back = cut_lineage(activity.states_backfill(actives, s - 1))
+    back = materialize(activity.states_backfill(actives, s - 1), "snapshots/players_growth", ["season"])
     inc = activity.track_states(back, actives, s)
     allrows = back.unionByName(inc)
     return allrows.select(

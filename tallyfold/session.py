@@ -54,3 +54,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if checkpoint_dir(spark) is None:
         return df
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as a parquet table below the shared folder and return it
+    read back: the lineage is cut (a lost executor re-reads files instead of
+    recomputing), and a table partitioned by its period lets later period
+    filters prune whole partitions."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
