@@ -24,6 +24,7 @@ def scd2_backfill(
     start_col: str = "start_period",
     end_col: str = "end_period",
     as_of_col: str | None = "current_period",
+    break_on_gap: bool = False,
 ) -> DataFrame:
     """Gaps-and-islands over periodic snapshots.
 
@@ -32,6 +33,8 @@ def scd2_backfill(
     starts numbers the streaks; each streak becomes one row with its first
     and last period.  ``carry`` columns take the streak's earliest value;
     ``as_of_col`` (if given) is the latest period of the whole table.
+    Missing periods do not split a streak unless ``break_on_gap`` is set
+    (integer periods: a jump of more than one starts a new streak).
 
     Snapshot tables hold one row per key and period, so a key's window is
     bounded by the number of periods.  One exchange on the key serves the
@@ -42,7 +45,10 @@ def scd2_backfill(
         as_of = snapshots.agg(F.max(period)).first()[0]
     w = Window.partitionBy(*keys).orderBy(period)
     prev = [F.lag(a).over(w) for a in attrs]
-    starts = F.lag(period).over(w).isNull() | ~_same([F.col(a) for a in attrs], prev)
+    prev_period = F.lag(period).over(w)
+    starts = prev_period.isNull() | ~_same([F.col(a) for a in attrs], prev)
+    if break_on_gap:
+        starts = starts | (F.col(period) - prev_period > 1)
     flagged = snapshots.select(*keys, period, *attrs, *carry, F.when(starts, 1).otherwise(0).alias("_start"))
     streaks = flagged.withColumn("_streak", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = streaks.groupBy(*keys, "_streak", *attrs).agg(

@@ -184,3 +184,11 @@ def test_sort_within_clusters_by_column(spark):
     for part in out.rdd.glom().collect():
         keys = [r.mapid for r in part]
         assert keys == sorted(keys)
+
+
+def test_scd_gap_kept_by_default_split_on_request(spark):
+    snaps = spark.createDataFrame([("a", 1, "good"), ("a", 2, "good"), ("a", 5, "good")], "k string, p int, c string")
+    joined = scd.scd2_backfill(snaps, ["k"], "p", ["c"], as_of_col=None)
+    assert rows(joined) == [("a", "good", 1, 5)]
+    split = scd.scd2_backfill(snaps, ["k"], "p", ["c"], as_of_col=None, break_on_gap=True)
+    assert rows(split) == [("a", "good", 1, 2), ("a", "good", 5, 5)]
