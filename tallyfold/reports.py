@@ -52,20 +52,24 @@ def _ids(arr_col: str, field: str) -> F.Column:
 
 
 def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    af = proxy.actor_films(spark, sf_dir)
     y = _max_year(spark, sf_dir)
     # The backfill is written once as a period-partitioned snapshot table in
-    # the shared folder; the increment reads only partition y-1 of it.
-    back = materialize(cumulate.actors_backfill(af, y - 1), "snapshots/actors", ["current_year"])
-    inc = cumulate.cumulate_actors(back, af, y)
+    # the shared folder; the increment reads only partition y-1 of it.  Each
+    # side reads only its years of facts (range pushed to the scan).
+    back_facts = proxy.actor_films(spark, sf_dir, last=y - 1)
+    back = materialize(cumulate.actors_backfill(back_facts, y - 1), "snapshots/actors", ["current_year"])
+    inc = cumulate.cumulate_actors(back, proxy.actor_films(spark, sf_dir, first=y, last=y), y)
     return schemas.check_enums(back.unionByName(inc), "actors"), y
 
 
 def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    ps = proxy.player_seasons(spark, sf_dir)
     s = _max_year(spark, sf_dir)
-    back = materialize(cumulate.players_backfill(ps, s - 1), "snapshots/players", ["current_season"])
-    inc = cumulate.cumulate_players(back, ps, s)
+    back = materialize(
+        cumulate.players_backfill(proxy.player_seasons(spark, sf_dir, last=s - 1), s - 1),
+        "snapshots/players",
+        ["current_season"],
+    )
+    inc = cumulate.cumulate_players(back, proxy.player_seasons(spark, sf_dir, first=s, last=s), s)
     return schemas.check_enums(back.unionByName(inc), "players"), s
 
 

@@ -17,9 +17,19 @@ from tallyfold.sources.tables import read_table
 BROWSERS = ("Chrome", "Firefox", "Safari", "Edge")
 
 
-def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _years(df: DataFrame, col: str, first: int | None, last: int | None) -> DataFrame:
+    """Restrict to years ``first..last`` with a range on the raw timestamp, a
+    predicate the parquet scan can use (``year(ts) = y`` is not pushed)."""
+    if first is not None:
+        df = df.where(F.col(col) >= F.lit(f"{first:04d}-01-01 00:00:00").cast("timestamp_ntz"))
+    if last is not None:
+        df = df.where(F.col(col) < F.lit(f"{last + 1:04d}-01-01 00:00:00").cast("timestamp_ntz"))
+    return df
+
+
+def actor_films(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """actor_films(actor, actorid, film, year, votes, rating, filmid) from orders."""
-    o = read_table(spark, sf_dir, "orders")
+    o = _years(read_table(spark, sf_dir, "orders"), "o_orderdate", first, last)
     return o.select(
         F.concat(F.lit("Actor#"), F.col("o_custkey").cast("string")).alias("actor"),
         F.col("o_custkey").cast("string").alias("actorid"),
@@ -31,9 +41,9 @@ def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def player_seasons(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """player_seasons: one row per (customer, order year)."""
-    o = read_table(spark, sf_dir, "orders")
+    o = _years(read_table(spark, sf_dir, "orders"), "o_orderdate", first, last)
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     per_year = o.groupBy("o_custkey", F.year("o_orderdate").alias("season")).agg(
