@@ -277,3 +277,14 @@ def hosts_backfill(events: DataFrame, as_of: dt.date) -> DataFrame:
         F.array_sort(F.collect_set("day")).alias("host_activity_datelist"),
         F.lit(as_of).alias("date"),
     )
+
+
+def user_devices_as_map(snapshot: DataFrame) -> DataFrame:
+    """The other layout the date-list spec allows: one row per user with a
+    ``map<browser_type, array<date>>``.  A user's row holds one entry per
+    browser, so it is bounded by the number of browsers."""
+    return snapshot.groupBy("user_id", "date").agg(
+        F.map_from_entries(F.collect_list(F.struct("browser_type", "device_activity_datelist"))).alias(
+            "device_activity_datelist"
+        )
+    )

@@ -192,3 +192,13 @@ def test_scd_gap_kept_by_default_split_on_request(spark):
     assert rows(joined) == [("a", "good", 1, 5)]
     split = scd.scd2_backfill(snaps, ["k"], "p", ["c"], as_of_col=None, break_on_gap=True)
     assert rows(split) == [("a", "good", 1, 2), ("a", "good", 5, 5)]
+
+
+def test_user_devices_map_layout(spark):
+    snap = spark.createDataFrame(
+        [(1, "Chrome", [D(2024, 1, 9)], D(2024, 1, 10)), (1, "Safari", [D(2024, 1, 10)], D(2024, 1, 10))],
+        "user_id bigint, browser_type string, device_activity_datelist array<date>, date date",
+    )
+    out = cumulate.user_devices_as_map(snap).collect()
+    assert len(out) == 1
+    assert out[0].device_activity_datelist == {"Chrome": [D(2024, 1, 9)], "Safari": [D(2024, 1, 10)]}
