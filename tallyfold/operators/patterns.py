@@ -46,8 +46,12 @@ def points_grouping_sets(game_details: DataFrame, games: DataFrame) -> DataFrame
 
 
 def season_rolled_up(gs: DataFrame) -> DataFrame:
-    """The reference's final selection: every level without a season."""
-    return gs.where(F.col("agg_level") != F.lit("player_season"))
+    """The reference's final selection: every level without a season, most
+    points first (ties in a fixed order).  The filter on the level reaches
+    the Expand, so the dropped level is never aggregated."""
+    return gs.where(F.col("agg_level") != F.lit("player_season")).orderBy(
+        F.desc("sum_points"), "agg_level", "player_id", "team_id", "game_won"
+    )
 
 
 def top_scorer_for_team(gs: DataFrame) -> DataFrame:
