@@ -46,9 +46,13 @@ def dedupe_counted(
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else rest
     carried = [c for c in rest if c not in order]
+    # Order columns first (they decide the minimum), then the rest.
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + [F.col(c) for c in carried]
     agg = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_w"), F.count(F.lit(1)).alias(count_col))
-    out = [F.col(k) for k in keys]
-    for c in rest:
-        out.append(F.col(f"_w._o{order.index(c)}").alias(c) if c in order else F.col(f"_w.{c}").alias(c))
-    return agg.select(*[F.col(c) for c in keys], *out[len(keys):], count_col).select(*df.columns, count_col)
+
+    def out(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        return F.col(f"_w._o{order.index(c)}" if c in order else f"_w.{c}").alias(c)
+
+    return agg.select(*[out(c) for c in df.columns], count_col)

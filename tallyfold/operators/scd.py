@@ -92,7 +92,7 @@ def scd2_incremental(
     cond = reduce(lambda x, y: x & y, [F.col(f"o.{k}") == F.col(f"s.{k}") for k in keys])
     j = open_rows.join(snap, cond, "full_outer")
 
-    o_present = F.col(f"o.{keys[0]}").isNotNull() if len(keys) == 1 else F.col(f"o.{start_col}").isNotNull()
+    o_present = F.col(f"o.{start_col}").isNotNull()  # every SCD row has a start
     s_present = reduce(lambda x, y: x | y, [F.col(f"s.{k}").isNotNull() for k in keys])
     same = _same([F.col(f"o.{a}") for a in attrs], [F.col(f"s.{a}") for a in attrs])
     pv = F.lit(period_value).cast(scd_prev.schema[start_col].dataType)
