@@ -16,6 +16,7 @@ from tallyfold.operators.activity import positional_sums
 from tallyfold.operators.dedupe import dedupe_counted
 from tallyfold.operators.graph import team_vertex
 from tallyfold.operators.scd import scd2_backfill
+from tallyfold.session import scoped_conf
 
 
 def player_scd_transformation(spark: SparkSession, dataframe: DataFrame) -> DataFrame:
@@ -62,4 +63,6 @@ def run(spark: SparkSession, job: str, source_table: str, target_table: str, **p
     :func:`tallyfold.schemas.ddl`)."""
     out = TRANSFORMS[job](spark, spark.table(source_table), **params)
     target_cols = spark.table(target_table).columns
-    out.select(*target_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target_table)
+    # Replace only the partitions written, whatever the table's own options.
+    with scoped_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        out.select(*target_cols).write.insertInto(target_table, overwrite=True)

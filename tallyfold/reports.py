@@ -57,7 +57,7 @@ def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     # the shared folder; the increment reads only partition y-1 of it.  Each
     # side reads only its years of facts (range pushed to the scan).
     back_facts = proxy.actor_films(spark, sf_dir, last=y - 1)
-    back = materialize(cumulate.actors_backfill(back_facts, y - 1), "snapshots/actors", ["current_year"])
+    back = materialize(cumulate.actors_backfill(back_facts, y - 1), "snapshots/actors", ["current_year"], ["actorid"])
     inc = cumulate.cumulate_actors(back, proxy.actor_films(spark, sf_dir, first=y, last=y), y)
     return schemas.check_enums(back.unionByName(inc), "actors"), y
 
@@ -68,6 +68,7 @@ def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]
         cumulate.players_backfill(proxy.player_seasons(spark, sf_dir, last=s - 1), s - 1),
         "snapshots/players",
         ["current_season"],
+        ["player_name"],
     )
     inc = cumulate.cumulate_players(back, proxy.player_seasons(spark, sf_dir, first=s, last=s), s)
     return schemas.check_enums(back.unionByName(inc), "players"), s
@@ -216,7 +217,9 @@ def _monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.
     d = _max_day(spark, sf_dir)
     month = d.replace(day=1)
     back = (
-        materialize(activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key), f"snapshots/monthly_{key}", ["month_start"])
+        materialize(
+            activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key), f"snapshots/monthly_{key}", ["month_start"], [key]
+        )
         if d.day > 1
         else None
     )
@@ -263,7 +266,7 @@ def positional_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, s = _player_snapshots(spark, sf_dir)
     actives = cumulate.first_by_history(snaps)
-    back = materialize(activity.states_backfill(actives, s - 1), "snapshots/players_growth", ["season"])
+    back = materialize(activity.states_backfill(actives, s - 1), "snapshots/players_growth", ["season"], ["player_name"])
     inc = activity.track_states(back, actives, s)
     allrows = back.unionByName(inc)
     return allrows.select(
@@ -443,8 +446,8 @@ def define_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, "host_activity_reduced", location=scratch_path(spark, f"tables/har_{tag}", unique=False), table_name=f"host_activity_reduced_{tag}"
     )
     target_cols = spark.table(table).columns
-    for _ in range(2):
-        m.select(*target_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    for _ in range(2):  # the table's DDL makes the overwrite dynamic: rerun replaces
+        m.select(*target_cols).write.insertInto(table, overwrite=True)
     t = spark.table(table)
     return t.select("host", "month_start", F.size("hit_array").alias("n_days"), _sum("hit_array").alias("hits"), _sum("unique_visitors").alias("visitor_days"))
 

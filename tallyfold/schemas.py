@@ -169,6 +169,9 @@ def ddl(name: str, location: str | None = None, table_name: str | None = None) -
     cols = ",\n  ".join(col(f) for f in schema.fields)
     text = f"CREATE TABLE IF NOT EXISTS {table_name or name} (\n  {cols}\n) USING parquet"
     if parts:
+        # Overwrites replace only the periods written (a rerun of one period
+        # is idempotent and never touches the partition being read).
+        text += "\nOPTIONS ('partitionOverwriteMode' 'dynamic')"
         text += f"\nPARTITIONED BY ({', '.join(parts)})"
     if location:
         text += f"\nLOCATION '{location}'"

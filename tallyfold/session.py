@@ -8,6 +8,7 @@ folder itself; only tests and local entry points set one when it is unset.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,15 +57,46 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+def materialize(
+    df: DataFrame,
+    name: str,
+    partition_by: list[str] | tuple[str, ...] = (),
+    bucket_by: list[str] | tuple[str, ...] = (),
+) -> DataFrame:
     """Write ``df`` as a parquet table below the shared folder and return it
     read back: the lineage is cut (a lost executor re-reads files instead of
     recomputing), and a table partitioned by its period lets later period
-    filters prune whole partitions."""
+    filters prune whole partitions.  With ``bucket_by`` (and one partition
+    column) it becomes a bucketed catalog table with as many buckets as the
+    session has shuffle partitions, so joins on the key read it in place."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if bucket_by:
+        from tallyfold.sources.tables import write_snapshot_table
+
+        if len(partition_by) != 1:
+            raise ValueError("a bucketed snapshot needs exactly one period column")
+        table = "tallyfold_" + "".join(ch if ch.isalnum() else "_" for ch in name) + "_" + uuid.uuid4().hex[:10]
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return write_snapshot_table(df, table, partition_by[0], bucket_by, n, path)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@contextlib.contextmanager
+def scoped_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set session settings for the duration of a block, then restore."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

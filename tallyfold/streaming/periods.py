@@ -13,14 +13,14 @@ Late data for a period is handled by re-running the folds from that period.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.session import cut_lineage
-from tallyfold.sources.tables import overwrite_into
+from tallyfold.session import cut_lineage, scratch_path
+from tallyfold.sources.tables import insert_periods, overwrite_into, write_snapshot_table
 
 Step = Callable[[DataFrame | None, Any], DataFrame]
 
@@ -33,14 +33,34 @@ def fold_periods(
     sink_path: str | None = None,
     partition_col: str | None = None,
     keep_all: bool = False,
+    table: str | None = None,
+    bucket_by: Sequence[str] = (),
+    n_buckets: int | None = None,
 ) -> DataFrame | None:
     """Fold ``step`` over ``periods``; returns the last snapshot, or with
-    ``keep_all`` and a sink every written period."""
+    ``keep_all`` and a sink every written period.
+
+    With ``table`` and ``bucket_by`` the sink is a catalog snapshot table
+    partitioned by ``partition_col`` and bucketed by the entity key: each
+    step then joins the previous period in place and shuffles only the new
+    period's facts.  The table is created on the first period unless it
+    already exists (a rerun replaces the periods it covers)."""
     prev = initial
     last = None
     for p in periods:
         cur = step(prev, p)
-        if sink_path is not None:
+        if table is not None:
+            if partition_col is None or not bucket_by:
+                raise ValueError("a snapshot table needs the period column and the bucket key")
+            session = spark or cur.sparkSession
+            cols = cur.columns
+            if session.catalog.tableExists(table):
+                insert_periods(cur, table)
+            else:
+                n = n_buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
+                write_snapshot_table(cur, table, partition_col, bucket_by, n, scratch_path(session, f"tables/{table}"))
+            cur = session.table(table).where(F.col(partition_col) == F.lit(p)).select(*cols)
+        elif sink_path is not None:
             if partition_col is None:
                 raise ValueError("a sink needs the period partition column")
             cols = cur.columns
@@ -50,6 +70,8 @@ def fold_periods(
         else:
             cur = cut_lineage(cur)
         prev = last = cur
+    if keep_all and table is not None and last is not None:
+        return (spark or last.sparkSession).table(table).select(*last.columns)
     if keep_all and sink_path is not None and last is not None:
         return (spark or last.sparkSession).read.parquet(sink_path).select(*last.columns)
     return last

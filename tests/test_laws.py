@@ -250,3 +250,27 @@ def test_fold_with_sink_rerun_is_idempotent(spark):
     again = spark.read.parquet(sink)
     assert again.count() == n
     assert rows(again.where(F.col("date") == days[-1])) == last_rows
+
+
+def test_fold_into_bucketed_snapshot_table(spark):
+    import uuid
+
+    from tallyfold.plans.explain import plan_text
+
+    af = proxy.actor_films(spark, SF_SMALL)
+    years = _years(af, "year")
+    table = f"actors_snap_{uuid.uuid4().hex[:8]}"
+    step = lambda prev, y: cumulate.cumulate_actors(prev, af, y)
+    folded = fold_periods(step, years, spark=spark, table=table, partition_col="current_year", bucket_by=["actorid"], keep_all=True)
+    closed = cumulate.actors_backfill(af, years[-1])
+    cols = ["actorid", "actor", "current_year", "films", "quality_class", "is_active"]
+    assert rows(folded, cols) == rows(closed, cols)
+    # the next step reads last year's snapshot in place: only the facts shuffle
+    nxt = cumulate.cumulate_actors(spark.table(table), af, years[-1] + 1)
+    text = plan_text(nxt, "simple")
+    assert "Bucketed: true" in text
+    assert "Exchange hashpartitioning(actorid" in text  # the new facts
+    assert text.count("Exchange hashpartitioning") == 1
+    # rerunning a period replaces it
+    fold_periods(step, years[-1:], initial=spark.table(table), spark=spark, table=table, partition_col="current_year", bucket_by=["actorid"])
+    assert spark.table(table).count() == closed.count()
