@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.operators import activity, cumulate, graph, matches, merge, patterns, scd
 from tallyfold.operators.dedupe import dedupe, dedupe_counted
-from tallyfold.session import materialize, scratch_path
+from tallyfold.session import materialize, scratch_path, session_id
 from tallyfold.sources import proxy
 from tallyfold.sources.tables import overwrite_into, read_csv, read_table, write_bucketed, write_csv
 
@@ -33,7 +33,7 @@ def _latest(spark: SparkSession, sf_dir: str, table: str, col: str):
     """Latest value of a time column: a plain column max (answerable from
     parquet footers when aggregate pushdown is on), looked up once per
     session and read-only data folder.  Production passes the run date."""
-    ident = (spark.sparkContext.applicationId, sf_dir, f"{table}.{col}")
+    ident = (session_id(spark), sf_dir, f"{table}.{col}")
     if ident not in _LATEST:
         _LATEST[ident] = read_table(spark, sf_dir, table).agg(F.max(col)).first()[0]
     return _LATEST[ident]
@@ -331,7 +331,7 @@ _LAYOUTS: dict[tuple[str, str], list[str]] = {}
 def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three match tables bucketed on match_id, written once per session
     and data folder (a layout step), then shared by the match questions."""
-    ident = (spark.sparkContext.applicationId, sf_dir)
+    ident = (session_id(spark), sf_dir)
     names = _LAYOUTS.get(ident)
     if names and all(spark.catalog.tableExists(n) for n in names):
         return tuple(spark.table(n) for n in names)  # type: ignore[return-value]

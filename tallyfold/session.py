@@ -14,9 +14,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session memos)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", str(id(spark)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder configured on the session, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -24,12 +38,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the configured checkpoint folder; set ``fallback`` only if unset."""
+    sc = _context(spark)
     d = checkpoint_dir(spark)
+    if sc is None:
+        if d is None:
+            spark.conf.set("spark.checkpoint.dir", fallback)
+            d = fallback
+        return d
     if d is None:
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = spark.sparkContext.getCheckpointDir() or fallback
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(fallback)
+        d = sc.getCheckpointDir() or fallback
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
