@@ -322,9 +322,6 @@ def broadcast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.broadcast_join(proxy.medals(spark, sf_dir), proxy.maps(spark, sf_dir), "name")
 
 
-BUCKETS = 16
-
-
 _LAYOUTS: dict[tuple[str, str], list[str]] = {}
 
 
@@ -343,7 +340,8 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
         ("medal_matches_players", proxy.medal_matches_players(spark, sf_dir)),
     ):
         table = f"{name}_bucketed_{tag}"
-        out.append(write_bucketed(df, table, "match_id", BUCKETS, path=scratch_path(spark, f"bucketed/{table}", unique=False)))
+        # Bucket count from the session (scales with the cluster settings).
+        out.append(write_bucketed(df, table, "match_id", path=scratch_path(spark, f"bucketed/{table}", unique=False)))
     _LAYOUTS[ident] = [f"{n}_bucketed_{tag}" for n in ("match_details", "matches", "medal_matches_players")]
     return out[0], out[1], out[2]
 
@@ -402,7 +400,7 @@ def medal_map_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches.sort_within(proxy.matches(spark, sf_dir), "mapid", BUCKETS)
+    return matches.sort_within(proxy.matches(spark, sf_dir), "mapid")
 
 
 # ---------------------------------------------------------------- O28 - O31
