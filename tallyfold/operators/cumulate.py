@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from tallyfold.functions.arrays import append_if, concat_arrays, empty_array
+from tallyfold.functions.arrays import append_if, concat_arrays
 from tallyfold.functions.classify import (
     QUALITY_BANDS,
     QUALITY_DEFAULT,
@@ -31,7 +31,7 @@ from tallyfold.schemas import FILM, SEASON_STATS
 # --------------------------------------------------------------------------
 
 
-def _sorted_films(films_col: Column) -> Column:
+def _sorted_films() -> Column:
     """Films of one period sorted by film id (the reference leaves the
     order open; a fixed order makes snapshots reproducible)."""
     keyed = F.sort_array(
@@ -43,7 +43,7 @@ def _sorted_films(films_col: Column) -> Column:
 def _actor_year_aggregate(actor_films: DataFrame, keys: list[str]) -> DataFrame:
     return actor_films.groupBy(*keys).agg(
         F.min("actor").alias("actor"),
-        _sorted_films(F.col("filmid")).alias("films"),
+        _sorted_films().alias("films"),
         F.avg("rating").alias("avg_rating"),
     )
 

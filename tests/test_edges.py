@@ -64,8 +64,6 @@ def test_two_browsers_one_day_and_bits_or(spark):
 
 
 def test_null_user_dropped_and_duplicates_removed(spark):
-    from tallyfold.sources.proxy import dedupe as _d  # noqa: F401  (same operator)
-
     t = dt.datetime(2024, 1, 1, 5)
     ev = _events(spark, [(None, 1, "h", t), (2, 1, "h", t), (2, 1, "h", t)])
     clean = dedupe(ev.where(F.col("user_id").isNotNull()), ["user_id", "event_time"], order=["event_id"])
