@@ -105,6 +105,53 @@ def actors_backfill(actor_films: DataFrame, as_of: int) -> DataFrame:
     )
 
 
+def actors_backfill_chunked(actor_films: DataFrame, as_of: int, chunk_size: int = 1000) -> DataFrame:
+    """O1 closed form with the film history split over rows of at most
+    ``chunk_size`` films: one row per (actor, year, chunk).  Concatenating
+    an actor-year's chunks in chunk order gives exactly the ``films`` array
+    of :func:`actors_backfill`; no film is dropped.
+
+    No group is unbounded: films are numbered per actor with skew-safe
+    positions (an actor with a third of all films is split over many
+    tasks), a chunk collects at most ``chunk_size`` films, and the per
+    actor-year attributes come from a list-free aggregate.  The join that
+    attaches the attributes has one attribute row per actor-year, so AQE's
+    skew-join split handles an actor with very many chunks.
+    """
+    from tallyfold.plans.sequence import sequence_positions
+
+    facts = actor_films.where(F.col("year") <= F.lit(as_of))
+    yearly = facts.groupBy("actorid", "year").agg(F.min("actor").alias("actor"), F.avg("rating").alias("avg_rating"))
+    rows = _expand_to_next(yearly, "year", ["actorid"], as_of, "current_year")
+    running = Window.partitionBy("actorid").orderBy("current_year").rowsBetween(Window.unboundedPreceding, 0)
+    attrs = rows.select(
+        "actorid",
+        F.first("actor", ignorenulls=True).over(running).alias("actor"),
+        F.col("current_year").cast("int").alias("current_year"),
+        band("avg_rating", QUALITY_BANDS, QUALITY_DEFAULT).alias("quality_class"),
+        (F.col("current_year") == F.col("year")).alias("is_active"),
+    )
+
+    numbered = sequence_positions(
+        facts.select("actorid", "year", "film", "votes", "rating", "filmid"), ["actorid"], ["year", "filmid"]
+    )
+    film = F.struct("film", "votes", "rating", "filmid").cast(FILM)
+    chunks = numbered.groupBy("actorid", F.floor(F.col("_pos") / F.lit(chunk_size)).alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("_pos", "year", film.alias("f")))).alias("_items"),
+        F.min("year").alias("_y0"),
+    )
+    # A chunk is part of every snapshot from its first film's year on and
+    # holds, in a snapshot, the films up to that year.
+    per_year = chunks.withColumn("current_year", F.explode(F.sequence("_y0", F.lit(as_of)))).select(
+        "actorid",
+        "chunk",
+        F.col("current_year").cast("int").alias("current_year"),
+        F.transform(F.filter("_items", lambda i: i["year"] <= F.col("current_year")), lambda i: i["f"]).alias("films"),
+    )
+    out = per_year.join(attrs, ["actorid", "current_year"])
+    return out.select("actorid", "actor", "current_year", "chunk", "films", "quality_class", "is_active")
+
+
 # --------------------------------------------------------------------------
 # O2 players: seasonal stats history
 # --------------------------------------------------------------------------

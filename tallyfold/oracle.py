@@ -154,6 +154,22 @@ def _props(names: list[tuple[str, str]]) -> str:
 
 SQL: dict[str, str] = {
     "cumulate_actors": f"WITH {ACTOR_SNAP} SELECT * FROM asnap",
+    "cumulate_actors_chunked": f"""WITH {ACTOR_SNAP},
+pos AS (
+  SELECT actorid, yr, filmid,
+         row_number() OVER (PARTITION BY actorid ORDER BY yr, filmid) - 1 AS p
+  FROM af),
+ch AS (SELECT actorid, p // 2 AS chunk, min(yr) AS y0 FROM pos GROUP BY actorid, p // 2),
+chy AS (
+  SELECT actorid, chunk, CAST(g AS INTEGER) AS current_year
+  FROM (SELECT c.actorid, c.chunk, unnest(generate_series(c.y0, (SELECT max(yr) FROM af))) AS g FROM ch c)),
+cf AS (
+  SELECT c.actorid, c.chunk, c.current_year, CAST(count(*) AS INTEGER) AS n_films,
+         string_agg(p.filmid, ',' ORDER BY p.p) AS film_ids
+  FROM chy c JOIN pos p ON p.actorid = c.actorid AND p.p // 2 = c.chunk AND p.yr <= c.current_year
+  GROUP BY c.actorid, c.chunk, c.current_year)
+SELECT cf.actorid, a.actor, cf.current_year, cf.chunk, cf.n_films, cf.film_ids, a.quality_class, a.is_active
+FROM cf JOIN asnap a ON a.actorid = cf.actorid AND a.current_year = cf.current_year""",
     "cumulate_players": f"""WITH {PLAYER_SNAP}
 SELECT player_name, current_season, height, country, n_seasons, season_list, scoring_class, is_active FROM psnap""",
     "first_by_history": """

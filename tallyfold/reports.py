@@ -90,6 +90,28 @@ def cumulate_actors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Films per history row in the chunked layout of the registered query: small
+# enough that the test tables produce actors with several chunks.
+FILM_CHUNK = 2
+
+
+def cumulate_actors_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 snapshots with bounded rows: every year, histories split into
+    chunks of FILM_CHUNK films."""
+    y = _max_year(spark, sf_dir)
+    snaps = cumulate.actors_backfill_chunked(proxy.actor_films(spark, sf_dir, last=y), y, FILM_CHUNK)
+    return snaps.select(
+        "actorid",
+        "actor",
+        "current_year",
+        "chunk",
+        F.size("films").alias("n_films"),
+        _ids("films", "filmid").alias("film_ids"),
+        "quality_class",
+        "is_active",
+    )
+
+
 def cumulate_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, _ = _player_snapshots(spark, sf_dir)
     return snaps.select(
@@ -468,6 +490,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "cumulate_actors": cumulate_actors,
+    "cumulate_actors_chunked": cumulate_actors_chunked,
     "cumulate_players": cumulate_players,
     "first_by_history": first_by_history,
     "scd2_backfill_one": scd2_backfill_one,

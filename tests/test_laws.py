@@ -274,3 +274,18 @@ def test_fold_into_bucketed_snapshot_table(spark):
     # rerunning a period replaces it
     fold_periods(step, years[-1:], initial=spark.table(table), spark=spark, table=table, partition_col="current_year", bucket_by=["actorid"])
     assert spark.table(table).count() == closed.count()
+
+
+def test_chunked_history_concatenates_to_full_history(spark):
+    af = proxy.actor_films(spark, SF_SMALL)
+    last = _years(af, "year")[-1]
+    full = {(r.actorid, r.current_year): (r.films, r.quality_class, r.is_active, r.actor) for r in cumulate.actors_backfill(af, last).collect()}
+    parts = {}
+    for r in cumulate.actors_backfill_chunked(af, last, chunk_size=2).collect():
+        assert len(r.films) <= 2
+        parts.setdefault((r.actorid, r.current_year), []).append((r.chunk, r.films, r.quality_class, r.is_active, r.actor))
+    assert set(parts) == set(full)
+    for k, chunks in parts.items():
+        chunks.sort(key=lambda c: c[0])
+        films = [f for c in chunks for f in c[1]]
+        assert (films, chunks[0][2], chunks[0][3], chunks[0][4]) == full[k]
