@@ -152,6 +152,70 @@ def actors_backfill_chunked(actor_films: DataFrame, as_of: int, chunk_size: int
     return out.select("actorid", "actor", "current_year", "chunk", "films", "quality_class", "is_active")
 
 
+def cumulate_actors_chunked(
+    prev: DataFrame | None, actor_films: DataFrame, year: int, chunk_size: int = 1000
+) -> DataFrame:
+    """O1 step in the chunked layout: rows (actor, ``year``, chunk) from the
+    rows of ``year - 1``.  The year's films are numbered after the actor's
+    earlier films (skew-safe positions plus a per-actor count of earlier
+    films), so they fill the last partial chunk and then new ones; other
+    chunks are carried unchanged.  Attributes follow :func:`cumulate_actors`.
+    Law: folding this step equals :func:`actors_backfill_chunked`."""
+    from tallyfold.plans.sequence import sequence_positions
+
+    cur_facts = actor_films.where(F.col("year") == F.lit(year))
+    if prev is None:
+        prev = cur_facts.sparkSession.createDataFrame(
+            [],
+            "actorid string, actor string, current_year int, chunk bigint, films array<"
+            + FILM.simpleString()
+            + ">, quality_class string, is_active boolean",
+        )
+    p = prev.where(F.col("current_year") == F.lit(year - 1))
+
+    cur = cur_facts.groupBy("actorid").agg(F.min("actor").alias("actor"), F.avg("rating").alias("avg_rating")).alias("c")
+    pa = p.where(F.col("chunk") == 0).select("actorid", "actor", "quality_class").alias("p")
+    present = F.col("c.actorid").isNotNull()
+    attrs = pa.join(cur, F.col("p.actorid") == F.col("c.actorid"), "full_outer").select(
+        F.coalesce("p.actorid", "c.actorid").alias("actorid"),
+        F.coalesce("p.actor", "c.actor").alias("actor"),
+        F.when(present, band(F.col("c.avg_rating"), QUALITY_BANDS, QUALITY_DEFAULT))
+        .otherwise(F.col("p.quality_class"))
+        .alias("quality_class"),
+        present.alias("is_active"),
+    )
+
+    before = p.groupBy("actorid").agg(F.sum(F.size("films")).alias("_n_before"))
+    seq = sequence_positions(cur_facts.select("actorid", "film", "votes", "rating", "filmid"), ["actorid"], ["filmid"])
+    pos = F.coalesce(F.col("_n_before"), F.lit(0)) + F.col("_pos")
+    film = F.struct("film", "votes", "rating", "filmid").cast(FILM)
+    new_chunks = (
+        seq.join(before, "actorid", "left")
+        .groupBy("actorid", F.floor(pos / F.lit(chunk_size)).alias("chunk"))
+        .agg(F.sort_array(F.collect_list(F.struct(pos.alias("_p"), film.alias("f")))).alias("_items"))
+        .select("actorid", "chunk", F.transform("_items", lambda i: i["f"]).alias("films"))
+        .alias("n")
+    )
+    old = p.select("actorid", "chunk", "films").alias("o")
+    merged = old.join(
+        new_chunks, (F.col("o.actorid") == F.col("n.actorid")) & (F.col("o.chunk") == F.col("n.chunk")), "full_outer"
+    ).select(
+        F.coalesce("o.actorid", "n.actorid").alias("actorid"),
+        F.coalesce("o.chunk", "n.chunk").alias("chunk"),
+        concat_arrays(F.col("o.films"), F.col("n.films"), FILM).alias("films"),
+    )
+    out = merged.join(attrs, "actorid")
+    return out.select(
+        "actorid",
+        "actor",
+        F.lit(year).cast("int").alias("current_year"),
+        "chunk",
+        "films",
+        "quality_class",
+        "is_active",
+    )
+
+
 # --------------------------------------------------------------------------
 # O2 players: seasonal stats history
 # --------------------------------------------------------------------------

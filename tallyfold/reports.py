@@ -99,7 +99,14 @@ def cumulate_actors_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1 snapshots with bounded rows: every year, histories split into
     chunks of FILM_CHUNK films."""
     y = _max_year(spark, sf_dir)
-    snaps = cumulate.actors_backfill_chunked(proxy.actor_films(spark, sf_dir, last=y), y, FILM_CHUNK)
+    back = materialize(
+        cumulate.actors_backfill_chunked(proxy.actor_films(spark, sf_dir, last=y - 1), y - 1, FILM_CHUNK),
+        "snapshots/actors_chunked",
+        ["current_year"],
+        ["actorid"],
+    )
+    inc = cumulate.cumulate_actors_chunked(back, proxy.actor_films(spark, sf_dir, first=y, last=y), y, FILM_CHUNK)
+    snaps = back.unionByName(inc)
     return snaps.select(
         "actorid",
         "actor",

@@ -289,3 +289,19 @@ def test_chunked_history_concatenates_to_full_history(spark):
         chunks.sort(key=lambda c: c[0])
         films = [f for c in chunks for f in c[1]]
         assert (films, chunks[0][2], chunks[0][3], chunks[0][4]) == full[k]
+
+
+def test_chunked_fold_equals_chunked_backfill(spark):
+    af = proxy.actor_films(spark, SF_SMALL)
+    years = _years(af, "year")
+    sink = scratch_path(spark, "law/actors_chunked")
+    folded = fold_periods(
+        lambda prev, y: cumulate.cumulate_actors_chunked(prev, af, y, chunk_size=2),
+        years,
+        sink_path=sink,
+        partition_col="current_year",
+        keep_all=True,
+    )
+    closed = cumulate.actors_backfill_chunked(af, years[-1], chunk_size=2)
+    cols = ["actorid", "actor", "current_year", "chunk", "films", "quality_class", "is_active"]
+    assert rows(folded, cols) == rows(closed, cols)
