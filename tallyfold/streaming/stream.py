@@ -65,7 +65,13 @@ def stream_daily_loads(
                 last = max(last, done)
                 if first > done + dt.timedelta(days=1):
                     first = done + dt.timedelta(days=1)  # close any gap of silent days
-        facts = session.read.parquet(facts_path).where(F.col("_day") <= F.lit(last)).drop("_batch", "_day")
+        # Steps read only their own day's facts (the snapshot carries the
+        # rest), so partitions outside the re-run range are pruned.
+        facts = (
+            session.read.parquet(facts_path)
+            .where(F.col("_day").between(F.lit(first), F.lit(last)))
+            .drop("_batch", "_day")
+        )
         initial = session.table(table) if session.catalog.tableExists(table) else None
         fold_periods(
             lambda prev, d: step(prev, facts, d),
