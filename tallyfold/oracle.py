@@ -300,8 +300,10 @@ SELECT c.c_nationkey AS name, c.c_custkey AS medal_id, c.c_name AS medal_name, n
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "bucketed_join": """
 SELECT d.l_orderkey AS match_id, d.l_suppkey AS player_gamertag, d.l_quantity AS player_total_kills,
-       o.o_orderpriority AS mapid, o.o_orderstatus AS playlist_id, m.l_returnflag AS medal_id
-FROM lineitem d JOIN orders o ON d.l_orderkey = o.o_orderkey JOIN lineitem m ON m.l_orderkey = d.l_orderkey""",
+       o.o_orderpriority AS mapid, o.o_orderstatus AS playlist_id, k.medal_id, k.medal_rows
+FROM lineitem d JOIN orders o ON d.l_orderkey = o.o_orderkey
+JOIN (SELECT l_orderkey, l_returnflag AS medal_id, count(*) AS medal_rows FROM lineitem GROUP BY 1, 2) k
+  ON k.l_orderkey = d.l_orderkey""",
     "avg_kills": """
 SELECT l_suppkey AS player_gamertag, avg(l_quantity) AS avg_kills FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders)

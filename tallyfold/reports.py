@@ -376,8 +376,10 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
 
 
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O22 as a factorized join: one row per detail row and medal kind of its
+    match, with the medal row count (the fan-out join without its pairs)."""
     d, m, med = _bucketed(spark, sf_dir)
-    return matches.bucketed_join(d, m, med)
+    return matches.bucketed_join_factorized(d, m, med)
 
 
 def avg_kills(spark: SparkSession, sf_dir: str) -> DataFrame:

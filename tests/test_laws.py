@@ -305,3 +305,13 @@ def test_chunked_fold_equals_chunked_backfill(spark):
     closed = cumulate.actors_backfill_chunked(af, years[-1], chunk_size=2)
     cols = ["actorid", "actor", "current_year", "chunk", "films", "quality_class", "is_active"]
     assert rows(folded, cols) == rows(closed, cols)
+
+
+def test_factorized_join_expands_to_fanout_join(spark):
+    from tallyfold.operators import matches
+
+    d, m, med = proxy.match_details(spark, SF_SMALL), proxy.matches(spark, SF_SMALL), proxy.medal_matches_players(spark, SF_SMALL)
+    fan = matches.bucketed_join(d, m, med)
+    fac = matches.bucketed_join_factorized(d, m, med)
+    expanded = fac.withColumn("_r", F.explode(F.array_repeat(F.lit(1), F.col("medal_rows").cast("int")))).drop("_r", "medal_rows")
+    assert rows(expanded, fan.columns) == rows(fan)
