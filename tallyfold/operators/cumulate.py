@@ -105,20 +105,23 @@ def actors_backfill(actor_films: DataFrame, as_of: int) -> DataFrame:
     )
 
 
-def actors_backfill_chunked(actor_films: DataFrame, as_of: int, chunk_size: int = 1000) -> DataFrame:
+def actors_backfill_chunked(
+    actor_films: DataFrame, as_of: int, chunk_size: int = 1000, max_key_rows: int | None = 5_000_000
+) -> DataFrame:
     """O1 closed form with the film history split over rows of at most
     ``chunk_size`` films: one row per (actor, year, chunk).  Concatenating
     an actor-year's chunks in chunk order gives exactly the ``films`` array
     of :func:`actors_backfill`; no film is dropped.
 
-    No group is unbounded: films are numbered per actor with skew-safe
-    positions (an actor with a third of all films is split over many
-    tasks), a chunk collects at most ``chunk_size`` films, and the per
+    No group is unbounded: films are numbered per actor with positions that
+    are skew-safe unless the largest actor is checked to hold at most
+    ``max_key_rows`` films (an actor with a third of all films is split over
+    many tasks), a chunk collects at most ``chunk_size`` films, and the per
     actor-year attributes come from a list-free aggregate.  The join that
     attaches the attributes has one attribute row per actor-year, so AQE's
     skew-join split handles an actor with very many chunks.
     """
-    from tallyfold.plans.sequence import sequence_positions
+    from tallyfold.plans.sequence import positions
 
     facts = actor_films.where(F.col("year") <= F.lit(as_of))
     yearly = facts.groupBy("actorid", "year").agg(F.min("actor").alias("actor"), F.avg("rating").alias("avg_rating"))
@@ -132,8 +135,8 @@ def actors_backfill_chunked(actor_films: DataFrame, as_of: int, chunk_size: int
         (F.col("current_year") == F.col("year")).alias("is_active"),
     )
 
-    numbered = sequence_positions(
-        facts.select("actorid", "year", "film", "votes", "rating", "filmid"), ["actorid"], ["year", "filmid"]
+    numbered = positions(
+        facts.select("actorid", "year", "film", "votes", "rating", "filmid"), ["actorid"], ["year", "filmid"], max_key_rows=max_key_rows
     )
     film = F.struct("film", "votes", "rating", "filmid").cast(FILM)
     chunks = numbered.groupBy("actorid", F.floor(F.col("_pos") / F.lit(chunk_size)).alias("chunk")).agg(
@@ -153,7 +156,11 @@ def actors_backfill_chunked(actor_films: DataFrame, as_of: int, chunk_size: int
 
 
 def cumulate_actors_chunked(
-    prev: DataFrame | None, actor_films: DataFrame, year: int, chunk_size: int = 1000
+    prev: DataFrame | None,
+    actor_films: DataFrame,
+    year: int,
+    chunk_size: int = 1000,
+    max_key_rows: int | None = 5_000_000,
 ) -> DataFrame:
     """O1 step in the chunked layout: rows (actor, ``year``, chunk) from the
     rows of ``year - 1``.  The year's films are numbered after the actor's
@@ -161,7 +168,7 @@ def cumulate_actors_chunked(
     films), so they fill the last partial chunk and then new ones; other
     chunks are carried unchanged.  Attributes follow :func:`cumulate_actors`.
     Law: folding this step equals :func:`actors_backfill_chunked`."""
-    from tallyfold.plans.sequence import sequence_positions
+    from tallyfold.plans.sequence import positions
 
     cur_facts = actor_films.where(F.col("year") == F.lit(year))
     if prev is None:
@@ -186,7 +193,9 @@ def cumulate_actors_chunked(
     )
 
     before = p.groupBy("actorid").agg(F.sum(F.size("films")).alias("_n_before"))
-    seq = sequence_positions(cur_facts.select("actorid", "film", "votes", "rating", "filmid"), ["actorid"], ["filmid"])
+    seq = positions(
+        cur_facts.select("actorid", "film", "votes", "rating", "filmid"), ["actorid"], ["filmid"], max_key_rows=max_key_rows
+    )
     pos = F.coalesce(F.col("_n_before"), F.lit(0)) + F.col("_pos")
     film = F.struct("film", "votes", "rating", "filmid").cast(FILM)
     new_chunks = (

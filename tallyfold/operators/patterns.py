@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators.dedupe import dedupe
-from tallyfold.plans.sequence import sequence_positions
+from tallyfold.plans.sequence import DEFAULT_KEY_ROWS, fits_window, positions, sequence_positions
 from tallyfold.session import cut_lineage
 
 # Fixed level names for grouping_id() over (player_id, team_id, season, game_won).
@@ -91,18 +91,28 @@ def team_most_wins(tg: DataFrame) -> DataFrame:
     return wins.orderBy(F.desc("games_won"), "team_id").limit(1)
 
 
-def rolling_wins(tg: DataFrame, stretch: int = 90) -> DataFrame:
+def rolling_wins(tg: DataFrame, stretch: int = 90, max_key_rows: int | None = DEFAULT_KEY_ROWS) -> DataFrame:
     """Per team, the most games won in any ``stretch`` consecutive games
-    (ordered by date, then game id).  Computed as running-sum differences
+    (ordered by date, then game id).
+
+    When the largest team is checked to hold at most ``max_key_rows`` games,
+    a per-team window with a ``stretch``-row frame does it in one shuffle.
+    Otherwise it is computed as running-sum differences
     ``wins(i) - wins(i - stretch)`` from skew-safe positions, so a team with
-    a huge schedule is split over many tasks."""
+    a huge schedule is split over many tasks (``max_key_rows=None`` forces
+    this path)."""
+    out = f"max_wins_{stretch}"
+    if fits_window(tg, ["team_id"], max_key_rows):
+        w = Window.partitionBy("team_id").orderBy("game_date", "game_id").rowsBetween(-(stretch - 1), 0)
+        per_row = tg.select("team_id", F.sum("won").over(w).alias("_w"))
+        return per_row.groupBy("team_id").agg(F.max("_w").cast("bigint").alias(out))
     # Positions are read twice (current row and row - stretch): write once.
     seq = cut_lineage(sequence_positions(tg, ["team_id"], ["game_date", "game_id"], sums=["won"]).select("team_id", "_pos", "won_cum"))
     cur = seq
     lagged = seq.select("team_id", (F.col("_pos") + stretch).alias("_pos"), F.col("won_cum").alias("_won_before"))
     j = cur.join(lagged, ["team_id", "_pos"], "left")
     window_wins = F.col("won_cum") - F.coalesce("_won_before", F.lit(0))
-    return j.groupBy("team_id").agg(F.max(window_wins).cast("bigint").alias(f"max_wins_{stretch}"))
+    return j.groupBy("team_id").agg(F.max(window_wins).cast("bigint").alias(out))
 
 
 def player_game_points(game_details: DataFrame, games: DataFrame) -> DataFrame:
@@ -113,13 +123,17 @@ def player_game_points(game_details: DataFrame, games: DataFrame) -> DataFrame:
     return pg.join(games.select("game_id", "game_date"), "game_id")
 
 
-def longest_streak(player_games: DataFrame, min_points: float = 10, player_id=None) -> DataFrame:
+def longest_streak(
+    player_games: DataFrame, min_points: float = 10, player_id=None, max_key_rows: int | None = DEFAULT_KEY_ROWS
+) -> DataFrame:
     """Per player, the longest run of consecutive games with more than
     ``min_points`` points (NULL points break a run).  A run is an island of
-    rows where ``position - qualifying rows so far`` stays constant."""
+    rows where ``position - qualifying rows so far`` stays constant.
+    Positions come from a per-player window when the largest player is
+    checked to be small, else from the skew-safe range-partitioned plan."""
     pg = player_games if player_id is None else player_games.where(F.col("player_id") == F.lit(player_id))
     q = pg.withColumn("q", F.coalesce((F.col("pts") > F.lit(min_points)).cast("int"), F.lit(0)))
-    seq = sequence_positions(q, ["player_id"], ["game_date", "game_id"], sums=["q"])
+    seq = positions(q, ["player_id"], ["game_date", "game_id"], sums=["q"], max_key_rows=max_key_rows)
     island = F.when(F.col("q") == 1, F.col("_pos") - F.col("q_cum"))
     runs = seq.groupBy("player_id", island.alias("_island")).agg(F.sum("q").alias("_len"))
     return runs.groupBy("player_id").agg(F.max("_len").cast("bigint").alias("longest_streak"))

@@ -74,3 +74,40 @@ def sequence_positions(
         *[(F.col(f"_seq_o_{i}") + F.sum(c).over(local)).alias(f"{c}_cum") for i, c in enumerate(sums)],
     )
     return out
+
+
+# A per-key window sorts a whole key in one task; up to this many rows per
+# key that is cheap, and it costs one shuffle instead of three.
+DEFAULT_KEY_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest key (one aggregation job, combined map-side)."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
+def fits_window(df: DataFrame, keys: Sequence[str], max_key_rows: int | None = DEFAULT_KEY_ROWS) -> bool:
+    """True when a per-key window is safe: the largest key is checked to
+    hold at most ``max_key_rows`` rows.  ``None`` always answers False."""
+    return max_key_rows is not None and largest_group(df, keys) <= max_key_rows
+
+
+def positions(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    sums: Sequence[str] = (),
+    max_key_rows: int | None = DEFAULT_KEY_ROWS,
+) -> DataFrame:
+    """``_pos`` and ``<c>_cum`` as :func:`sequence_positions` computes them;
+    a plain per-key window when the largest key is checked to be small,
+    the range-partitioned plan otherwise."""
+    if not fits_window(df, keys, max_key_rows):
+        return sequence_positions(df, keys, order, sums)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    return df.select(
+        *df.columns,
+        (F.row_number().over(w) - 1).cast("long").alias("_pos"),
+        *[F.sum(c).over(running).alias(f"{c}_cum") for c in sums],
+    )

@@ -209,7 +209,8 @@ def test_sequence_positions_equal_window(spark):
 
 def test_rolling_wins_equal_window(spark):
     df = _skewed(spark).select(F.col("k").alias("team_id"), F.col("g").alias("game_id"), F.col("d").alias("game_date"), "won")
-    got = patterns.rolling_wins(df, 90)
+    got = patterns.rolling_wins(df, 90, max_key_rows=None)  # force the split plan
+    assert rows(got) == rows(patterns.rolling_wins(df, 90))  # checked-small: window plan
     w = Window.partitionBy("team_id").orderBy("game_date", "game_id").rowsBetween(-89, 0)
     ref = df.select("team_id", F.sum("won").over(w).alias("x")).groupBy("team_id").agg(F.max("x").cast("bigint").alias("max_wins_90"))
     assert rows(got) == rows(ref)
@@ -217,7 +218,8 @@ def test_rolling_wins_equal_window(spark):
 
 def test_longest_streak_brute_force(spark):
     df = _skewed(spark).select(F.col("k").alias("player_id"), F.col("g").alias("game_id"), F.col("d").alias("game_date"), "pts")
-    got = {r.player_id: r.longest_streak for r in patterns.longest_streak(df, 10).collect()}
+    got = {r.player_id: r.longest_streak for r in patterns.longest_streak(df, 10, max_key_rows=None).collect()}
+    assert got == {r.player_id: r.longest_streak for r in patterns.longest_streak(df, 10).collect()}
     best = {}
     for k, grp in sorted_groups(df.collect()):
         run = b = 0
@@ -281,7 +283,7 @@ def test_chunked_history_concatenates_to_full_history(spark):
     last = _years(af, "year")[-1]
     full = {(r.actorid, r.current_year): (r.films, r.quality_class, r.is_active, r.actor) for r in cumulate.actors_backfill(af, last).collect()}
     parts = {}
-    for r in cumulate.actors_backfill_chunked(af, last, chunk_size=2).collect():
+    for r in cumulate.actors_backfill_chunked(af, last, chunk_size=2, max_key_rows=None).collect():
         assert len(r.films) <= 2
         parts.setdefault((r.actorid, r.current_year), []).append((r.chunk, r.films, r.quality_class, r.is_active, r.actor))
     assert set(parts) == set(full)
@@ -296,7 +298,7 @@ def test_chunked_fold_equals_chunked_backfill(spark):
     years = _years(af, "year")
     sink = scratch_path(spark, "law/actors_chunked")
     folded = fold_periods(
-        lambda prev, y: cumulate.cumulate_actors_chunked(prev, af, y, chunk_size=2),
+        lambda prev, y: cumulate.cumulate_actors_chunked(prev, af, y, chunk_size=2, max_key_rows=None),
         years,
         sink_path=sink,
         partition_col="current_year",
