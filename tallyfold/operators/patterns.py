@@ -102,6 +102,8 @@ def rolling_wins(tg: DataFrame, stretch: int = 90, max_key_rows: int | None = DE
     a huge schedule is split over many tasks (``max_key_rows=None`` forces
     this path)."""
     out = f"max_wins_{stretch}"
+    if max_key_rows is not None:
+        tg = cut_lineage(tg)  # read by the key check and by the plan: write once
     if fits_window(tg, ["team_id"], max_key_rows):
         w = Window.partitionBy("team_id").orderBy("game_date", "game_id").rowsBetween(-(stretch - 1), 0)
         per_row = tg.select("team_id", F.sum("won").over(w).alias("_w"))
@@ -133,7 +135,7 @@ def longest_streak(
     checked to be small, else from the skew-safe range-partitioned plan."""
     pg = player_games if player_id is None else player_games.where(F.col("player_id") == F.lit(player_id))
     q = pg.withColumn("q", F.coalesce((F.col("pts") > F.lit(min_points)).cast("int"), F.lit(0)))
-    seq = positions(q, ["player_id"], ["game_date", "game_id"], sums=["q"], max_key_rows=max_key_rows)
+    seq = positions(q, ["player_id"], ["game_date", "game_id"], sums=["q"], max_key_rows=max_key_rows, materialize_input=True)
     island = F.when(F.col("q") == 1, F.col("_pos") - F.col("q_cum"))
     runs = seq.groupBy("player_id", island.alias("_island")).agg(F.sum("q").alias("_len"))
     return runs.groupBy("player_id").agg(F.max("_len").cast("bigint").alias("longest_streak"))

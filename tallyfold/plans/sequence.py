@@ -98,10 +98,15 @@ def positions(
     order: Sequence[str],
     sums: Sequence[str] = (),
     max_key_rows: int | None = DEFAULT_KEY_ROWS,
+    materialize_input: bool = False,
 ) -> DataFrame:
     """``_pos`` and ``<c>_cum`` as :func:`sequence_positions` computes them;
     a plain per-key window when the largest key is checked to be small,
-    the range-partitioned plan otherwise."""
+    the range-partitioned plan otherwise.  With ``materialize_input`` an
+    expensive input is written once, since the key check and the plan both
+    read it."""
+    if max_key_rows is not None and materialize_input:
+        df = cut_lineage(df)
     if not fits_window(df, keys, max_key_rows):
         return sequence_positions(df, keys, order, sums)
     w = Window.partitionBy(*keys).orderBy(*order)

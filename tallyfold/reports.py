@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,15 @@ from tallyfold.operators import activity, cumulate, graph, matches, merge, patte
 from tallyfold.operators.dedupe import dedupe, dedupe_counted
 from tallyfold.session import materialize, scratch_path, session_id
 from tallyfold.sources import proxy
-from tallyfold.sources.tables import overwrite_into, read_csv, read_table, write_bucketed, write_csv
+from tallyfold.sources.tables import (
+    insert_periods,
+    overwrite_into,
+    read_csv,
+    read_table,
+    write_bucketed,
+    write_csv,
+    write_snapshot_table,
+)
 
 # ---------------------------------------------------------------- helpers
 
@@ -51,27 +60,43 @@ def _ids(arr_col: str, field: str) -> F.Column:
     return F.array_join(F.transform(F.col(arr_col), lambda x: x[field].cast("string")), ",")
 
 
+def _load(
+    spark: SparkSession,
+    name: str,
+    backfill: DataFrame,
+    period_col: str,
+    keys: list[str],
+    step: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The production sequence for a cumulative table: the backfill is
+    written once as a snapshot table (partitioned by period, bucketed by
+    key) in the shared folder, then the step for the next period reads
+    partition p-1 in place and inserts partition p.  Everything downstream
+    reads the written table, so nothing upstream is computed twice."""
+    table = f"tallyfold_{name}_{uuid.uuid4().hex[:10]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = write_snapshot_table(backfill, table, period_col, keys, n, scratch_path(spark, f"snapshots/{table}", unique=False))
+    insert_periods(step(back), table)
+    return spark.table(table).select(*back.columns)
+
+
 def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     y = _max_year(spark, sf_dir)
-    # The backfill is written once as a period-partitioned snapshot table in
-    # the shared folder; the increment reads only partition y-1 of it.  Each
-    # side reads only its years of facts (range pushed to the scan).
-    back_facts = proxy.actor_films(spark, sf_dir, last=y - 1)
-    back = materialize(cumulate.actors_backfill(back_facts, y - 1), "snapshots/actors", ["current_year"], ["actorid"])
-    inc = cumulate.cumulate_actors(back, proxy.actor_films(spark, sf_dir, first=y, last=y), y)
-    return schemas.check_enums(back.unionByName(inc), "actors"), y
+    # Each side reads only its years of facts (range pushed to the scan).
+    back = cumulate.actors_backfill(proxy.actor_films(spark, sf_dir, last=y - 1), y - 1)
+    facts_y = proxy.actor_films(spark, sf_dir, first=y, last=y)
+    snaps = _load(spark, "actors", back, "current_year", ["actorid"], lambda prev: cumulate.cumulate_actors(prev, facts_y, y))
+    return schemas.check_enums(snaps, "actors"), y
 
 
 def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     s = _max_year(spark, sf_dir)
-    back = materialize(
-        cumulate.players_backfill(proxy.player_seasons(spark, sf_dir, last=s - 1), s - 1),
-        "snapshots/players",
-        ["current_season"],
-        ["player_name"],
+    back = cumulate.players_backfill(proxy.player_seasons(spark, sf_dir, last=s - 1), s - 1)
+    facts_s = proxy.player_seasons(spark, sf_dir, first=s, last=s)
+    snaps = _load(
+        spark, "players", back, "current_season", ["player_name"], lambda prev: cumulate.cumulate_players(prev, facts_s, s)
     )
-    inc = cumulate.cumulate_players(back, proxy.player_seasons(spark, sf_dir, first=s, last=s), s)
-    return schemas.check_enums(back.unionByName(inc), "players"), s
+    return schemas.check_enums(snaps, "players"), s
 
 
 # ---------------------------------------------------------------- O1 O2 O14
@@ -99,14 +124,16 @@ def cumulate_actors_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1 snapshots with bounded rows: every year, histories split into
     chunks of FILM_CHUNK films."""
     y = _max_year(spark, sf_dir)
-    back = materialize(
-        cumulate.actors_backfill_chunked(proxy.actor_films(spark, sf_dir, last=y - 1), y - 1, FILM_CHUNK),
-        "snapshots/actors_chunked",
-        ["current_year"],
+    back = cumulate.actors_backfill_chunked(proxy.actor_films(spark, sf_dir, last=y - 1), y - 1, FILM_CHUNK)
+    facts_y = proxy.actor_films(spark, sf_dir, first=y, last=y)
+    snaps = _load(
+        spark,
+        "actors_chunked",
+        back,
+        "current_year",
         ["actorid"],
+        lambda prev: cumulate.cumulate_actors_chunked(prev, facts_y, y, FILM_CHUNK),
     )
-    inc = cumulate.cumulate_actors_chunked(back, proxy.actor_films(spark, sf_dir, first=y, last=y), y, FILM_CHUNK)
-    snaps = back.unionByName(inc)
     return snaps.select(
         "actorid",
         "actor",
@@ -244,18 +271,9 @@ def host_datelist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.date]:
     ev = proxy.clean_events(spark, sf_dir)
     d = _max_day(spark, sf_dir)
-    month = d.replace(day=1)
-    back = (
-        materialize(
-            activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key), f"snapshots/monthly_{key}", ["month_start"], [key]
-        )
-        if d.day > 1
-        else None
-    )
-    inc = activity.reduce_monthly(back, ev, d, key)
-    if back is None:
-        return inc, d
-    return back.where(F.col("month_start") < F.lit(month)).unionByName(inc), d
+    # Backfill through d-1, then the step for d rewrites the month of d.
+    back = activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key)
+    return _load(spark, f"monthly_{key}", back, "month_start", [key], lambda prev: activity.reduce_monthly(prev, ev, d, key)), d
 
 
 def host_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,9 +313,14 @@ def positional_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, s = _player_snapshots(spark, sf_dir)
     actives = cumulate.first_by_history(snaps)
-    back = materialize(activity.states_backfill(actives, s - 1), "snapshots/players_growth", ["season"], ["player_name"])
-    inc = activity.track_states(back, actives, s)
-    allrows = back.unionByName(inc)
+    allrows = _load(
+        spark,
+        "players_growth",
+        activity.states_backfill(actives, s - 1),
+        "season",
+        ["player_name"],
+        lambda prev: activity.track_states(prev, actives, s),
+    )
     return allrows.select(
         "player_name",
         "season",
