@@ -36,4 +36,5 @@ def summarize(df: DataFrame) -> dict[str, object]:
         "expand": "Expand [" in text,
         "bucketed_scans": text.count("Bucketed: true"),
         "pushed_filters": sorted(set(f for f in re.findall(r"PushedFilters: \[([^\]]*)\]", text) if f)),
+        "written_tables": bool(re.search(r"tallyfold_|_bucketed_|/tallyfold/", text)),
     }
