@@ -44,7 +44,12 @@ def fold_periods(
     partitioned by ``partition_col`` and bucketed by the entity key: each
     step then joins the previous period in place and shuffles only the new
     period's facts.  The table is created on the first period unless it
-    already exists (a rerun replaces the periods it covers)."""
+    already exists; an existing table is also the default ``initial``, so a
+    run resumes from it (and a rerun replaces the periods it covers)."""
+    if table is not None and initial is None:
+        session = spark or SparkSession.getActiveSession()
+        if session is not None and session.catalog.tableExists(table):
+            initial = session.table(table)
     prev = initial
     last = None
     for p in periods:
