@@ -43,3 +43,23 @@ def test_team_jobs(spark):
     assert {r.identifier for r in jobs.team_vertex_transformation(spark, teams).collect()} == {1, 2}
     counts = {r.team_id: r.row_num for r in jobs.team_deduped_transformation(spark, teams).collect()}
     assert counts == {1: 2, 2: 1}
+
+
+def test_defined_table_overwrites_only_written_partitions(spark):
+    import datetime as dt
+
+    from tallyfold.schemas import define_table
+
+    tag = uuid.uuid4().hex[:8]
+    name = define_table(
+        spark, "hosts_cumulated", location=scratch_path(spark, f"jobs/hosts_{tag}"), table_name=f"hosts_cumulated_{tag}"
+    )
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    cols = spark.table(name).columns
+    day1 = spark.createDataFrame([("a", [d1], d1)], "host_name string, host_activity_datelist array<date>, date date")
+    day2 = spark.createDataFrame([("a", [d1, d2], d2)], "host_name string, host_activity_datelist array<date>, date date")
+    day1.select(*cols).write.insertInto(name, overwrite=True)
+    day2.select(*cols).write.insertInto(name, overwrite=True)
+    day2.select(*cols).write.insertInto(name, overwrite=True)  # rerun of day 2
+    got = sorted((r.date, len(r.host_activity_datelist)) for r in spark.table(name).collect())
+    assert got == [(d1, 1), (d2, 2)]
