@@ -1,10 +1,12 @@
 """Run an incremental step over consecutive periods.
 
 ``fold_periods(step, periods)`` calls ``step(prev, period)`` in order.  After
-every step the new snapshot is cut from its lineage, either by writing it
-as partition ``period`` of a parquet table (dynamic partition overwrite, so a
-rerun of one period is idempotent) and reading that partition back, or by a
-reliable checkpoint in ``spark.checkpoint.dir``.  Plans therefore stay one
+every step the new snapshot is cut from its lineage: it is inserted as
+partition ``period`` of a catalog snapshot table bucketed by the entity key
+(the next step joins it in place), or written as that partition of a plain
+parquet table, both with dynamic partition overwrite so a rerun of one
+period is idempotent, or else kept as a reliable checkpoint in
+``spark.checkpoint.dir``.  Plans therefore stay one
 step deep however many periods run, and a lost executor recomputes from the
 last written snapshot, not from the first period.
 
