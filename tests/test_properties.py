@@ -92,3 +92,59 @@ def test_sequence_positions_match_python(spark, data, n_parts):
             cum += t % 3
             exp[(k, t)] = (i, cum)
     assert got == exp
+
+
+from tallyfold.operators import merge  # noqa: E402
+from tallyfold.operators.dedupe import dedupe_counted  # noqa: E402
+
+pairs = st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["x", "y", "z"])), min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(pairs)
+def test_dedupe_counted_matches_python(spark, data):
+    df = spark.createDataFrame(data, "k bigint, v string")
+    got = {r.k: (r.v, r.row_num) for r in dedupe_counted(df, ["k"]).collect()}
+    exp = {}
+    for k, v in data:
+        best, n = exp.get(k, (v, 0))
+        exp[k] = (min(best, v), n + 1)
+    assert got == exp
+
+
+updates = st.dictionaries(st.integers(0, 8), st.floats(-5, 5, allow_nan=False), max_size=6)
+
+
+@SETTINGS
+@given(updates, updates)
+def test_upsert_matches_dict_semantics(spark, target, upd):
+    t = spark.createDataFrame([(k, f"n{k}", v) for k, v in target.items()] or [], "k bigint, name string, v double")
+    u = spark.createDataFrame([(k, v) for k, v in upd.items()] or [], "k bigint, v double")
+    got = {r.k: (r.name, r.v) for r in merge.upsert(t, u, ["k"], ["v"]).collect()}
+    exp = {k: (f"n{k}", v) for k, v in target.items()}
+    for k, v in upd.items():
+        exp[k] = (exp[k][0] if k in exp else None, v)
+    assert got == exp
+
+
+day_events = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 9)), min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(day_events)
+def test_host_fold_matches_python(spark, evs):
+    import datetime as dt
+
+    from tallyfold.operators import cumulate
+    from tallyfold.streaming import fold_periods
+
+    base = dt.date(2024, 3, 1)
+    rows_ = [(i, 1, h, dt.datetime.combine(base + dt.timedelta(days=o), dt.time(12))) for i, (h, o) in enumerate(evs)]
+    df = spark.createDataFrame(rows_, "event_id bigint, user_id bigint, host string, event_time timestamp_ntz")
+    days = [base + dt.timedelta(days=i) for i in range(10)]
+    last = fold_periods(lambda prev, d: cumulate.cumulate_hosts(prev, df, d), days)
+    got = {r.host_name: r.host_activity_datelist for r in last.collect()}
+    exp = {}
+    for h, o in evs:
+        exp.setdefault(h, set()).add(base + dt.timedelta(days=o))
+    assert got == {h: sorted(ds) for h, ds in exp.items()}
