@@ -13,6 +13,11 @@ Result: ``_pos`` (0-based position of the row within its key in ``order``)
 and ``<c>_cum`` (inclusive running sum of ``c`` within the key) for each
 column in ``sums``.  Ties in ``order`` are broken arbitrarily; pass a total
 order.
+
+:func:`positions` is the entry point operators use: like a broadcast, the
+plain per-key window (one shuffle) runs only behind a check, here that the
+largest key holds at most ``max_key_rows`` rows; otherwise it falls back to
+the range-partitioned plan above.
 """
 
 from __future__ import annotations
