@@ -89,3 +89,18 @@ def test_scan_reads_only_needed_columns(spark):
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_quantity:double>" in text
+
+
+def test_scd_over_bucketed_snapshot_table_needs_no_exchange(spark):
+    text = plan_text(reports.scd2_backfill_two(spark, SF_SMALL), "simple")
+    # the snapshot table is bucketed by actor id: the LAG / running-sum
+    # windows and the streak aggregation run in place
+    assert "Bucketed: true" in text
+    assert "Exchange" not in text
+    assert text.count("Window [") == 2
+
+
+def test_match_questions_use_per_match_counts(spark):
+    text = plan_text(reports.playlist_joined_rows(spark, SF_SMALL), "simple")
+    assert "Exchange hashpartitioning(match_id" not in text
+    assert "(_n_det#" in text or "_n_det" in text
