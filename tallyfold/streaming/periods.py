@@ -38,6 +38,7 @@ def fold_periods(
     table: str | None = None,
     bucket_by: Sequence[str] = (),
     n_buckets: int | None = None,
+    partition_of: Callable[[Any], Any] | None = None,
 ) -> DataFrame | None:
     """Fold ``step`` over ``periods``; returns the last snapshot, or with
     ``keep_all`` and a sink every written period.
@@ -47,7 +48,12 @@ def fold_periods(
     step then joins the previous period in place and shuffles only the new
     period's facts.  The table is created on the first period unless it
     already exists; an existing table is also the default ``initial``, so a
-    run resumes from it (and a rerun replaces the periods it covers)."""
+    run resumes from it (and a rerun replaces the periods it covers).
+
+    ``partition_of`` maps a period to the value of ``partition_col`` its
+    step writes (identity by default; e.g. the month start for a daily step
+    into a monthly table)."""
+    part = partition_of or (lambda p: p)
     if table is not None and initial is None:
         session = spark or SparkSession.getActiveSession()
         if session is not None and session.catalog.tableExists(table):
@@ -66,14 +72,14 @@ def fold_periods(
             else:
                 n = n_buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
                 write_snapshot_table(cur, table, partition_col, bucket_by, n, scratch_path(session, f"tables/{table}"))
-            cur = session.table(table).where(F.col(partition_col) == F.lit(p)).select(*cols)
+            cur = session.table(table).where(F.col(partition_col) == F.lit(part(p))).select(*cols)
         elif sink_path is not None:
             if partition_col is None:
                 raise ValueError("a sink needs the period partition column")
             cols = cur.columns
             overwrite_into(cur, sink_path, partition_by=[partition_col])
             session = spark or cur.sparkSession
-            cur = session.read.parquet(sink_path).where(F.col(partition_col) == F.lit(p)).select(*cols)
+            cur = session.read.parquet(sink_path).where(F.col(partition_col) == F.lit(part(p))).select(*cols)
         else:
             cur = cut_lineage(cur)
         prev = last = cur

@@ -3,11 +3,12 @@
 New fact rows arrive as micro-batches.  ``foreachBatch`` stores each batch
 (idempotently: a retried batch overwrites its own folder), finds the days it
 touches, and re-runs the step from the earliest touched day up to the
-latest day seen, overwriting those partitions of the snapshot table.  Late
-rows therefore never get dropped: they re-open their day, and every later
+latest day seen, overwriting the partitions the steps write.  Late rows
+therefore never get dropped: they re-open their day, and every later
 snapshot that depended on it is rebuilt.  The snapshot table is partitioned
-by day and bucketed by the entity key, so each rerun step shuffles only the
-day's facts.
+by its period (a day for date lists, a month for monthly facts) and
+bucketed by the entity key, so each rerun step shuffles only the day's
+facts.  A small progress table records the latest day loaded.
 """
 
 from __future__ import annotations
@@ -39,14 +40,26 @@ def stream_daily_loads(
     name: str,
     time_col: str = "event_time",
     available_now: bool = True,
+    partition_of: Callable[[dt.date], object] | None = None,
 ) -> StreamingQuery:
     """Start a query that keeps snapshot ``table`` up to date from the
     streaming ``source``.  ``step(prev, facts, day)`` is an incremental
     operator such as ``cumulate_hosts`` (wrapped to apply its own cleaning).
-    With ``available_now`` the query processes what is there and stops."""
+    With ``available_now`` the query processes what is there and stops.
+    ``partition_of`` maps a day to the table partition its step writes (the
+    day itself by default, the month start for monthly facts)."""
     facts_path = scratch_path(spark, f"streams/{name}/facts", unique=False)
+    progress_path = scratch_path(spark, f"streams/{name}/progress", unique=False)
     checkpoint = scratch_path(spark, f"streams/{name}/checkpoint", unique=False)
 
+    def loaded_through(session: SparkSession, batch_id: int) -> dt.date | None:
+        """Latest day loaded by the earlier batches (none on the first)."""
+        try:
+            done = session.read.parquet(progress_path)
+        except Exception:  # no batch has finished yet
+            return None
+        return done.where(F.col("batch_id") < F.lit(batch_id)).agg(F.max("loaded_through")).first()[0]
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         rows = batch.withColumn("_day", F.to_date(time_col))
@@ -59,12 +72,11 @@ def stream_daily_loads(
         if touched[0] is None:
             return
         first, last = touched
-        if session.catalog.tableExists(table):
-            done = session.table(table).agg(F.max(partition_col)).first()[0]
-            if done is not None:
-                last = max(last, done)
-                if first > done + dt.timedelta(days=1):
-                    first = done + dt.timedelta(days=1)  # close any gap of silent days
+        done = loaded_through(session, batch_id)
+        if done is not None:
+            last = max(last, done)
+            if first > done + dt.timedelta(days=1):
+                first = done + dt.timedelta(days=1)  # close any gap of silent days
         # Steps read only their own day's facts (the snapshot carries the
         # rest), so partitions outside the re-run range are pruned.
         facts = (
@@ -81,6 +93,13 @@ def stream_daily_loads(
             table=table,
             partition_col=partition_col,
             bucket_by=bucket_by,
+            partition_of=partition_of,
+        )
+        # Recorded last: a batch retried after a failure re-runs its days.
+        (
+            session.createDataFrame([(batch_id, last)], "batch_id bigint, loaded_through date")
+            .write.mode("overwrite")
+            .parquet(f"{progress_path}/batch={batch_id}")
         )
 
     writer = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

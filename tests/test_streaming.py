@@ -62,3 +62,35 @@ def test_stream_with_late_rows_equals_backfill(spark):
         got = snap.where(F.col("date") == F.lit(d)).select("host_name", "host_activity_datelist", "date")
         exp = cumulate.hosts_backfill(clean_all, d)
         assert rows(got) == rows(exp), d
+
+
+def test_stream_monthly_facts_with_late_rows(spark):
+    from tallyfold.operators import activity
+
+    ev = proxy.web_events(spark, SF_SMALL)
+    src = scratch_path(spark, "stream_src_monthly")
+    day = F.dayofmonth("event_time")
+    late = (F.col("host") == F.lit("click")) & day.between(2, 4)
+    parts = [ev.where(~late & (day <= 15)), ev.where(~late & (day > 15)), ev.where(late)]
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{src}/part{i}")
+        time.sleep(1.1)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    table = f"monthly_stream_{uuid.uuid4().hex[:8]}"
+    q = stream_daily_loads(
+        spark,
+        stream,
+        lambda prev, facts, d: activity.reduce_monthly(prev, _clean(facts), d, "host"),
+        table=table,
+        partition_col="month_start",
+        bucket_by=["host"],
+        name=table,
+        partition_of=lambda d: d.replace(day=1),
+    )
+    q.awaitTermination(600)
+    assert q.exception() is None
+    clean_all = _clean(ev)
+    last = clean_all.agg(F.max("event_time")).first()[0].date()
+    got = spark.table(table).select("host", "hit_array", "unique_visitors", "month_start")
+    exp = activity.reduce_monthly_backfill(clean_all, last, "host")
+    assert rows(got) == rows(exp.select(*got.columns))
