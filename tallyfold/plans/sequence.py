@@ -71,7 +71,10 @@ def sequence_positions(
         *[F.coalesce(F.sum(f"_seq_s_{i}").over(before), F.lit(0)).alias(f"_seq_o_{i}") for i in range(len(sums))],
     )
 
-    joined = ranged.join(offsets, [_PID, _KEY])
+    # Each (partition, key) group is at most one range partition.  Hashing the
+    # groups into more buckets than there are range partitions keeps two
+    # large groups (pieces of one hot key) from landing in the same task.
+    joined = ranged.repartition(4 * n, _PID, _KEY).join(offsets, [_PID, _KEY])
     local = Window.partitionBy(_PID, _KEY).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.select(
         *cols,
