@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, rows
 
 from tallyfold import reports
 from tallyfold.operators import cumulate, patterns, scd
@@ -104,3 +104,14 @@ def test_match_questions_use_per_match_counts(spark):
     text = plan_text(reports.playlist_joined_rows(spark, SF_SMALL), "simple")
     assert "Exchange hashpartitioning(match_id" not in text
     assert "(_n_det#" in text or "_n_det" in text
+
+
+def test_positions_window_only_behind_key_check(spark):
+    from tallyfold.plans.sequence import positions
+
+    df = spark.createDataFrame([(0 if i < 200 else i, i) for i in range(260)], "k int, t int")
+    small = plan_text(positions(df, ["k"], ["t"], max_key_rows=1000), "simple")
+    assert "row_number()" in small  # largest key (200 rows) is under the bound: per-key window
+    big = plan_text(positions(df, ["k"], ["t"], max_key_rows=100), "simple")
+    assert "row_number()" not in big  # over the bound: range-partitioned positions
+    assert rows(positions(df, ["k"], ["t"], max_key_rows=1000)) == rows(positions(df, ["k"], ["t"], max_key_rows=100))
