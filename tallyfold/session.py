@@ -9,7 +9,10 @@ folder itself; only tests and local entry points set one when it is unset.
 from __future__ import annotations
 
 import contextlib
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +30,27 @@ def session_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", str(id(spark)))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers: a zip of
+    its source goes to every executor through Spark, once per application."""
+    sc = _context(spark)
+    if sc is None or sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tallyfold-src-"), "tallyfold.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("tallyfold", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder configured on the session, if any."""
     sc = _context(spark)
