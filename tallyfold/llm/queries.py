@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import langid, licenses, mixing, rules, secret_scan, wordpiece
+from tallyfold.llm import contamination, jaccard, langid, licenses, lm, mixing, repeats, rules, secret_scan, wordpiece
 from tallyfold.llm.text import crc_mod
 from tallyfold.sources.tables import read_table
 
@@ -19,6 +19,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(documents(spark, sf_dir))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
     return mixing.mix_sources(docs).drop("text")
@@ -29,6 +33,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABUL
     return wordpiece.count_pieces(documents(spark, sf_dir), automaton)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(documents(spark, sf_dir))
     kind = lambda k: F.size(F.filter("base", lambda s: s.kind == k)).cast("long")
@@ -41,6 +57,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     fold = crc_mod("doc_id", 3)
@@ -65,17 +85,42 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(documents(spark, sf_dir)).drop("spans")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_lm_scoring,
         op2_mix_sources,
         op3_token_counts,
+        op4_decontamination,
         op5_secret_scan,
+        op6_ngram_jaccard,
         op7_language_id,
         op8_quality_rules,
         op9_license_scan,
+        op10_substring_dedup,
     )
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express over whole tables.
+SQL: dict[str, str] = {
+    "op4_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(list_slice(w, i + 1, i + 10), ' ') AS t
+       FROM (SELECT *, unnest(range(greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, i, l, array_to_string(list_slice(w, i + 1, i + l), ' ') AS t
+       FROM (SELECT doc_id, w, l, unnest(range(greatest(len(w) - l + 1, 0))) AS i FROM d, (SELECT DISTINCT l FROM bw))),
+m AS (SELECT DISTINCT doc_id, i, l, t FROM dw SEMI JOIN bw USING (t)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM m) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m JOIN bw USING (t)) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)""",
+}

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,3 +143,44 @@ def parts_by(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     small = bucket.astype(np.uint16) if n < 65536 else bucket
     order = np.argsort(small, kind="stable")
     return order, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=n))])
+
+
+CHUNK_SCHEMA = "_part int, _ids array<long>, _len binary, _blob binary"
+
+
+def chunk_table(docs: DataFrame, name: str, text_col: str = "text", id_col: str = "doc_id", part: Column | None = None) -> DataFrame:
+    """The documents as compressed chunks of at most ``SLICE_BYTES`` of text,
+    each of one ``part``, written once to the shared folder: ``_chunk`` (a
+    number that stays), ``_part``, ``_ids`` and the texts.  Later passes read
+    or shuffle these instead of the texts."""
+    from tallyfold.session import materialize
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column(2).to_numpy(zero_copy_only=False)
+            for p in np.unique(parts):
+                at = pa.array(np.flatnonzero(parts == p))
+                ids, col = batch.column(0).take(at), texts(batch.column(1).take(at))
+                for a, b in slices(col):
+                    rows = col.slice(a, b - a)
+                    sizes = pc.binary_length(rows).to_numpy(zero_copy_only=False).astype("<u4")
+                    data = pc.binary_join(pa.array([rows.to_pylist()], pa.large_list(pa.large_string())), pa.scalar("", pa.large_string()))[0].as_py().encode()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([int(p)], pa.int32()),
+                            pa.array([ids.slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                            pa.array([sizes.tobytes()], pa.binary()),
+                            pa.array([zstandard.compress(data, 3)], pa.binary()),
+                        ],
+                        ["_part", "_ids", "_len", "_blob"],
+                    )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"), (F.lit(0) if part is None else part).cast("int").alias("_p"))
+    return materialize(rows.mapInArrow(packed, CHUNK_SCHEMA).withColumn("_chunk", F.monotonically_increasing_id()), name)
+
+
+def chunk_texts(lengths: bytes, blob: bytes) -> pa.Array:
+    """The texts of a chunk."""
+    data = zstandard.decompress(blob)
+    offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, "<u4").astype(np.int64))])
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
