@@ -10,9 +10,10 @@ Rarity is counted over all documents, by the benchmark's vocabulary.
 The document words are joined with the prefix words alone; a match gives the
 place the window would have to stand in, which must lie inside the document
 (positional and length bounds), and the words there are compared with the
-whole window (exact check).  Explode, join and the document's word array stay
-in one generated stage, so the array is only written out for the few rows
-that match; nothing but matches is shuffled.
+whole window (exact check).  Of a run of windows that occur one after another
+only the first and the last are put out.  Explode, join and check are one
+generated stage, so a document's word array is never copied for a word of it,
+and nothing but the ends of matching runs is shuffled.
 
 The window table is broadcast in blocks of at most ``broadcast_bytes``, sized
 from its measured bytes: a larger benchmark takes more passes over the
@@ -30,6 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.plans.joins import row_bytes
 from tallyfold.session import materialize
 
 WINDOW = 10
@@ -52,48 +54,64 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     )
 
 
-def windows_of(items: DataFrame, window: int, text_col: str, item_col: str) -> DataFrame:
-    """Distinct windows: ``_t`` (words joined by a space), ``_n`` words and
-    the items they come from."""
-    plain = F.translate(F.col(text_col), _UPPER, _LOWER)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - window + 1, F.lit(1)))
-    return (
-        items.select(F.col(item_col).alias("_i"), words(plain).alias("_w"))
+def item_classes(items: DataFrame, text_col: str, item_col: str) -> DataFrame:
+    """Distinct word sequences of the items: ``_c`` (a number), ``_w`` (the
+    words) and ``_items``."""
+    found = (
+        items.select(F.col(item_col).alias("_i"), words(F.translate(F.col(text_col), _UPPER, _LOWER)).alias("_w"))
         .where(F.size("_w") > 0)
-        .select("_i", F.explode(F.transform(starts, lambda s: F.slice("_w", s, window))).alias("_x"))
-        .groupBy(F.concat_ws(" ", "_x").alias("_t"), F.size("_x").alias("_n"))
+        .groupBy(F.concat_ws(" ", "_w").alias("_t"))
         .agg(F.collect_set("_i").alias("_items"))
     )
+    return materialize(found.select(F.monotonically_increasing_id().alias("_c"), F.split("_t", " ").alias("_w"), "_items"), "item-classes")
+
+
+def _windows(classes: DataFrame, window: int) -> DataFrame:
+    """``_c``, ``_s`` (start), ``_n`` (words), ``_x`` (the words) and the words
+    of the item beside the window (null at its ends)."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_w") - window, F.lit(0)))
+    return classes.select("_c", "_w", F.explode(starts).alias("_s")).select(
+        "_c", "_s",
+        F.least(F.size("_w"), F.lit(window)).alias("_n"),
+        F.slice("_w", F.col("_s") + 1, window).alias("_x"),
+        F.get("_w", F.col("_s") - 1).alias("_prev"),
+        F.get("_w", F.col("_s") + window).alias("_next"),
+    )
 
 
-def prefix_table(docs: DataFrame, items: DataFrame, window: int, broadcast_bytes: int, text_col: str, item_text_col: str, item_col: str) -> tuple[DataFrame, int]:
-    """Prefix word -> the windows it stands for (with its offset in each), and
-    the number of blocks to broadcast the table in."""
-    found = materialize(windows_of(items, window, item_text_col, item_col), "windows")
-    placed = found.select("_t", F.posexplode(F.split("_t", " ")).alias("_o", "_p"))
-    vocabulary = materialize(placed.select(F.lower("_p").alias("_k")).distinct(), "window-words")
-    size = vocabulary.agg(F.sum(F.octet_length("_k") + 64)).first()[0] or 0
-    n = max(1, -(-int(size) // broadcast_bytes))
-    seen = docs.select(F.explode(words(F.col(text_col))).alias("_x")).select(F.lower("_x").alias("_k"))
-    blocks = [vocabulary.where(F.pmod(F.xxhash64("_k"), F.lit(n)) == i) if n > 1 else vocabulary for i in range(n)]
-    counts = reduce(DataFrame.unionByName, [seen.join(F.broadcast(b), "_k", "left_semi").groupBy("_k").agg(F.count(F.lit(1)).alias("_c")) for b in blocks])
+def _blocks(table: DataFrame, broadcast_bytes: int) -> list[DataFrame]:
+    """A table with column ``_k`` in parts that may each be broadcast."""
+    size = table.agg(F.sum(row_bytes(table).cast("long"))).first()[0] or 0
+    n = max(1, -(-size // broadcast_bytes))
+    return [table] if n == 1 else [table.where(F.pmod(F.xxhash64("_k"), F.lit(n)) == i) for i in range(n)]
+
+
+def prefix_words(docs: DataFrame, classes: DataFrame, window: int, broadcast_bytes: int, text_col: str) -> DataFrame:
+    """One row per window: its rarest word ``_k`` (any case), the word's
+    offset ``_o``, the window and what is beside it.  Windows with a word that
+    no document has are left out."""
+    found = _windows(classes, window)
+    placed = found.select("_c", "_s", F.posexplode("_x").alias("_o", "_p")).withColumn("_k", F.lower("_p"))
+    vocabulary = materialize(placed.select("_k").distinct(), "window-words")
+    seen = docs.select(F.explode(words(F.col(text_col))).alias("_p")).select(F.lower("_p").alias("_k"))
+    counts = reduce(
+        DataFrame.unionByName,
+        [seen.join(F.broadcast(b), "_k", "left_semi").groupBy("_k").agg(F.count(F.lit(1)).alias("_n")) for b in _blocks(vocabulary, broadcast_bytes)],
+    )
     rarest = (
-        placed.withColumn("_k", F.lower("_p"))
-        .join(counts, "_k", "left")
-        # A word no document has proves its window absent: rarest of all.
-        .groupBy("_t")
-        .agg(F.min(F.struct(F.coalesce("_c", F.lit(0)).alias("c"), F.col("_k").alias("k"), F.col("_o").alias("o"))).alias("_r"))
+        placed.join(counts, "_k", "left")
+        .groupBy("_c", "_s")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_k").alias("k"), F.col("_o").alias("o"))).alias("_r"))
     )
-    table = materialize(
-        found.join(rarest, "_t")
-        .where("_r.c > 0")
-        .groupBy(F.col("_r.k").alias("_k"))
-        .agg(F.collect_list(F.struct(F.col("_r.o").alias("o"), F.col("_n").alias("n"), F.col("_t").alias("t"), F.col("_items").alias("items"))).alias("_windows")),
+    return materialize(
+        found.join(rarest, ["_c", "_s"])
+        .where("_r.n > 0")
+        .select(
+            F.col("_r.k").alias("_k"), F.col("_r.o").alias("_o"), "_c", "_s", "_n", F.concat_ws(" ", "_x").alias("_t"),
+            F.lower(F.get("_x", F.lit(0))).alias("_first"), "_prev", "_next",
+        ),
         "prefix-words",
-    )
-    one = F.aggregate("_windows", F.lit(0).cast("long"), lambda a, w: a + F.octet_length(w.t) + 8 * F.size(w["items"]) + 64)
-    size = table.agg(F.sum(one)).first()[0] or 0
-    return table, max(1, -(-int(size) // broadcast_bytes))
+    )
 
 
 def contamination(
@@ -110,48 +128,66 @@ def contamination(
     occurring windows), ``items`` (those with occurring windows, sorted as
     strings), ``spans`` (hit word ranges, end exclusive) and the row digest
     columns ``_h``, ``_b``."""
-    table, n = prefix_table(docs, items, window, broadcast_bytes, text_col, item_text_col, item_col)
+    classes = item_classes(items, item_text_col, item_col)
+    table = prefix_words(docs, classes, window, broadcast_bytes, text_col)
     keyed = _keyed(docs, text_col, id_col)
-    spread = keyed.select("*", F.posexplode("_w").alias("_pos", "_word")).withColumn("_k", F.lower("_word"))
-
-    def fits(w: Column) -> Column:
-        at = F.col("_pos") - w.o
-        there = F.concat_ws(" ", F.slice("_w", F.greatest(at, F.lit(0)) + 1, w.n))
-        return (at >= 0) & (at + w.n <= F.size("_w")) & (F.translate(there, _UPPER, _LOWER) == w.t)
-
-    found = []
-    for i in range(n):
-        block = table if n == 1 else table.where(F.pmod(F.xxhash64("_k"), F.lit(n)) == i)
-        found.append(spread.join(F.broadcast(block), "_k").select("_id", "_h", "_b", "_pos", F.filter("_windows", fits).alias("_m")))
-    matched = reduce(DataFrame.unionByName, found).where(F.size("_m") > 0)
-    per_doc = matched.select(
-        "_id", "_h", "_b",
-        F.transform("_m", lambda w: F.struct((F.col("_pos") - w.o).alias("a"), (F.col("_pos") - w.o + w.n).alias("e"))).alias("_s"),
-        F.array_distinct(F.flatten(F.transform("_m", lambda w: w["items"]))).alias("_i"),
-    ).groupBy("_id", "_h", "_b").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_s")))).alias("_s"),
-        F.array_distinct(F.flatten(F.collect_list("_i"))).alias("_i"),
+    spread = keyed.select("_id", "_h", "_b", F.col("_w").alias("_all"), F.posexplode("_w").alias("_pos", "_word")).withColumn("_wk", F.lower("_word"))
+
+    at = F.col("_pos") - F.col("_o")
+    same = lambda a, b: F.translate(a, _UPPER, _LOWER).eqNullSafe(b)
+    first = F.col("_prev").isNull() | ~same(F.get("_all", at - 1), F.col("_prev"))
+    last = F.col("_next").isNull() | ~same(F.get("_all", at + F.col("_n")), F.col("_next"))
+    there = F.concat_ws(" ", F.slice("_all", F.greatest(at, F.lit(0)) + 1, F.col("_n")))
+    fits = (
+        (F.col("_wk") == F.col("_k"))
+        & (at >= 0)
+        & (at + F.col("_n") <= F.size("_all"))
+        & (F.lower(F.get("_all", at)) == F.col("_first"))
+        & same(there, F.col("_t"))
+        & (first | last)
+    )
+    ends = reduce(
+        DataFrame.unionByName,
+        [
+            spread.join(F.broadcast(b), fits).select(
+                "_id", "_h", "_b", "_c", (at - F.col("_s")).alias("_d"), at.alias("_a"), (at + F.col("_n")).alias("_e"), first.alias("_first"), last.alias("_last")
+            )
+            for b in _blocks(table, broadcast_bytes)
+        ],
+    )
+    # Along one alignment of item and document runs start and end in turn.
+    runs = ends.groupBy("_id", "_h", "_b", "_c", "_d").agg(
+        F.sort_array(F.collect_list(F.when(F.col("_first"), F.col("_a")))).alias("_as"),
+        F.sort_array(F.collect_list(F.when(F.col("_last"), F.col("_e")))).alias("_es"),
+    )
+    ranges = F.zip_with("_as", "_es", lambda a, e: F.struct(a.alias("a"), e.alias("e")))
+    per_doc = (
+        runs.select("_id", "_h", "_b", "_c", ranges.alias("_s"))
+        .groupBy("_id", "_h", "_b", "_c").agg(F.flatten(F.collect_list("_s")).alias("_s"))
+        .join(classes.select("_c", "_items"), "_c")
+        .groupBy("_id", "_h", "_b")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_s")))).alias("_s"), F.flatten(F.collect_list("_items")).alias("_i"))
     )
     # Ranges in order of their starts: join those that touch.
-    ranges = F.aggregate(
+    top = lambda acc: F.try_element_at(acc, F.lit(-1))
+    joined = F.aggregate(
         "_s",
         F.expr("cast(array() as array<struct<a:int,e:int>>)"),
         lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s.a <= F.coalesce(F.try_element_at(acc, F.lit(-1)).e, F.lit(-1))),
+            s.a <= F.coalesce(top(acc).e, F.lit(-1)),
             F.concat(
                 F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(acc, F.lit(-1)).a.alias("a"), F.greatest(F.try_element_at(acc, F.lit(-1)).e, s.e).alias("e"))),
+                F.array(F.struct(top(acc).a.alias("a"), F.greatest(top(acc).e, s.e).alias("e"))),
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
     hits = per_doc.select(
         F.col("_id").alias("_hid"), F.col("_h").alias("_hh"), F.col("_b").alias("_hb"),
-        ranges.alias("_s"), F.array_sort(F.transform("_i", lambda x: x.cast("string"))).alias("_i"),
+        joined.alias("_s"), F.array_sort(F.transform("_i", lambda x: x.cast("string"))).alias("_i"),
     )
     sizes = keyed.select("_id", "_h", "_b", F.size("_w").cast("long").alias("n_words"))
     on = F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_h") == F.col("_hh")) & (F.col("_b") == F.col("_hb"))
-    none = F.expr("cast(array() as array<struct<a:int,e:int>>)")
-    spans = F.coalesce("_s", none)
+    spans = F.coalesce("_s", F.expr("cast(array() as array<struct<a:int,e:int>>)"))
     return sizes.join(hits, on, "left").select(
         F.col("_id").alias(id_col),
         "n_words",
@@ -161,3 +197,11 @@ def contamination(
         "_h",
         "_b",
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the documents that hold a window of an item."""
+    bad = contamination(docs, items, window, text_col, id_col).where("n_hit > 0").select(F.col(id_col).alias("_bi"), F.col("_h").alias("_bh"), F.col("_b").alias("_bb"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    on = F.col(id_col).eqNullSafe(F.col("_bi")) & (F.xxhash64(text) == F.col("_bh")) & (F.octet_length(text) == F.col("_bb"))
+    return docs.join(bad.distinct(), on, "left_anti")

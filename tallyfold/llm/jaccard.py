@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.components import components
@@ -77,8 +77,8 @@ def full_keys(low: np.ndarray, fragment: int) -> np.ndarray:
     return mix(low ^ mix(np.array([fragment + 1], np.uint64)))
 
 
-def doc_sets(docs: DataFrame, n: int, text_col: str, id_col: str) -> DataFrame:
-    """(id, ``n_shingles``, ``_set``) of every document."""
+def set_of(text: Column, n: int) -> Column:
+    """struct(n_shingles, _set) of a text."""
 
     @F.arrow_udf("struct<n_shingles:long,_set:long>")
     def described(column: pa.Array) -> pa.Array:
@@ -87,9 +87,13 @@ def doc_sets(docs: DataFrame, n: int, text_col: str, id_col: str) -> DataFrame:
             got += [(len(k), set_id(k)) for k in shingle_sets(col.slice(a, b - a), n)]
         return pa.StructArray.from_arrays([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], ["n_shingles", "_set"])
 
-    return (
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).select("_id", described("_t").alias("_d")).select("_id", "_d.*")
-    )
+    # Evaluated once a row, below any filter on its result.
+    return described.asNondeterministic()(text)
+
+
+def doc_sets(docs: DataFrame, n: int, text_col: str, id_col: str) -> DataFrame:
+    """(id, ``n_shingles``, ``_set``) of every document."""
+    return docs.select(F.col(id_col).alias("_id"), set_of(F.col(text_col), n).alias("_d")).select("_id", "_d.*")
 
 
 def _segments(docs: DataFrame, n: int, fragments: int, text_col: str) -> DataFrame:
@@ -271,7 +275,7 @@ def jaccard_links(docs: DataFrame, sets: DataFrame, n: int, percent: int, fragme
     return first.unionByName(second)
 
 
-def jaccard_components(
+def jaccard_groups(
     docs: DataFrame,
     n: int = SHINGLE,
     percent: int = THRESHOLD_PERCENT,
@@ -279,15 +283,53 @@ def jaccard_components(
     id_col: str = "doc_id",
     fragment_keys: int = FRAGMENT_KEYS,
 ) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id`` (the
-    smallest id reachable by links of similarity ``percent`` or more)."""
+    """Per document ``_id``, ``n_shingles``, ``_set`` (its set's fingerprint,
+    0 if empty), ``_group`` (one of the sets of its component) and
+    ``component_id``."""
     sets = materialize(doc_sets(docs, n, text_col, id_col), "jaccard-sets")
     links = materialize(jaccard_links(docs, sets, n, percent, fragment_keys, text_col), "jaccard-all-links")
     group = components(links, "a", "b")
     least = sets.where("n_shingles > 0").groupBy("_set").agg(F.min("_id").alias("_m"))
     named = least.join(group.select(F.col("node").alias("_set"), "component"), "_set", "left")
     of_group = named.where("component is not null").groupBy("component").agg(F.min("_m").alias("_gm"))
-    label = named.join(of_group, "component", "left").select("_set", F.coalesce("_gm", "_m").alias("component_id"))
+    label = named.join(of_group, "component", "left").select(
+        "_set", F.coalesce("component", "_set").alias("_group"), F.coalesce("_gm", "_m").alias("component_id")
+    )
     return sets.join(label, "_set", "left").select(
-        F.col("_id").alias(id_col), "n_shingles", F.coalesce("component_id", "_id").alias("component_id")
+        "_id", "n_shingles", "_set", "_group", F.coalesce("component_id", "_id").alias("component_id")
+    )
+
+
+def jaccard_components(
+    docs: DataFrame,
+    n: int = SHINGLE,
+    percent: int = THRESHOLD_PERCENT,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    fragment_keys: int = FRAGMENT_KEYS,
+) -> DataFrame:
+    """One row per document: id, ``n_shingles``, ``component_id`` (the
+    smallest id reachable by links of similarity ``percent`` or more)."""
+    groups = jaccard_groups(docs, n, percent, text_col, id_col, fragment_keys)
+    return groups.select(F.col("_id").alias(id_col), "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = THRESHOLD_PERCENT, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component left, the one of smallest id
+    (of rows repeating that id, one); rows with the empty set all stay."""
+    groups = jaccard_groups(docs, n, percent, text_col, id_col)
+    keep = (
+        groups.where("n_shingles > 0")
+        .groupBy("_group")
+        .agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_set").alias("s"))).alias("_k"))
+        .select(F.col("_k.i").alias("_ki"), F.col("_k.s").alias("_ks"))
+    )
+    cols = docs.columns
+    marked = docs.withColumn("_tf_set", set_of(F.col(text_col), n)["_set"])
+    # The set is unique to its keeper, so it alone decides; the id picks the row.
+    kept = (
+        marked.where("_tf_set <> 0")
+        .join(keep, (F.col("_tf_set") == F.col("_ks")) & F.col(id_col).eqNullSafe(F.col("_ki")))
+        .dropDuplicates(["_tf_set"])
     )
+    return kept.select(*cols).unionByName(marked.where("_tf_set = 0").select(*cols))
