@@ -39,8 +39,10 @@ def monthly_user_site_hits_transformation(spark: SparkSession, dataframe: DataFr
     return positional_sums(dataframe, ds)
 
 
-def team_vertex_transformation(spark: SparkSession, dataframe: DataFrame, order=None) -> DataFrame:
-    """teams -> team_vertex(identifier, type, properties)."""
+def team_vertex_transformation(spark: SparkSession, dataframe: DataFrame, order) -> DataFrame:
+    """teams -> team_vertex(identifier, type, properties).  ``order`` (columns
+    or sort expressions) says which of a team's rows is the first: the rows of
+    a table come in no order of their own."""
     return team_vertex(dataframe, order=order)
 
 

@@ -63,8 +63,9 @@ def daily_activity(events: DataFrame, day_filter: Column, key: str = "host") ->
 def reduce_monthly(prev: DataFrame | None, events: DataFrame, day: dt.date, key: str = "host") -> DataFrame:
     """O11 step for ``day``: one row per key and month whose arrays hold, at
     index i, the value of day i+1.  Silent days and keys first seen
-    mid-month are zero-padded.  Arrays are cut to the days before ``day``
-    first, so rerunning a day replaces its value instead of appending twice.
+    mid-month are zero-padded.  Rerunning any day replaces that day's slot and
+    leaves every other day as it is, later days included (a key new in the
+    rerun gets zeros for them, as its month's other keys have values there).
     """
     month = day.replace(day=1)
     dom = day.day
@@ -73,12 +74,18 @@ def reduce_monthly(prev: DataFrame | None, events: DataFrame, day: dt.date, key:
         prev = today.sparkSession.createDataFrame(
             [], f"{key} {events.schema[key].dataType.simpleString()}, hit_array array<bigint>, unique_visitors array<bigint>, month_start date"
         )
-    y = prev.where(F.col("month_start") == F.lit(month)).alias("y")
+    loaded = prev.where(F.col("month_start") == F.lit(month))
+    y = loaded.alias("y")
     j = y.join(today, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
+    # Days of the month loaded so far (rows of a month have equal lengths).
+    through = F.coalesce(loaded.agg(F.max(F.size("hit_array"))).scalar(), F.lit(0))
 
     def upd(arr: str, val: str) -> Column:
-        kept = F.slice(F.coalesce(F.col(f"y.{arr}"), F.array().cast("array<bigint>")), 1, dom - 1)
-        return pad_and_append(kept, F.lit(dom - 1), F.coalesce(F.col(f"t.{val}"), F.lit(0)))
+        old = F.coalesce(F.col(f"y.{arr}"), F.array().cast("array<bigint>"))
+        upto = pad_and_append(F.slice(old, 1, dom - 1), F.lit(dom - 1), F.coalesce(F.col(f"t.{val}"), F.lit(0)))
+        rest = F.slice(old, dom + 1, F.greatest(F.size(old) - dom, F.lit(0)))
+        none = F.array_repeat(F.lit(0).cast("bigint"), F.greatest(through - dom - F.size(rest), F.lit(0)))
+        return F.concat(upto, rest, none)
 
     return j.select(
         F.coalesce(f"t.{key}", f"y.{key}").alias(key),

@@ -242,9 +242,20 @@ def _season_struct() -> Column:
     )
 
 
+def _one_per_season(player_seasons: DataFrame) -> DataFrame:
+    """One row per (player, season): of repeated rows the one of most points
+    (then by the other columns), chosen by an aggregate that combines
+    map-side."""
+    rest = ["pts", "ast", "reb", "weight", *PLAYER_ATTRS]
+    best = player_seasons.groupBy("player_name", "season").agg(F.max(F.struct(*rest)).alias("_best"))
+    return best.select("player_name", "season", "_best.*")
+
+
 def cumulate_players(prev: DataFrame | None, player_seasons: DataFrame, season: int) -> DataFrame:
     """O2 step: attributes previous-first, stats appended when the player
-    played this season, scoring class from this season's points."""
+    played this season, scoring class from this season's points.  Repeated
+    rows of a player and season count once (:func:`_one_per_season`)."""
+    player_seasons = _one_per_season(player_seasons.where(F.col("season") == F.lit(season)))
     t = player_seasons.where(F.col("season") == F.lit(season)).select(
         "player_name", *PLAYER_ATTRS, "season", _season_struct().alias("stats"), "pts"
     )
@@ -272,8 +283,9 @@ def cumulate_players(prev: DataFrame | None, player_seasons: DataFrame, season:
 
 
 def players_backfill(player_seasons: DataFrame, as_of: int) -> DataFrame:
-    """O2 closed form: every seasonal snapshot up to ``as_of``."""
-    facts = player_seasons.where(F.col("season") <= F.lit(as_of)).repartition("player_name")
+    """O2 closed form: every seasonal snapshot up to ``as_of``; repeated rows
+    of a player and season count once."""
+    facts = _one_per_season(player_seasons.where(F.col("season") <= F.lit(as_of))).repartition("player_name")
     rows = _expand_to_next(facts.withColumn("stats", _season_struct()), "season", ["player_name"], as_of, "current_season")
     running = Window.partitionBy("player_name").orderBy("current_season").rowsBetween(Window.unboundedPreceding, 0)
     active = F.col("current_season") == F.col("season")

@@ -77,8 +77,9 @@ def team_games(game_details: DataFrame, games: DataFrame) -> DataFrame:
     the game; a team won when it is home and the home team won, or away and
     the home team lost."""
     tg = game_details.select("game_id", "team_id").distinct()
-    tg = tg.withColumn("home_team", F.min("team_id").over(Window.partitionBy("game_id")))
-    j = tg.join(games.select("game_id", "game_date", "home_team_wins"), "game_id")
+    # Combined map-side: a game with very many rows is one row per task.
+    homes = game_details.groupBy("game_id").agg(F.min("team_id").alias("home_team"))
+    j = tg.join(games.select("game_id", "game_date", "home_team_wins").join(homes, "game_id"), "game_id")
     won = F.when(F.col("team_id") == F.col("home_team"), F.col("home_team_wins") == 1).otherwise(
         F.col("home_team_wins") == 0
     )

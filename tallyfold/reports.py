@@ -14,7 +14,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold import schemas
@@ -25,8 +25,10 @@ from tallyfold.sources import proxy
 from tallyfold.sources.tables import (
     insert_periods,
     overwrite_into,
+    partitions_for,
     read_csv,
     read_table,
+    table_files,
     write_bucketed,
     write_csv,
     write_snapshot_table,
@@ -35,17 +37,24 @@ from tallyfold.sources.tables import (
 # ---------------------------------------------------------------- helpers
 
 
-_LATEST: dict[tuple[str, str, str], object] = {}
-
-
 def _latest(spark: SparkSession, sf_dir: str, table: str, col: str):
     """Latest value of a time column: a plain column max (answerable from
-    parquet footers when aggregate pushdown is on), looked up once per
-    session and read-only data folder.  Production passes the run date."""
-    ident = (session_id(spark), sf_dir, f"{table}.{col}")
-    if ident not in _LATEST:
-        _LATEST[ident] = read_table(spark, sf_dir, table).agg(F.max(col)).first()[0]
-    return _LATEST[ident]
+    parquet footers when aggregate pushdown is on).  Production passes the
+    run date."""
+    return read_table(spark, sf_dir, table).agg(F.max(col)).first()[0]
+
+
+_SHARED: dict[tuple, object] = {}
+
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build: Callable[[], object]):
+    """``build()``'s written tables, made once per session for the files the
+    source tables consist of now; new or changed files build them anew."""
+    files = tuple(table_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in tables)
+    ident = (session_id(spark), sf_dir, name, files)
+    if ident not in _SHARED:
+        _SHARED[ident] = build()
+    return _SHARED[ident]
 
 
 def _max_year(spark: SparkSession, sf_dir: str) -> int:
@@ -67,6 +76,7 @@ def _load(
     period_col: str,
     keys: list[str],
     step: Callable[[DataFrame], DataFrame],
+    replaces: bool = False,
 ) -> DataFrame:
     """The production sequence for a cumulative table: the backfill is
     written once as a snapshot table (partitioned by period, bucketed by
@@ -74,13 +84,22 @@ def _load(
     partition p-1 in place and inserts partition p.  Everything downstream
     reads the written table, so nothing upstream is computed twice."""
     table = f"tallyfold_{name}_{uuid.uuid4().hex[:10]}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(backfill)
     back = write_snapshot_table(backfill, table, period_col, keys, n, scratch_path(spark, f"snapshots/{table}", unique=False))
-    insert_periods(step(back), table)
+    result = step(back)
+    if replaces:
+        # The step reads the partition it replaces: write the new version
+        # whole before the insert touches the table.
+        result = materialize(result, f"versions/{table}")
+    insert_periods(result, table)
     return spark.table(table).select(*back.columns)
 
 
 def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    return _shared(spark, sf_dir, "actors", ("orders",), lambda: _load_actors(spark, sf_dir))
+
+
+def _load_actors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     y = _max_year(spark, sf_dir)
     # Each side reads only its years of facts (range pushed to the scan).
     back = cumulate.actors_backfill(proxy.actor_films(spark, sf_dir, last=y - 1), y - 1)
@@ -90,6 +109,10 @@ def _actor_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 
 
 def _player_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    return _shared(spark, sf_dir, "players", ("orders", "customer", "nation"), lambda: _load_players(spark, sf_dir))
+
+
+def _load_players(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     s = _max_year(spark, sf_dir)
     back = cumulate.players_backfill(proxy.player_seasons(spark, sf_dir, last=s - 1), s - 1)
     facts_s = proxy.player_seasons(spark, sf_dir, first=s, last=s)
@@ -115,9 +138,8 @@ def cumulate_actors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Films per history row in the chunked layout of the registered query: small
-# enough that the test tables produce actors with several chunks.
-FILM_CHUNK = 2
+# Films per history row in the chunked layout.
+FILM_CHUNK = 1000
 
 
 def cumulate_actors_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +153,7 @@ def cumulate_actors_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
         "actors_chunked",
         back,
         "current_year",
-        ["actorid"],
+        ["actorid", "chunk"],  # an actor's chunks go to different buckets
         lambda prev: cumulate.cumulate_actors_chunked(prev, facts_y, y, FILM_CHUNK),
     )
     return snaps.select(
@@ -219,6 +241,16 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scd2_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5 from a table that marks current rows by a NULL end: the same rows."""
+    snaps, y = _actor_snapshots(spark, sf_dir)
+    kw = dict(carry=["actor"], start_col="start_year", end_col="end_year")
+    attrs = ["quality_class", "is_active"]
+    prev = scd.scd2_backfill(snaps.where(F.col("current_year") < y), ["actorid"], "current_year", attrs, as_of=y - 1, as_of_col="current_year", **kw)
+    marked = materialize(prev.withColumn("end_year", F.when(F.col("end_year") < y - 1, F.col("end_year"))), "scd/actors_marked")
+    return scd.scd2_incremental(marked, snaps, y, ["actorid"], "current_year", attrs, as_of_col="current_year", **kw)
+
+
 # ---------------------------------------------------------------- O6 O7 O19
 
 
@@ -241,11 +273,17 @@ def team_vertex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_snapshot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date]:
+    """The date lists as of the last day, from the written table."""
+    return _shared(spark, sf_dir, "user_devices", ("events",), lambda: _load_user_devices(spark, sf_dir))
+
+
+def _load_user_devices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date]:
     ev = proxy.clean_events(spark, sf_dir)
-    dev = proxy.devices(spark, sf_dir)
+    dev = materialize(proxy.devices(spark, sf_dir), "devices")
     d = _max_day(spark, sf_dir)
     back = cumulate.user_devices_backfill(ev, dev, d - dt.timedelta(days=1))
-    return cumulate.cumulate_user_devices(back, ev, dev, d), d
+    step = lambda prev: cumulate.cumulate_user_devices(prev, ev, dev, d)
+    return _load(spark, "user_devices", back, "date", ["user_id", "browser_type"], step).where(F.col("date") == F.lit(d)), d
 
 
 def user_datelist(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,24 +298,50 @@ def datelist_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.datelist_to_bits(snap, ["user_id"], "device_activity_datelist", d)
 
 
-def host_datelist(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _host_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shared(spark, sf_dir, "hosts", ("events",), lambda: _load_hosts(spark, sf_dir))
+
+
+def _load_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = proxy.clean_events(spark, sf_dir)
     d = _max_day(spark, sf_dir)
     back = cumulate.hosts_backfill(ev, d - dt.timedelta(days=1))
-    snap = cumulate.cumulate_hosts(back, ev, d)
+    snaps = _load(spark, "hosts", back, "date", ["host_name"], lambda prev: cumulate.cumulate_hosts(prev, ev, d))
+    return snaps.where(F.col("date") == F.lit(d))
+
+
+def host_datelist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snap = _host_snapshot(spark, sf_dir)
     return snap.select("host_name", "date", F.posexplode("host_activity_datelist").alias("pos", "active_date"))
 
 
 def _monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.date]:
+    return _shared(spark, sf_dir, f"monthly_{key}", ("events",), lambda: _load_monthly(spark, sf_dir, key))
+
+
+def _load_monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.date]:
     ev = proxy.clean_events(spark, sf_dir)
     d = _max_day(spark, sf_dir)
     # Backfill through d-1, then the step for d rewrites the month of d.
     back = activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key)
-    return _load(spark, f"monthly_{key}", back, "month_start", [key], lambda prev: activity.reduce_monthly(prev, ev, d, key)), d
+    step = lambda prev: activity.reduce_monthly(prev, ev, d, key)
+    return _load(spark, f"monthly_{key}", back, "month_start", [key], step, replaces=True), d
 
 
 def host_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, _ = _monthly(spark, sf_dir, "host")
+    return _monthly_days(_monthly(spark, sf_dir, "host")[0])
+
+
+def host_monthly_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O11 with a day in the middle of the last month loaded once more: every
+    other day of the month stays."""
+    m, d = _monthly(spark, sf_dir, "host")
+    day = d.replace(day=(d.day + 1) // 2)
+    again = activity.reduce_monthly(m, proxy.clean_events(spark, sf_dir), day)
+    return _monthly_days(m.where(F.col("month_start") != F.lit(d.replace(day=1))).unionByName(again))
+
+
+def _monthly_days(m: DataFrame) -> DataFrame:
     z = m.select("host", "month_start", F.posexplode(F.arrays_zip("hit_array", "unique_visitors")).alias("i", "v"))
     return z.select(
         "host",
@@ -310,10 +374,14 @@ def positional_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- O13
 
 
-def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shared(spark, sf_dir, "players_growth", ("orders", "customer", "nation"), lambda: _load_growth(spark, sf_dir))
+
+
+def _load_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, s = _player_snapshots(spark, sf_dir)
     actives = cumulate.first_by_history(snaps)
-    allrows = _load(
+    return _load(
         spark,
         "players_growth",
         activity.states_backfill(actives, s - 1),
@@ -321,7 +389,10 @@ def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["player_name"],
         lambda prev: activity.track_states(prev, actives, s),
     )
-    return allrows.select(
+
+
+def player_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _growth(spark, sf_dir).select(
         "player_name",
         "season",
         "first_active_season",
@@ -342,6 +413,11 @@ def points_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.season_rolled_up(_grouping_sets(spark, sf_dir))
 
 
+def points_grouping_sets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three levels in full."""
+    return _grouping_sets(spark, sf_dir)
+
+
 def top_scorer_for_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.top_scorer_for_team(_grouping_sets(spark, sf_dir))
 
@@ -362,9 +438,22 @@ def rolling_wins_90(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.rolling_wins(_team_games(spark, sf_dir), 90)
 
 
+def rolling_wins_90_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O17 by the plan for teams of any size (range-partitioned)."""
+    return patterns.rolling_wins(_team_games(spark, sf_dir), 90, max_key_rows=None)
+
+
+def _player_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.player_game_points(proxy.game_details(spark, sf_dir), proxy.games(spark, sf_dir))
+
+
 def longest_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pg = patterns.player_game_points(proxy.game_details(spark, sf_dir), proxy.games(spark, sf_dir))
-    return patterns.longest_streak(pg, 10)
+    return patterns.longest_streak(_player_points(spark, sf_dir), 10)
+
+
+def longest_streak_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O18 by the plan for players of any size (range-partitioned)."""
+    return patterns.longest_streak(_player_points(spark, sf_dir), 10, max_key_rows=None)
 
 
 # ---------------------------------------------------------------- O20 - O27
@@ -374,27 +463,24 @@ def broadcast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.broadcast_join(proxy.medals(spark, sf_dir), proxy.maps(spark, sf_dir), "name")
 
 
-_LAYOUTS: dict[tuple[str, str], list[str]] = {}
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three match tables bucketed on match_id, written once (a layout
+    step), then shared by the match questions."""
+    return _shared(spark, sf_dir, "matches", ("orders", "lineitem", "customer"), lambda: _load_bucketed(spark, sf_dir))
 
 
-def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three match tables bucketed on match_id, written once per session
-    and data folder (a layout step), then shared by the match questions."""
-    ident = (session_id(spark), sf_dir)
-    names = _LAYOUTS.get(ident)
-    if names and all(spark.catalog.tableExists(n) for n in names):
-        return tuple(spark.table(n) for n in names)  # type: ignore[return-value]
+def _load_bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     tag = uuid.uuid4().hex[:10]
+    frames = {
+        "match_details": proxy.match_details(spark, sf_dir),
+        "matches": proxy.matches(spark, sf_dir),
+        "medal_matches_players": proxy.medal_matches_players(spark, sf_dir),
+    }
+    n = max(partitions_for(df) for df in frames.values())  # the same for all, to join in place
     out = []
-    for name, df in (
-        ("match_details", proxy.match_details(spark, sf_dir)),
-        ("matches", proxy.matches(spark, sf_dir)),
-        ("medal_matches_players", proxy.medal_matches_players(spark, sf_dir)),
-    ):
-        table = f"{name}_bucketed_{tag}"
-        # Bucket count from the session (scales with the cluster settings).
-        out.append(write_bucketed(df, table, "match_id", path=scratch_path(spark, f"bucketed/{table}", unique=False)))
-    _LAYOUTS[ident] = [f"{n}_bucketed_{tag}" for n in ("match_details", "matches", "medal_matches_players")]
+    for name, df in frames.items():
+        table = f"tallyfold_{name}_{tag}"
+        out.append(write_bucketed(df, table, "match_id", n, path=scratch_path(spark, f"bucketed/{table}", unique=False)))
     return out[0], out[1], out[2]
 
 
@@ -454,7 +540,29 @@ def medal_map_joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches.sort_within(proxy.matches(spark, sf_dir), "mapid")
+    return matches.sort_within(proxy.matches(spark, sf_dir), "mapid", spread=["match_id"])
+
+
+def sorted_layout_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches.sort_within(proxy.matches(spark, sf_dir), "playlist_id", spread=["match_id"])
+
+
+def layout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O27 as written: per layout its rows, whether every file is sorted, and
+    whether no file holds more than twice the mean (few distinct values)."""
+    out = None
+    for name in ("mapid", "playlist_id"):
+        path = scratch_path(spark, f"layouts/{name}")
+        matches.sort_within(proxy.matches(spark, sf_dir), name, 8, spread=["match_id"]).write.parquet(path)
+        rows = spark.read.parquet(path).select(name, F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+        # A file is one task's bounded output.
+        before = F.lag(name).over(Window.partitionBy("f").orderBy("i"))
+        files = rows.withColumn("ok", F.coalesce(before <= F.col(name), F.lit(True))).groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("ok").alias("ok"))
+        one = files.agg(
+            F.lit(name).alias("layout"), F.sum("n").alias("n_rows"), F.min("ok").alias("files_sorted"), (F.max("n") <= 2 * F.avg("n")).alias("balanced")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # ---------------------------------------------------------------- O28 - O31
@@ -464,8 +572,7 @@ def upsert_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
     v0 = scratch_path(spark, "customers/v0")
     overwrite_into(read_table(spark, sf_dir, "customer"), v0, columns=cols)
-    y = _max_year(spark, sf_dir)
-    o = read_table(spark, sf_dir, "orders").where(F.year("o_orderdate") == F.lit(y))
+    o = read_table(spark, sf_dir, "orders")
     updates = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("c_acctbal"))
     v1 = scratch_path(spark, "customers/v1")
     overwrite_into(merge.upsert(spark.read.parquet(v0), updates, ["c_custkey"], ["c_acctbal"]), v1, columns=cols)
@@ -493,10 +600,8 @@ def define_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     DDL, insert the monthly rows (dynamic partition overwrite, twice), read
     the table back."""
     m, _ = _monthly(spark, sf_dir, "host")
-    tag = uuid.uuid4().hex[:10]
-    table = schemas.define_table(
-        spark, "host_activity_reduced", location=scratch_path(spark, f"tables/har_{tag}", unique=False), table_name=f"host_activity_reduced_{tag}"
-    )
+    name = f"tallyfold_har_{uuid.uuid4().hex[:10]}"
+    table = schemas.define_table(spark, "host_activity_reduced", location=scratch_path(spark, f"tables/{name}", unique=False), table_name=name)
     target_cols = spark.table(table).columns
     for _ in range(2):  # the table's DDL makes the overwrite dynamic: rerun replaces
         m.select(*target_cols).write.insertInto(table, overwrite=True)
@@ -504,6 +609,29 @@ def define_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("host", "month_start", F.size("hit_array").alias("n_days"), _sum("hit_array").alias("hits"), _sum("unique_visitors").alias("visitor_days"))
 
 
+def define_tables_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight tables from their DDL, each loaded by the query that
+    produces it; the rows of each."""
+    sources = {
+        "actors": _actor_snapshots(spark, sf_dir)[0],
+        "actors_history_scd": scd2_backfill_two(spark, sf_dir),
+        "players": _player_snapshots(spark, sf_dir)[0],
+        "players_growth": _growth(spark, sf_dir),
+        "user_devices_cumulated": _user_snapshot(spark, sf_dir)[0],
+        "hosts_cumulated": _host_snapshot(spark, sf_dir),
+        "host_activity_reduced": _monthly(spark, sf_dir, "host")[0],
+        "team_vertex": graph.team_vertex(proxy.teams(spark, sf_dir), order=["abbreviation"]),
+    }
+    out = None
+    for name, df in sources.items():
+        table = f"tallyfold_{name}_{uuid.uuid4().hex[:10]}"
+        schemas.define_table(spark, name, location=scratch_path(spark, f"tables/{table}", unique=False), table_name=table)
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        rows = spark.table(table).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _sum(c: str) -> F.Column:
     return F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
@@ -520,6 +648,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=ORDERS_CSV_SCHEMA)
 
 
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O31 with inferred types (cast to the source's widths)."""
+    path = scratch_path(spark, "customer_csv")
+    write_csv(read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), path)
+    back = read_csv(spark, path, infer=True)
+    kinds = F.lit(",".join(f"{n}:{'number' if t in ('int', 'bigint', 'double') else t}" for n, t in back.dtypes))
+    return back.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double"), kinds.alias("kinds"))
+
+
 QUERIES = {
     "cumulate_actors": cumulate_actors,
     "cumulate_actors_chunked": cumulate_actors_chunked,
@@ -528,6 +665,7 @@ QUERIES = {
     "scd2_backfill_one": scd2_backfill_one,
     "scd2_backfill_two": scd2_backfill_two,
     "scd2_incremental": scd2_incremental,
+    "scd2_incremental_rerun": scd2_incremental_rerun,
     "dedupe_first": dedupe_first,
     "dedupe_counted": dedupe_counted_q,
     "team_vertex": team_vertex,
@@ -535,14 +673,18 @@ QUERIES = {
     "datelist_bits": datelist_bits,
     "host_datelist": host_datelist,
     "host_monthly": host_monthly,
+    "host_monthly_rerun": host_monthly_rerun,
     "positional_sums": positional_sums,
     "player_states": player_states,
     "points_grouping_sets": points_grouping_sets,
+    "points_grouping_sets_all": points_grouping_sets_all,
     "top_scorer_for_team": top_scorer_for_team,
     "top_scorer_in_season": top_scorer_in_season,
     "team_most_wins": team_most_wins,
     "rolling_wins_90": rolling_wins_90,
+    "rolling_wins_90_split": rolling_wins_90_split,
     "longest_streak": longest_streak,
+    "longest_streak_split": longest_streak_split,
     "broadcast_join": broadcast_join,
     "bucketed_join": bucketed_join,
     "avg_kills": avg_kills,
@@ -554,8 +696,12 @@ QUERIES = {
     "map_joined_rows": map_joined_rows,
     "medal_map_joined_rows": medal_map_joined_rows,
     "sorted_layout": sorted_layout,
+    "sorted_layout_playlist": sorted_layout_playlist,
+    "layout_check": layout_check,
     "upsert_roundtrip": upsert_roundtrip,
     "overwrite_roundtrip": overwrite_roundtrip,
     "define_tables": define_tables,
+    "define_tables_all": define_tables_all,
     "csv_roundtrip": csv_roundtrip,
+    "csv_inferred": csv_inferred,
 }

@@ -31,6 +31,7 @@ def session_id(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -86,19 +87,30 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
             "(e.g. on HDFS/S3) before running jobs that write intermediate tables"
         )
     suffix = f"-{uuid.uuid4().hex[:12]}" if unique else ""
-    return f"{base.rstrip('/')}/tallyfold/{name}{suffix}"
+    path = f"{base.rstrip('/')}/tallyfold/{name}{suffix}"
+    _SCRATCH.setdefault(session_id(spark), []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the catalog tables and delete the folders this library made for
+    the session: call it when no result is read any more (results are lazy
+    and read the intermediate tables)."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith("tallyfold_"):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    sc = _context(spark)
+    for path in _SCRATCH.pop(session_id(spark), []):
+        if sc is not None:
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint when a shared folder exists, else the frame as is.
-
-    A reliable checkpoint survives executor loss (unlike a local one) and
-    replaces a long logical plan by a scan of the written files.
-    """
-    spark = df.sparkSession
-    if checkpoint_dir(spark) is None:
-        return df
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back: the plan becomes a
+    scan of columnar files that survive the loss of an executor.  Without a
+    shared folder this raises, since results may rest on rows being pinned."""
+    return materialize(df, "cut")
 
 
 def materialize(
@@ -111,18 +123,17 @@ def materialize(
     read back: the lineage is cut (a lost executor re-reads files instead of
     recomputing), and a table partitioned by its period lets later period
     filters prune whole partitions.  With ``bucket_by`` (and one partition
-    column) it becomes a bucketed catalog table with as many buckets as the
-    session has shuffle partitions, so joins on the key read it in place."""
+    column) it becomes a catalog table bucketed for its size, so joins on the
+    key read it in place."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     if bucket_by:
-        from tallyfold.sources.tables import write_snapshot_table
+        from tallyfold.sources.tables import partitions_for, write_snapshot_table
 
         if len(partition_by) != 1:
             raise ValueError("a bucketed snapshot needs exactly one period column")
         table = "tallyfold_" + "".join(ch if ch.isalnum() else "_" for ch in name) + "_" + uuid.uuid4().hex[:10]
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return write_snapshot_table(df, table, partition_by[0], bucket_by, n, path)
+        return write_snapshot_table(df, table, partition_by[0], bucket_by, partitions_for(df), path)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -14,6 +14,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_files(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(name, bytes, modification time) of the files below a path, whatever
+    store it is in: differs as soon as rows arrive or change."""
+    sc = spark.sparkContext
+    top = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files, out = top.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(top, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+# A bucket or layout partition should hold about this much.
+TARGET_BYTES = 64 << 20
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """Partitions of about ``target_bytes`` for a frame, from Spark's size
+    estimate of its plan: at least the smaller of 8 and the session's shuffle
+    partitions, at most the latter."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(min(8, most), min(most, -(-size // target_bytes)))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -68,15 +93,15 @@ def write_bucketed(
     bucket, as a parquet catalog table; later joins and aggregations on the
     key read co-located buckets without an Exchange.
 
-    ``n_buckets`` defaults to the session's shuffle partition count, so the
-    layout scales with the cluster settings (the reference used 16 buckets
-    for its data; a bucket should hold a few hundred MB).
+    ``n_buckets`` defaults to :func:`partitions_for` the data (the reference
+    used 16 buckets for its own); tables to be joined in place need the same
+    number.
 
     Returns the table as read back from the catalog.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if n_buckets is None:
-        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n_buckets = partitions_for(df)
     # Same hash and modulus as bucketing: each write task receives exactly one
     # bucket and writes one file, instead of every task writing n_buckets
     # small files.

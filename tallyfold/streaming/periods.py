@@ -21,8 +21,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.session import cut_lineage, scratch_path
-from tallyfold.sources.tables import insert_periods, overwrite_into, write_snapshot_table
+from tallyfold.session import cut_lineage, materialize, scratch_path
+from tallyfold.sources.tables import insert_periods, overwrite_into, partitions_for, write_snapshot_table
 
 Step = Callable[[DataFrame | None, Any], DataFrame]
 
@@ -68,9 +68,11 @@ def fold_periods(
             session = spark or cur.sparkSession
             cols = cur.columns
             if session.catalog.tableExists(table):
-                insert_periods(cur, table)
+                # The step may have read the partition it replaces (a month):
+                # its result is whole on disk before the insert begins.
+                insert_periods(materialize(cur, f"versions/{table}"), table)
             else:
-                n = n_buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
+                n = n_buckets or partitions_for(cur)
                 write_snapshot_table(cur, table, partition_col, bucket_by, n, scratch_path(session, f"tables/{table}"))
             cur = session.table(table).where(F.col(partition_col) == F.lit(part(p))).select(*cols)
         elif sink_path is not None:

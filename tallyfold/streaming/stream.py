@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,8 +57,10 @@ def stream_daily_loads(
         """Latest day loaded by the earlier batches (none on the first)."""
         try:
             done = session.read.parquet(progress_path)
-        except Exception:  # no batch has finished yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # no batch has finished yet
         return done.where(F.col("batch_id") < F.lit(batch_id)).agg(F.max("loaded_through")).first()[0]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +71,9 @@ def stream_daily_loads(
             .partitionBy("_day")
             .parquet(f"{facts_path}/_batch={batch_id}")
         )
-        touched = rows.agg(F.min("_day"), F.max("_day")).first()
+        # From the partitions written: the source is read once.
+        stored = session.read.parquet(facts_path).where(F.col("_batch") == F.lit(batch_id))
+        touched = stored.agg(F.min("_day"), F.max("_day")).first()
         if touched[0] is None:
             return
         first, last = touched

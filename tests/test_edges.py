@@ -178,7 +178,7 @@ def test_sort_within_clusters_by_column(spark):
     df = spark.createDataFrame([(i, f"m{i % 3}") for i in range(30)], "match_id bigint, mapid string")
     out = sort_within(df, "mapid", 4)
     text = plan_text(out, "simple")
-    assert "hashpartitioning(mapid" in text and "Sort [mapid" in text
+    assert "rangepartitioning(mapid" in text and "Sort [mapid" in text
     for part in out.rdd.glom().collect():
         keys = [r.mapid for r in part]
         assert keys == sorted(keys)

@@ -38,8 +38,8 @@ def test_join_small_falls_back_when_too_big(spark):
     small = spark.range(50).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan_text(join_small(big, small, "k", max_rows=50), "simple")
-        assert "BroadcastHashJoin" not in plan_text(join_small(big, small, "k", max_rows=10), "simple")
+        assert "BroadcastHashJoin" in plan_text(join_small(big, small, "k", max_bytes=2000), "simple")
+        assert "BroadcastHashJoin" not in plan_text(join_small(big, small, "k", max_bytes=100), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
