@@ -35,7 +35,7 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     estimate of its plan: at least the smaller of 8 and the session's shuffle
     partitions, at most the latter."""
     most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return max(min(8, most), min(most, -(-size // target_bytes)))
 
 

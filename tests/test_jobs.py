@@ -40,7 +40,7 @@ def test_team_jobs(spark):
         [(1, "GSW", "Warriors", "SF", "Chase", 1900), (1, "GSW", "Warriors", "SF", "Chase", 1900), (2, "LAL", "Lakers", "LA", "Crypto", 1947)],
         "team_id bigint, abbreviation string, nickname string, city string, arena string, yearfounded bigint",
     )
-    assert {r.identifier for r in jobs.team_vertex_transformation(spark, teams).collect()} == {1, 2}
+    assert {r.identifier for r in jobs.team_vertex_transformation(spark, teams, order=["nickname"]).collect()} == {1, 2}
     counts = {r.team_id: r.row_num for r in jobs.team_deduped_transformation(spark, teams).collect()}
     assert counts == {1: 2, 2: 1}
 
