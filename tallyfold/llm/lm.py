@@ -8,10 +8,12 @@ expectation-maximisation on deleted data: the documents of one part of the
 training rows, scored with the counts of all others.
 
 How the counts travel: documents are kept as compressed chunks.  A chunk's
-distinct n-grams, six bytes each, are shuffled with their counts into buckets
-of the key space, summed there over all chunks, and the totals go back to the
-chunks in the order the keys were sent in, so no key is sent twice and a
-frequent n-gram is one row a chunk at most.  Every n-gram of every training
+distinct n-grams, sorted fingerprints packed as differences (about four bytes
+each), are shuffled with their counts into buckets of the key space, summed
+there over all chunks, and the totals go back to the chunks in the order the
+keys were sent in, so no key is sent twice and a frequent n-gram is one entry
+a chunk at most.  Fingerprints have 24 bits more than the number of tokens
+takes, so the share of n-grams that collide stays below 2**-24 at any size.  Every n-gram of every training
 document counts.  Expectation-maximisation runs on a histogram of the deleted
 tokens (context bucket x binary orders of magnitude of the three estimates,
 with the means of their logarithms): its size is bounded by its cells,
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.text import (
-    bucket_of, chunk_table, chunk_texts, crc_mod, hash_words, mix, pack48, parts_by, split_words, text_bytes, unpack48, windows, word_ids,
+    bucket_of, chunk_table, chunk_texts, crc_mod, hash_words, mix, pack_sorted, split_words, text_bytes, unpack_sorted, windows, word_ids,
 )
 from tallyfold.session import materialize
 
@@ -86,21 +88,27 @@ class _Grams:
             self.count[k] = np.bincount(index[ends], minlength=len(self.keys[k]))
 
 
-def _counts(chunks: DataFrame, buckets: int) -> DataFrame:
+def _sorted(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by value, and the bounds of each bucket in it."""
+    return np.argsort(keys), np.concatenate([[0], np.cumsum(np.bincount(bucket_of(keys, buckets), minlength=buckets))])
+
+
+def _counts(chunks: DataFrame, buckets: int, bits: int) -> DataFrame:
     """Per chunk, order and bucket: the distinct keys and their counts."""
+    low = np.uint64(64 - bits)
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 g, rows = _Grams(row), []
                 for k in ORDERS:
-                    order, bounds = parts_by(bucket_of(g.keys[k], buckets), buckets)
+                    order, bounds = _sorted(g.keys[k], buckets)
                     keys, count = g.keys[k][order], g.count[k][order].astype("<u4")
                     for b in range(buckets):
                         lo, hi = bounds[b], bounds[b + 1]
                         if lo < hi:
                             n = zstandard.compress(count[lo:hi].tobytes(), 1)
-                            rows.append((k, b, row["_chunk"], row["_part"], pack48(keys[lo:hi]), n))
+                            rows.append((k, b, row["_chunk"], row["_part"], pack_sorted(keys[lo:hi] >> low), n))
                 kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["_k", "_b", "_chunk", "_part", "_keys", "_n"]
@@ -114,7 +122,7 @@ def _totals(group: pa.Table) -> pa.Table:
     training rows and over the deleted ones.  One more row has the distinct
     keys and the sums."""
     rows = group.to_pylist()
-    keys = [unpack48(r["_keys"]) for r in rows]
+    keys = [unpack_sorted(r["_keys"]) for r in rows]
     coded = pa.array(np.concatenate(keys)).dictionary_encode()
     index, n = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
     every, deleted, at = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
@@ -125,9 +133,9 @@ def _totals(group: pa.Table) -> pa.Table:
         places.append(mine)
         if r["_part"] != HELD_OUT:
             count = np.frombuffer(zstandard.decompress(r["_n"]), "<u4").astype(np.int64)
-            every[mine] += count  # a chunk sends a key once
+            np.add.at(every, mine, count)
             if r["_part"] == DELETED:
-                deleted[mine] += count
+                np.add.at(deleted, mine, count)
     small = lambda x: zstandard.compress(x.astype("<u8").tobytes(), 3)
     out = [(r["_chunk"], r["_k"], r["_b"], small(every[p]), small(deleted[p]) if r["_part"] == DELETED else None, 0, 0, 0) for r, p in zip(rows, places)]
     out.append((-1, rows[0]["_k"], rows[0]["_b"], None, None, int((every > 0).sum()), int(every.sum()), int(deleted.sum())))
@@ -142,7 +150,7 @@ _TOTALS = "_chunk long, _k int, _b int, _all binary, _del binary, _distinct long
 def _returned(g: _Grams, totals: pa.Table, buckets: int, column: str) -> dict[int, np.ndarray]:
     """Totals by key number, back in the chunk's own order."""
     out = {k: np.zeros(len(g.keys[k]), np.int64) for k in ORDERS}
-    cuts = {k: parts_by(bucket_of(g.keys[k], buckets), buckets) for k in ORDERS}
+    cuts = {k: _sorted(g.keys[k], buckets) for k in ORDERS}
     for k, b, blob in zip(*(totals.column(c).to_pylist() for c in ("_k", "_b", column))):
         order, bounds = cuts[k]
         out[k][order[bounds[b] : bounds[b + 1]]] = np.frombuffer(zstandard.decompress(blob), "<u8").astype(np.int64)
@@ -245,8 +253,10 @@ def score_texts(
     fold = crc_mod(id_col, modulus)
     part = F.when(fold == held_out, HELD_OUT).when(fold == deleted, DELETED).otherwise(COUNTED)
     chunks = chunk_table(docs, "lm-chunks", text_col, id_col, part)
-    buckets = max(1, -(-text_bytes(docs, text_col) // (6 * bucket_keys)))
-    totals = materialize(_counts(chunks, buckets).groupBy("_k", "_b").applyInArrow(_totals, _TOTALS), "lm-totals")
+    size = text_bytes(docs, text_col)
+    buckets = max(1, -(-size // (6 * bucket_keys)))
+    bits = min(64, 24 + (size // 6 + 2).bit_length())
+    totals = materialize(_counts(chunks, buckets, bits).groupBy("_k", "_b").applyInArrow(_totals, _TOTALS), "lm-totals")
     sums = totals.where("_chunk = -1 and _k = 1").agg(F.sum("_distinct"), F.sum("_sum"), F.sum("_sumdel")).first()
     # The unigram sums hold two marks a text besides the tokens.
     texts = chunks.groupBy("_part").agg(F.sum(F.size("_ids"))).collect()

@@ -133,6 +133,18 @@ def unpack48(blob: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending keys as compressed differences, byte plane by byte plane (the
+    planes of high bytes are nearly constant)."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").reshape(-1), dtype=np.uint64)
+
+
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
     """Range of the key space (by its high 24 bits) each key lies in."""
     return ((keys >> np.uint64(40)) * np.uint64(n) >> np.uint64(24)).astype(np.int64)
