@@ -12,11 +12,12 @@ common text, four bytes a word), not as one copy of the text each.
 
 * Anchors found in one document only are leaves: their suffixes are dropped
   before any text is shuffled.
-* Equal segments collapse to one with the smallest id, so a passage that a
-  third of all documents share is one segment.
-* Groups are packed into tasks by anchor.  An anchor with more than
-  ``group_segments`` distinct segments gets a longer prefix: its suffixes are
-  split by all of their ``length`` words, and meet in pre-aggregated nodes.
+* Equal segments of a chunk collapse to one with the smallest id, so a passage
+  that a third of all documents share is one segment a chunk.
+* Anchors are packed into groups of about ``task_segments`` segments.  An
+  anchor with more than ``group_segments`` gets a longer prefix: each of its
+  suffixes is told apart by all of its ``length`` words, and the nodes they
+  end in are combined map-side (smallest id), no text and no group at all.
 * In each group the suffix tree is built over the segments' words by prefix
   doubling (names of 1, 2, 4 ... words, then of ``length`` words).  A node of
   depth ``length`` with suffixes of several documents lies above a repeat; it
@@ -43,8 +44,8 @@ from tallyfold.session import materialize
 
 LENGTH = 50
 GRAM = 8
-GROUP_SEGMENTS = 50_000
-TASK_SEGMENTS = 100_000
+GROUP_SEGMENTS = 20_000
+TASK_SEGMENTS = 20_000
 
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -97,19 +98,30 @@ class _Chunk:
     def names(self) -> np.ndarray:
         """A 64-bit fingerprint of every segment's words."""
         power = np.uint64(0x9E3779B97F4A7C15)
-        # Prefix sums of a polynomial would need inverses; segments are short,
-        # so fold their words column by column.
         size = self.last - self.first + self.length
         out = mix(size.astype(np.uint64))
         left = np.arange(len(size))
-        for j in range(int(size.max()) if len(size) else 0):
+        for j in range(int(size.max()) if len(size) else 0):  # word by word, all segments at once
             left = left[size[left] > j]
             out[left] = out[left] * power + self.h[self.first[left] + j]
-        return mix(out)
+        return mix(out).view(np.int64)
+
+    def suffixes(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, fingerprints (of their first ``length`` words) and owners
+        of the suffixes of some segments."""
+        n = self.last[which] - self.first[which] + 1
+        at = np.repeat(self.first[which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return at, mix(~windows(self.h, self.length)[at]).view(np.int64), np.repeat(self.owners()[which], n)
+
+
+def _least(names: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The places that hold the smallest id of each name."""
+    order = np.lexsort((ids, names))
+    return order[np.append(True, names[order][1:] != names[order][:-1])] if len(order) else order
 
 
 def _anchors(chunks: DataFrame, length: int) -> DataFrame:
-    """(anchor, chunk, smallest and largest id) of every chunk."""
+    """(anchor, chunk, smallest and largest id, segments) of every chunk."""
 
     def found(batches):
         for batch in batches:
@@ -122,32 +134,46 @@ def _anchors(chunks: DataFrame, length: int) -> DataFrame:
                 lo, hi = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
                 np.minimum.at(lo, inverse, ids)
                 np.maximum.at(hi, inverse, ids)
+                n = np.bincount(inverse[_least(c.names(), ids)], minlength=len(keys))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), row["_chunk"])), pa.array(lo), pa.array(hi)],
-                    ["_anchor", "_chunk", "_lo", "_hi"],
+                    [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), row["_chunk"])), pa.array(lo), pa.array(hi), pa.array(n)],
+                    ["_anchor", "_chunk", "_lo", "_hi", "_n"],
                 )
 
-    return chunks.mapInArrow(found, "_anchor long, _chunk long, _lo long, _hi long")
+    return chunks.mapInArrow(found, "_anchor long, _chunk long, _lo long, _hi long, _n long")
+
+
+_SEGMENTS = "_chunk long, _anchor long, _seg long, _id long, _words binary"
 
 
 def _segment_rows(length: int):
     schema = pa.schema([("_chunk", pa.int64()), ("_anchor", pa.int64()), ("_seg", pa.int64()), ("_id", pa.int64()), ("_words", pa.binary())])
 
     def rows(chunk: pa.Table, shared: pa.Table) -> pa.Table:
-        """Distinct segments of a chunk with a shared anchor."""
+        """Distinct segments of a chunk with a shared anchor; of a frequent
+        anchor its distinct suffixes instead, without words."""
         if chunk.num_rows == 0 or shared.num_rows == 0:
             return schema.empty_table()
         row = chunk.to_pylist()[0]
         c = _Chunk(row, length)
-        wanted = np.isin(c.anchor.view(np.int64), shared.column("_anchor").to_numpy())
-        names, ids = c.names(), c.owners()
-        at = np.flatnonzero(wanted)
-        at = at[np.lexsort((ids[at], names[at]))]
-        at = at[np.append(True, names[at][1:] != names[at][:-1])] if len(at) else at
+        frequent = shared.column("_frequent").to_numpy(zero_copy_only=False).astype(bool)
+        anchors = shared.column("_anchor").to_numpy()
+        anchor, names, ids = c.anchor.view(np.int64), c.names(), c.owners()
+        at = np.flatnonzero(np.isin(anchor, anchors[~frequent]))
+        at = at[_least(names[at], ids[at])]
         symbols = (c.h >> np.uint64(32)).astype("<u4")
         words = [symbols[a : b + length].tobytes() for a, b in zip(c.first[at].tolist(), c.last[at].tolist())]
+        _, deep, owner = c.suffixes(np.flatnonzero(np.isin(anchor, anchors[frequent])))
+        own = _least(deep, owner)
+        n = len(at) + len(own)
         return pa.table(
-            [pa.array(np.full(len(at), row["_chunk"])), pa.array(c.anchor[at].view(np.int64)), pa.array(names[at].view(np.int64)), pa.array(ids[at]), pa.array(words, pa.binary())],
+            [
+                pa.array(np.full(n, row["_chunk"])),
+                pa.array(np.append(anchor[at], deep[own])),
+                pa.array(np.append(names[at], deep[own])),
+                pa.array(np.append(ids[at], owner[own])),
+                pa.array(words + [None] * len(own), pa.binary()),
+            ],
             schema=schema,
         )
 
@@ -181,16 +207,21 @@ def tree_nodes(symbols: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray
     return out
 
 
+_FOUND = "_chunk long, _seg long, _low long, _mask long, _deep boolean"
+
+
 def _subtrees(length: int):
     def masks(group: pa.Table) -> pa.Table:
-        """Per segment: bit i is set where its i-th suffix also starts in a
-        document with an id below the segment's smallest."""
-        words = group.column("_words").to_pylist()
-        low, seg = group.column("_low").to_numpy(), group.column("_seg")
+        """Per segment the smallest id it occurs in; bit i is set where its
+        i-th suffix also starts in a document with an id below that."""
+        names, ids = group.column("_seg").to_numpy(), group.column("_id").to_numpy()
+        one = _least(names, ids)  # ordered by name
+        low = ids[one]
+        blobs = group.column("_words")
+        words = [blobs[int(i)].as_py() for i in one]
         size = np.array([len(w) // 4 for w in words], np.int64)
         ends = np.cumsum(size)
-        symbols = np.frombuffer(b"".join(words), "<u4")
-        node = tree_nodes(symbols, ends, length)
+        node = tree_nodes(np.frombuffer(b"".join(words), "<u4"), ends, length)
         owner = np.repeat(np.arange(len(words)), size)
         at = np.flatnonzero(node >= 0)
         least = np.full(int(node.max(initial=-1)) + 1, np.iinfo(np.int64).max)
@@ -198,25 +229,15 @@ def _subtrees(length: int):
         at = at[least[node[at]] < low[owner[at]]]
         bits = np.zeros(len(words), np.uint64)
         np.bitwise_or.at(bits, owner[at], np.uint64(1) << (at - (ends - size)[owner[at]]).astype(np.uint64))
-        return pa.table({"_seg": seg, "_low": pa.array(low), "_mask": pa.array(bits.view(np.int64))})
+        back = np.searchsorted(names[one], names)
+        return pa.table({
+            "_chunk": group.column("_chunk"), "_seg": group.column("_seg"), "_low": pa.array(low[back]),
+            "_mask": pa.array(bits.view(np.int64)[back]), "_deep": pa.array(np.zeros(len(names), bool)),
+        })
 
     return masks
 
 
-def _deep(segments: DataFrame, length: int) -> DataFrame:
-    """The same masks for segments of very frequent anchors, each suffix by
-    its whole prefix of ``length`` words."""
-
-    @F.arrow_udf("array<long>")
-    def prefixes(words: pa.Array) -> pa.Array:
-        return pa.array([windows(mix(np.frombuffer(w, "<u4").astype(np.uint64)), length).view(np.int64).tolist() for w in words.to_pylist()], pa.list_(pa.int64()))
-
-    each = segments.select("_seg", "_low", F.posexplode(prefixes("_words")).alias("_at", "_node"))
-    least = each.groupBy("_node").agg(F.min("_low").alias("_least"))
-    hit = each.join(least, "_node").where("_least < _low").groupBy("_seg").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
-    return segments.select("_seg", "_low").join(hit, "_seg", "left").select("_seg", "_low", F.coalesce("_mask", F.lit(0).cast("long")).alias("_mask"))
-
-
 def _result(length: int):
     schema = pa.schema([("_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
@@ -227,13 +248,21 @@ def _result(length: int):
         c = _Chunk(chunk.to_pylist()[0], length)
         cover = np.zeros(len(c.h) + 1, np.int64)
         if found.num_rows:
-            names = found.column("_seg").to_numpy()
-            order = np.argsort(names)
-            names, low = names[order], found.column("_low").to_numpy()[order]
-            mask = found.column("_mask").to_numpy()[order].view(np.uint64)
-            mine = c.names().view(np.int64)
-            at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
-            there = names[at] == mine
+            deep = found.column("_deep").to_numpy(zero_copy_only=False)
+            names, low = found.column("_seg").to_numpy(), found.column("_low").to_numpy()
+            mask = found.column("_mask").to_numpy().view(np.uint64)
+            if deep.any():
+                place, name, owner = c.suffixes(np.arange(len(c.anchor)))
+                order = np.flatnonzero(deep)[np.argsort(names[deep])]
+                at = np.minimum(np.searchsorted(names[order], name), len(order) - 1)
+                place = place[(names[order][at] == name) & (low[order][at] < owner)]
+                np.add.at(cover, place, 1)
+                np.add.at(cover, place + length, -1)
+            order = np.flatnonzero(~deep)[np.argsort(names[~deep])]
+            names, low, mask = (np.append(x[order], x[:1]) for x in (names, low, mask))
+            mine = c.names()
+            at = np.searchsorted(names[:-1], mine)  # the last stands for "none"
+            there = (at < len(names) - 1) & (names[at] == mine)
             every = there & (c.owners() > low[at])
             np.add.at(cover, c.first[every], 1)
             np.add.at(cover, c.last[every] + length, -1)
@@ -275,34 +304,32 @@ def repeated_spans(
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 63}")
     chunks = chunk_table(docs, "repeat-chunks", text_col, id_col)
     anchors = materialize(_anchors(chunks, length), "repeat-anchors")
-    shared = anchors.groupBy("_anchor").agg(F.min("_lo").alias("_l"), F.max("_hi").alias("_h")).where("_l < _h").select("_anchor")
-    wanted = anchors.select("_anchor", "_chunk").join(shared, "_anchor", "left_semi")
-    rows = materialize(
-        chunks.groupBy("_chunk").cogroup(wanted.groupBy("_chunk")).applyInArrow(
-            _segment_rows(length), "_chunk long, _anchor long, _seg long, _id long, _words binary"
-        ),
-        "repeat-segments",
-    )
-    distinct = materialize(
-        rows.groupBy("_anchor", "_seg").agg(F.min("_id").alias("_low"), F.first("_words").alias("_words")), "repeat-distinct"
+    shared = (
+        anchors.groupBy("_anchor")
+        .agg(F.min("_lo").alias("_l"), F.max("_hi").alias("_h"), F.sum("_n").alias("_m"))
+        .where("_l < _h")
+        .select("_anchor", (F.col("_m") > group_segments).alias("_frequent"), "_m")
     )
-    per_anchor = distinct.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_m"))
-    frequent = per_anchor.where(F.col("_m") > group_segments).select("_anchor")
-    n = distinct.count()
-    groups = max(1, -(-n // task_segments))
-    # An anchor with one segment has no second suffix to meet.
-    usual = per_anchor.where((F.col("_m") > 1) & (F.col("_m") <= group_segments)).select("_anchor")
-    single = per_anchor.where("_m = 1").select("_anchor")
-    masks = (
-        distinct.join(usual, "_anchor", "left_semi")
+    wanted = materialize(anchors.select("_anchor", "_chunk", "_n").join(shared, "_anchor").select("_chunk", "_anchor", "_frequent", "_n"), "repeat-shared")
+    total = wanted.where("not _frequent").agg(F.sum("_n")).first()[0] or 0
+    groups = max(1, -(-total // task_segments))
+    rows = chunks.groupBy("_chunk").cogroup(wanted.select("_chunk", "_anchor", "_frequent").groupBy("_chunk")).applyInArrow(_segment_rows(length), _SEGMENTS)
+    if wanted.where("_frequent").limit(1).count():
+        rows = materialize(rows, "repeat-segments")  # read by the tree and the deep nodes
+        deep = rows.where("_words is null").select("_chunk", "_seg", "_id")
+        least = deep.groupBy("_seg").agg(F.min("_id").alias("_low"))
+        nodes = deep.join(least, "_seg").select("_chunk", "_seg", "_low", F.lit(0).cast("long").alias("_mask"), F.lit(True).alias("_deep"))
+    else:
+        nodes = None
+    found = (
+        rows.where("_words is not null")
         .withColumn("_g", F.pmod(F.xxhash64("_anchor"), F.lit(groups)))
-        .select("_g", "_seg", "_low", "_words")
+        .select("_g", "_chunk", "_seg", "_id", "_words")
         .groupBy("_g")
-        .applyInArrow(_subtrees(length), "_seg long, _low long, _mask long")
-        .unionByName(_deep(distinct.join(frequent, "_anchor", "left_semi"), length))
-        .unionByName(distinct.join(single, "_anchor", "left_semi").select("_seg", "_low", F.lit(0).cast("long").alias("_mask")))
+        .applyInArrow(_subtrees(length), _FOUND)
     )
-    found = rows.select("_chunk", "_seg").distinct().join(masks, "_seg").select("_chunk", "_seg", "_low", "_mask")
+    if nodes is not None:
+        found = found.unionByName(nodes)
     return (
         chunks.groupBy("_chunk").cogroup(found.groupBy("_chunk"))
         .applyInArrow(_result(length), "_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>")
