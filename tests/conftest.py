@@ -25,10 +25,12 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     # Tests own their checkpoint folder only when the session has none.
-    from tallyfold.session import ensure_checkpoint_dir
+    from tallyfold.session import drop_scratch, ensure_checkpoint_dir
 
     ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="tallyfold-test-ckpt-"))
     yield s
+    drop_scratch(s)
+    assert not [t.name for t in s.catalog.listTables() if t.name.startswith("tallyfold_")]
 
 
 def rows(df, cols=None):
