@@ -31,6 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,15 +44,15 @@ from tallyfold.session import materialize
 
 SHINGLE = 5
 THRESHOLD_PERCENT = 80
-FRAGMENT_KEYS = 4_000_000
+FRAGMENT_KEYS = 2_000_000
+#: Sets whose shared shingles meet in one task.
+BUCKET_SETS = 10_000
 #: Vertical parts of a set in the verification.
 PARTS = 4
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle fingerprints of every text of a slice."""
-    import pyarrow.compute as pc
-
     offsets, flat = split_words(pc.ascii_lower(column))
     ids, vocab = word_ids(flat)
     h = hash_words(vocab)[ids]
@@ -128,42 +130,51 @@ def _segments(docs: DataFrame, n: int, fragments: int, text_col: str) -> DataFra
     return docs.select(F.col(text_col).alias("_t")).mapInArrow(packed, "_f int, _who binary, _n binary, _keys binary")
 
 
-def _shared(fragment: pa.Table) -> pa.Table:
-    """Of one fragment: per set its shingles that another set has too, with
-    the number of sets."""
-    import pyarrow.compute as pc
-
-    who, sizes, keys = [], [], []
-    seen: set[int] = set()
-    for w, n, k in zip(*(fragment.column(c).to_pylist() for c in ("_who", "_n", "_keys"))):
-        w, n, k = np.frombuffer(w, "<i8"), np.frombuffer(n, "<u4").astype(np.int64), unpack48(k)
-        new = np.array([x not in seen for x in w.tolist()])
-        seen.update(w.tolist())
-        if not new.all():
-            k, w, n = k[np.repeat(new, n)], w[new], n[new]
-        who.append(w)
-        sizes.append(n)
-        keys.append(k)
-    f = int(fragment.column("_f")[0].as_py()) if fragment.num_rows else 0
-    who, sizes, keys = np.concatenate(who), np.concatenate(sizes), np.concatenate(keys)
-    order = np.sort(keys)
-    edge = np.flatnonzero(np.append(True, order[1:] != order[:-1]))
-    count = np.diff(np.append(edge, len(order)))
-    often = count > 1
-    value, count = order[edge[often]], count[often]
-    where = pc.index_in(pa.array(keys), value_set=pa.array(value))
-    hit = where.is_valid().to_numpy(zero_copy_only=False)
-    df = count[where.drop_null().to_numpy(zero_copy_only=False)].astype("<u4") if len(value) else np.zeros(0, "<u4")
-    owner, kept = np.repeat(np.arange(len(who)), sizes)[hit], keys[hit]
-    there, first = np.unique(owner, return_index=True)
-    ends = np.append(first, len(owner))
-    return pa.table({
-        "_set": pa.array(who[there], pa.int64()),
-        "_f": pa.array(np.full(len(there), f), pa.int32()),
-        "_c": pa.array(np.diff(ends), pa.int64()),
-        "_keys": pa.array([pack48(kept[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-        "_df": pa.array([df[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-    })
+def _set_bucket(sets: np.ndarray, n: int) -> np.ndarray:
+    return ((sets.view(np.uint64) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def _shared(buckets: int):
+    def shared(fragment: pa.Table) -> pa.Table:
+        """Of one fragment, packed by bucket of sets: per set its shingles
+        that another set has too, with the number of sets."""
+        who, sizes, keys = [], [], []
+        seen: set[int] = set()
+        for w, n, k in zip(*(fragment.column(c).to_pylist() for c in ("_who", "_n", "_keys"))):
+            w, n, k = np.frombuffer(w, "<i8"), np.frombuffer(n, "<u4").astype(np.int64), unpack48(k)
+            new = np.array([x not in seen for x in w.tolist()])
+            seen.update(w.tolist())
+            if not new.all():
+                k, w, n = k[np.repeat(new, n)], w[new], n[new]
+            who.append(w)
+            sizes.append(n)
+            keys.append(k)
+        f = int(fragment.column("_f")[0].as_py())
+        who, sizes, keys = np.concatenate(who), np.concatenate(sizes), np.concatenate(keys)
+        order = np.sort(keys)
+        edge = np.flatnonzero(np.append(True, order[1:] != order[:-1]))
+        count = np.diff(np.append(edge, len(order)))
+        often = count > 1
+        value, count = order[edge[often]], count[often].astype("<u4")
+        del order, edge
+        where = pc.index_in(pa.array(keys), value_set=pa.array(value))
+        hit = where.is_valid().to_numpy(zero_copy_only=False)
+        df = count[where.drop_null().to_numpy(zero_copy_only=False)] if len(value) else count
+        owner, kept = np.repeat(np.arange(len(who)), sizes)[hit], keys[hit]
+        there, n = np.unique(owner, return_counts=True)
+        by = _set_bucket(who[there], buckets)
+        turn = np.argsort(by, kind="stable")
+        begin = np.concatenate([[0], np.cumsum(n)])
+        cut = np.concatenate([[0], np.cumsum(np.bincount(by, minlength=buckets))])
+        out = []
+        for b in np.unique(by).tolist():
+            mine = turn[cut[b] : cut[b + 1]]
+            at = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in mine])
+            out.append((b, f, who[there[mine]].tobytes(), n[mine].astype("<u4").tobytes(), pack48(kept[at]), zstandard.compress(df[at].tobytes(), 1)))
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+        return pa.table([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], names=["_b", "_f", "_who", "_n", "_keys", "_df"])
+
+    return shared
 
 
 def _need(n: int, percent: int) -> int:
@@ -171,26 +182,50 @@ def _need(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(``_key``, ``_set``, ``_size``, ``_at``, ``_mass``) of the shared
-    shingles in each set's necessary prefix; ``_at`` is the place in the set's
-    rarity order, ``_mass`` how much of the set others share."""
-    posting = pa.struct([("_key", pa.int64()), ("_at", pa.int64()), ("_mass", pa.int64())])
-
-    @F.arrow_udf("array<struct<_key:long,_at:long,_mass:long>>")
-    def prefix(size: pa.Array, parts: pa.Array) -> pa.Array:
-        out = []
-        for n, segs in zip(size.to_pylist(), parts.to_pylist()):
-            keys = np.concatenate([full_keys(unpack48(s["_keys"]), s["_f"]) for s in segs])
-            df = np.concatenate([np.frombuffer(s["_df"], "<u4") for s in segs]).astype(np.int64)
-            alone = n - len(keys)  # in no other set: before all others
-            take = n - _need(n, percent) + 1 - alone
-            order = np.lexsort((keys, df))[: max(0, take)]
-            mass = int(df.sum()) * 1000 // n
-            out.append([{"_key": k, "_at": alone + i, "_mass": mass} for i, k in enumerate(keys[order].view(np.int64).tolist())])
-        return pa.array(out, pa.list_(posting))
-
-    return sets.select("_set", "_size", F.explode(prefix("_size", "_parts")).alias("_p")).select("_set", "_size", "_p.*")
+_ABLE = "_set long, _size long, _alone long, _mass long, _parts array<binary>, _prefix array<long>"
+
+
+def _able(percent: int, fragments: int):
+    schema = pa.schema([
+        *[(c, pa.int64()) for c in ("_set", "_size", "_alone", "_mass")],
+        ("_parts", pa.list_(pa.binary())), ("_prefix", pa.list_(pa.int64())),
+    ])
+
+    def able(packed: pa.Table, sizes: pa.Table) -> pa.Table:
+        """Of one bucket: the sets that share enough shingles to be linked.
+        ``_parts`` are their shared shingles by vertical part, ``_prefix``
+        those of the necessary prefix, rarest first, after the ``_alone`` that
+        no other set has; ``_mass`` tells how much of the set others share."""
+        if packed.num_rows == 0 or sizes.num_rows == 0:
+            return schema.empty_table()
+        owner, keys, df, part = [], [], [], []
+        for r in packed.to_pylist():
+            n = np.frombuffer(r["_n"], "<u4").astype(np.int64)
+            k = full_keys(unpack48(r["_keys"]), r["_f"])
+            owner.append(np.repeat(np.frombuffer(r["_who"], "<i8"), n))
+            keys.append(k)
+            df.append(np.frombuffer(zstandard.decompress(r["_df"]), "<u4"))
+            part.append(np.full(len(k), r["_f"] * PARTS // fragments, np.int8))
+        owner, keys, df, part = (np.concatenate(x) for x in (owner, keys, df, part))
+        order = np.argsort(owner, kind="stable")
+        owner, keys, df, part = owner[order], keys[order], df[order].astype(np.int64), part[order]
+        edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        ends = np.append(edge[1:], len(owner))
+        size = dict(zip(sizes.column("_set").to_pylist(), sizes.column("_size").to_pylist()))
+        rows = []
+        for a, b in zip(edge.tolist(), ends.tolist()):
+            who = int(owner[a])
+            n = size[who]
+            if 100 * (b - a) < percent * n:
+                continue
+            k, d = keys[a:b], df[a:b]
+            alone = n - (b - a)
+            take = np.lexsort((k, d))[: max(0, n - _need(n, percent) + 1 - alone)]
+            parts = [pack48(k[part[a:b] == v]) for v in range(PARTS)]
+            rows.append((who, n, alone, int(d.sum()) * 1000 // n, parts, k[take].view(np.int64).tolist()))
+        return pa.table([pa.array([r[i] for r in rows], schema.field(i).type) for i in range(6)], schema=schema)
+
+    return able
 
 
 def _verify(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -212,35 +247,20 @@ def jaccard_links(docs: DataFrame, sets: DataFrame, n: int, percent: int, fragme
     all links would."""
     # About one shingle for every six bytes of text.
     fragments = max(1, -(-text_bytes(docs, text_col) // (6 * fragment_keys)))
-    shared = materialize(
+    sizes = materialize(sets.select("_set", F.col("n_shingles").alias("_size")).where("_size > 0").distinct(), "jaccard-sizes")
+    buckets = max(1, -(-sizes.count() // BUCKET_SETS))
+    shared = (
         _segments(docs, n, fragments, text_col)
         .groupBy("_f")
-        .applyInArrow(_shared, "_set long, _f int, _c long, _keys binary, _df binary"),
-        "jaccard-segments",
+        .applyInArrow(_shared(buckets), "_b long, _f int, _who binary, _n binary, _keys binary, _df binary")
     )
-    sizes = sets.select("_set", F.col("n_shingles").alias("_size")).where("_size > 0").distinct()
-    able = (
-        shared.groupBy("_set").agg(F.sum("_c").alias("_c"))
-        .join(sizes, "_set")
-        .where(100 * F.col("_c") >= percent * F.col("_size"))
-        .select("_set", "_size")
-    )
-    live = materialize(shared.join(able, "_set").withColumn("_v", F.floor(F.col("_f") * PARTS / fragments).cast("int")), "jaccard-live")
-
-    # One row per set and vertical part; segments of a part differ in fragment.
-    @F.arrow_udf("binary")
-    def merged(parts: pa.Array) -> pa.Array:
-        return pa.array(
-            [pack48(np.concatenate([full_keys(unpack48(s["_keys"]), s["_f"]) for s in p])) for p in parts.to_pylist()], pa.binary()
-        )
-
-    segment = F.struct("_f", "_keys")
-    parts = materialize(
-        live.groupBy("_set", "_size", "_v").agg(F.collect_list(segment).alias("_p")).select("_set", "_size", "_v", merged("_p").alias("_keys")),
-        "jaccard-parts",
+    bucket = F.shiftrightunsigned(F.shiftrightunsigned("_set", 32) * F.lit(buckets), 32)
+    able = materialize(
+        shared.groupBy("_b").cogroup(sizes.withColumn("_b", bucket).groupBy("_b")).applyInArrow(_able(percent, fragments), _ABLE),
+        "jaccard-able",
     )
-    whole = live.groupBy("_set", "_size").agg(F.collect_list(F.struct("_f", "_keys", "_df")).alias("_parts"))
-    postings = materialize(_prefixes(whole, percent), "jaccard-prefixes")
+    parts = able.select("_set", "_size", F.posexplode("_parts").alias("_v", "_keys"))
+    postings = able.select("_set", "_size", "_mass", "_alone", F.posexplode("_prefix").alias("_i", "_key")).withColumn("_at", F.col("_alone") + F.col("_i"))
 
     # Round 1: each shingle's sets against its most central one.
     centre = postings.groupBy("_key").agg(F.max(F.struct("_mass", F.col("_set").alias("s"), F.col("_size").alias("n"))).alias("_c"), F.count(F.lit(1)).alias("_m")).where("_m > 1")
