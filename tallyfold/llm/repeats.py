@@ -36,6 +36,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -273,17 +274,14 @@ def _result(length: int):
                 np.add.at(cover, hit + length, -1)
         gone = np.cumsum(cover[:-1]) > 0
         count = np.diff(np.concatenate([[0], np.cumsum(gone)])[c.offsets])
-        digests, spans = [], []
-        for d, (a, b) in enumerate(zip(c.offsets[:-1].tolist(), c.offsets[1:].tolist())):
-            words = c.flat.slice(a, b - a).to_pylist()
-            span = []
-            if count[d]:
-                mine = gone[a:b]
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], mine.astype(np.int8), [0]])))
-                span = [{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2])]
-                words = [w for w, out in zip(words, mine.tolist()) if not out]
-            digests.append(hashlib.sha256(" ".join(words).encode()).hexdigest())
-            spans.append(span)
+        left = np.concatenate([[0], np.cumsum(~gone)])[c.offsets]
+        kept = pa.LargeListArray.from_arrays(pa.array(left), c.flat.filter(pa.array(~gone)))
+        joined = pc.binary_join(kept, pa.scalar(" ", c.flat.type))
+        digests = [hashlib.sha256(t.as_buffer()).hexdigest() for t in joined]
+        spans = []
+        for n, a, b in zip(count.tolist(), c.offsets[:-1].tolist(), c.offsets[1:].tolist()):
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]]))) if n else ()
+            spans.append([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2])])
         return pa.table([pa.array(c.ids, pa.int64()), pa.array(c.n), pa.array(count), pa.array(digests), pa.array(spans, schema.field("spans").type)], schema=schema)
 
     return removed
