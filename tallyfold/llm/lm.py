@@ -41,7 +41,8 @@ from tallyfold.llm.text import (
 )
 from tallyfold.session import materialize
 
-BUCKET_KEYS = 3_000_000
+BUCKET_KEYS = 2_000_000
+CHUNK_BYTES = 6 << 20
 ORDERS = (1, 2, 3)
 COUNTED, DELETED, HELD_OUT = 0, 1, 2
 
@@ -245,6 +246,7 @@ def score_texts(
     held_out: int = 2,
     deleted: int = 3,
     bucket_keys: int = BUCKET_KEYS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` (add-one unigram) and ``score``, log10
@@ -252,7 +254,7 @@ def score_texts(
     ``held_out`` are scored only; those with ``deleted`` also set the weights."""
     fold = crc_mod(id_col, modulus)
     part = F.when(fold == held_out, HELD_OUT).when(fold == deleted, DELETED).otherwise(COUNTED)
-    chunks = chunk_table(docs, "lm-chunks", text_col, id_col, part)
+    chunks = chunk_table(docs, "lm-chunks", text_col, id_col, part, chunk_bytes)
     size = text_bytes(docs, text_col)
     buckets = max(1, -(-size // (6 * bucket_keys)))
     bits = min(64, 24 + (size // 6 + 2).bit_length())

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Text bytes handled at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -160,8 +160,10 @@ def parts_by(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 CHUNK_SCHEMA = "_part int, _ids array<long>, _len binary, _blob binary"
 
 
-def chunk_table(docs: DataFrame, name: str, text_col: str = "text", id_col: str = "doc_id", part: Column | None = None) -> DataFrame:
-    """The documents as compressed chunks of at most ``SLICE_BYTES`` of text,
+def chunk_table(
+    docs: DataFrame, name: str, text_col: str = "text", id_col: str = "doc_id", part: Column | None = None, chunk_bytes: int = SLICE_BYTES
+) -> DataFrame:
+    """The documents as compressed chunks of at most ``chunk_bytes`` of text,
     each of one ``part``, written once to the shared folder: ``_chunk`` (a
     number that stays), ``_part``, ``_ids`` and the texts.  Later passes read
     or shuffle these instead of the texts."""
@@ -173,7 +175,7 @@ def chunk_table(docs: DataFrame, name: str, text_col: str = "text", id_col: str
             for p in np.unique(parts):
                 at = pa.array(np.flatnonzero(parts == p))
                 ids, col = batch.column(0).take(at), texts(batch.column(1).take(at))
-                for a, b in slices(col):
+                for a, b in slices(col, chunk_bytes):
                     rows = col.slice(a, b - a)
                     sizes = pc.binary_length(rows).to_numpy(zero_copy_only=False).astype("<u4")
                     data = pc.binary_join(pa.array([rows.to_pylist()], pa.large_list(pa.large_string())), pa.scalar("", pa.large_string()))[0].as_py().encode()
