@@ -8,8 +8,11 @@ when that link is followed, both computed once over the trie.  A word is then
 counted in one pass over its characters: follow the edge, or else pop and
 follow the failure link.  No piece is ever built or looked up again.
 
-A word that cannot be split whole counts as one unknown piece.  Words are
-``[^\\x20\\x09-\\x0D]+`` unless another split is passed.
+A vocabulary may hold the bare word mark (the empty start piece): a word that
+no longer start piece begins then starts with the mark, one piece, and goes
+on with continuation pieces.  A word that cannot be split whole counts as one
+unknown piece.  Words are ``[^\\x20\\x09-\\x0D]+`` unless another split is
+passed.
 
 The vocabulary is a fixed file of a public tokenizer (its path a parameter);
 the automaton is built on the driver from its at most a few hundred thousand
@@ -34,8 +37,8 @@ from tallyfold.llm.text import slices, split_words, texts, word_ids
 
 def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
     """Start and continuation pieces of a sentencepiece model file: pieces
-    with the word mark start a word, the others continue one.  Control,
-    unknown and byte pieces are left out."""
+    with the word mark start a word (the bare mark is the empty start piece),
+    the others continue one.  Control, unknown and byte pieces are left out."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -45,7 +48,7 @@ def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
             continue
         piece = model.id_to_piece(i)
         if piece.startswith("▁"):
-            if len(piece) > 1 and "▁" not in piece[1:]:
+            if "▁" not in piece[1:]:
                 start.append(piece[1:])
         elif "▁" not in piece:
             rest.append(piece)
@@ -54,11 +57,13 @@ def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
 
 class LongestMatch:
     """The automaton.  Nodes are numbered breadth first by insertion; node 0
-    is the root of start pieces, node 1 that of continuation pieces."""
+    is the root of start pieces, node 1 that of continuation pieces.  An empty
+    start piece links node 0 to node 1 with one popped piece."""
 
     def __init__(self, start: Iterable[str], rest: Iterable[str]):
         self.edges: list[dict[str, int]] = [{}, {}]
         final = [False, False]
+        bare = False
         for root, pieces in ((0, start), (1, rest)):
             for piece in pieces:
                 at = root
@@ -71,9 +76,13 @@ class LongestMatch:
                     at = nxt
                 if at > 1:
                     final[at] = True
+                elif root == 0:
+                    bare = True
         n = len(self.edges)
         # Failure link (-1: none, the word is unknown) and popped pieces.
         self.fail, self.pops = [-1] * n, [0] * n
+        if bare:
+            self.fail[0], self.pops[0] = 1, 1
         level = [(r, c, v) for r in (0, 1) for c, v in self.edges[r].items()]
         while level:
             below = []

@@ -117,6 +117,45 @@ def test_longest_match_counts_equal_greedy():
             assert machine.count(word) == _greedy(word, start, rest), (word, start, rest)
 
 
+def test_words_behind_the_bare_mark_equal_greedy():
+    import sentencepiece
+
+    from tallyfold.llm.queries import VOCABULARY
+
+    model = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    kept = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    pieces = {model.id_to_piece(i) for i in kept}
+    start, rest = {p for p in pieces if p[0] == "▁"}, {p for p in pieces if "▁" not in p}
+
+    def greedy(word):
+        marked, n, at = "▁" + word, 0, 0
+        while at < len(marked):
+            pool = rest if at else start
+            end = next((e for e in range(min(len(marked), at + 48), at, -1) if marked[at:e] in pool), None)
+            if end is None:
+                return 0
+            n, at = n + 1, end
+        return n
+
+    machine = wordpiece.LongestMatch(*wordpiece.sentencepiece_vocabulary(VOCABULARY))
+    said = ["ñandú", "¡hola!", "çà", "êtes", "ß", "中文字", "中" * 10_000, "日本語のテスト", "한국어", "😀", "hello", "x中", "\u0378", "ñ\u0378"]
+    assert [machine.count(w) for w in said] == [greedy(w) for w in said]
+    assert machine.count("中" * 10_000) == 10_001 and machine.count("ñandú") > 1
+    rng = random.Random(4)
+    letters = sorted({c for p in rest for c in p})
+    for _ in range(3000):
+        word = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 7)))
+        assert machine.count(word) == greedy(word), word
+    for _ in range(300):
+        piece = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(1, 5)))
+        first, then = {piece() for _ in range(rng.randrange(1, 8))}, {piece() for _ in range(rng.randrange(1, 8))}
+        machine = wordpiece.LongestMatch(sorted(first | {""}), sorted(then))
+        start, rest = {"▁" + p for p in first | {""}}, then
+        for _ in range(20):
+            word = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
+            assert machine.count(word) == greedy(word), (word, first, then)
+
+
 def test_count_pieces_frame(session, docs, corpus, empty):
     start, rest = {"w", "w1", "one", "e", "a", "b"}, {"1", "2", "23", "4", "0", "é", "5", "6", "7", "8", "9", "3", "dit"}
     machine = wordpiece.LongestMatch(sorted(start), sorted(rest))
