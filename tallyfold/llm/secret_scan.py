@@ -9,6 +9,9 @@ worklist ends when no layer yields a new one (fixpoint).  Every layer keeps,
 per character, the span of the original text it came from, so a secret found
 at any depth is reported as a span of the original text; inside a compressed
 layer, whose characters have no place of their own, as the whole run.
+Bytes that are no UTF-8 and unprintable characters stay in their layer and
+hide nothing beside them; of cut or damaged compressed data what unpacks is
+scanned (but for its last byte at a damaged place), and all its members.
 
 Results for edge cases: a null text is the empty text (no spans); repeated
 rows give repeated results; a text of any length is scanned whole.  The
@@ -46,6 +49,8 @@ _ESCAPED = re.compile(r"(?:[!-\[\]-~]|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})*\\(?:
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _HEXRUN = re.compile(r"(?:[0-9a-fA-F]{2}){16,}")
+# The shortest secret, "token=" and eight characters, has 14.
+_STRETCH = re.compile(rb"[\t\n\r -~]{14}")
 
 MAX_EXPAND = 1000
 
@@ -76,48 +81,97 @@ class _Layer:
         return self.starts[a], self.ends[b - 1]
 
 
-def _decoded(raw: bytes, starts: list[int], ends: list[int]) -> _Layer | None:
-    """A layer from decoded bytes with the source span of each byte; None
-    unless the bytes are readable text."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not text or sum(c.isprintable() or c in "\t\n\r" for c in text) < len(text):
-        return None
+def _readable(raw: bytes) -> bool:
+    """True where some stretch is long enough for a secret or a run."""
+    return _STRETCH.search(raw) is not None
+
+
+def _decoded(raw: bytes, starts: Sequence[int], ends: Sequence[int]) -> _Layer:
+    """A layer from decoded bytes with the source span of each byte.  A byte
+    that is not UTF-8 becomes a lone surrogate, which no pattern matches."""
+    text = raw.decode("utf-8", "surrogateescape")
     if len(text) == len(raw):
         return _Layer(text, starts, ends)
     s, e, at = [], [], 0
     for c in text:
-        n = len(c.encode("utf-8"))
+        n = len(c.encode("utf-8", "surrogateescape"))
         s.append(starts[at])
         e.append(ends[at + n - 1])
         at += n
     return _Layer(text, s, e)
 
 
-def _unpacked(raw: bytes, max_expand: int) -> bytes | None:
-    """The content of gzip or zlib bytes, None for anything else."""
-    if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] & 0x0F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return None
-    z = zlib.decompressobj(47)
-    try:
-        out = z.decompress(raw, max_expand * len(raw))
-    except zlib.error:
-        return None
-    return out if z.eof else None
+def _packed(raw: bytes) -> bool:
+    """True for a gzip or zlib header."""
+    return raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 0x0F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0)
 
 
-def _binary(layer: _Layer, raw: bytes, starts: list[int], ends: list[int], max_expand: int) -> _Layer | None:
-    """Layer of bytes that may be compressed (then every character maps to
-    the whole run)."""
-    whole = False
-    while (inner := _unpacked(raw, max_expand)) is not None and inner:
-        raw, whole = inner, True
-    if whole:
-        lo, hi = min(starts), max(ends)
-        return _decoded(raw, [lo] * len(raw), [hi] * len(raw))
-    return _decoded(raw, starts, ends)
+def _member(raw: bytes, most: int) -> tuple[bytes, int, bool]:
+    """The content of one gzip or zlib member as far as it unpacks, the bytes
+    it takes, and whether it ends there as it should."""
+    z, out = zlib.decompressobj(47), b""
+    try:
+        out = z.decompress(raw, most)
+        return out, len(raw) - len(z.unused_data), z.eof
+    except zlib.error:
+        pass
+    # Damaged: ever smaller steps up to the place, then byte by byte of output.
+    z, parts, at, left = zlib.decompressobj(47), [], 0, most
+    for step in (65536, 256, 1):
+        while at < len(raw) and left > 0:
+            before = z.copy()
+            try:
+                got = z.decompress(raw[at : at + step], left)
+            except zlib.error:
+                z = before
+                break
+            parts.append(got)
+            left -= len(got)
+            at += step
+    tail = raw[at : at + 1]
+    while left > 0:
+        try:
+            got = z.decompress(tail, 1)
+        except zlib.error:
+            break
+        if not got and not z.unconsumed_tail:
+            break
+        parts.append(got)
+        left -= len(got)
+        tail = z.unconsumed_tail
+    return b"".join(parts), len(raw), False
+
+
+def _unpacked(raw: bytes, max_expand: int) -> tuple[bytes, int, bool]:
+    """The joined content of the members that ``raw`` starts with, the bytes
+    they take, and whether all of them are whole."""
+    parts, at, most, whole = [], 0, max_expand * len(raw), True
+    while whole and most > 0 and _packed(raw[at : at + 3]):
+        got, used, whole = _member(raw[at:], most)
+        if not got and not whole:
+            return b"".join(parts), at, bool(at)
+        parts.append(got)
+        at += used
+        most -= len(got)
+    return b"".join(parts), at, whole
+
+
+def _binary(raw: bytes, starts: Sequence[int], ends: Sequence[int], max_expand: int) -> list[_Layer]:
+    """Layers of bytes that may be compressed (then every character maps to
+    the whole run); what follows the compressed members is read as it is, and
+    so are all the bytes where a member is cut or damaged."""
+    out, work = [], [(raw, starts, ends)]
+    while work:
+        raw, starts, ends = work.pop()
+        inner, used, whole = _unpacked(raw, max_expand)
+        if inner:
+            lo, hi = min(starts), max(ends)
+            work.append((inner, [lo] * len(inner), [hi] * len(inner)))
+            if whole:
+                raw, starts, ends = raw[used:], starts[used:], ends[used:]
+        if _readable(raw):
+            out.append(_decoded(raw, starts, ends))
+    return out
 
 
 def _layers(layer: _Layer, max_expand: int) -> list[_Layer]:
@@ -132,7 +186,8 @@ def _layers(layer: _Layer, max_expand: int) -> list[_Layer]:
                 s.append(layer.starts[i])
                 e.append(layer.ends[i + step - 1])
                 i += step
-            out.append(_decoded(bytes(raw), s, e))
+            if _readable(raw):
+                out.append(_decoded(bytes(raw), s, e))
     if "\\" in text:
         for m in _ESCAPED.finditer(text):
             chars, s, e, i = [], [], [], m.start()
@@ -148,17 +203,17 @@ def _layers(layer: _Layer, max_expand: int) -> list[_Layer]:
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         body = body[: len(body) - (len(body) % 4 == 1)]
         raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        if raw[:1].isascii() or raw[:2] == b"\x1f\x8b" or raw[:1] >= b"\xc2":
+        if _packed(raw) or _readable(raw):
             a = m.start()
             s = [layer.starts[a + i * 8 // 6] for i in range(len(raw))]
             e = [layer.ends[min(a + (i * 8 + 7) // 6, m.end() - 1)] for i in range(len(raw))]
-            out.append(_binary(layer, raw, s, e, max_expand))
+            out += _binary(raw, s, e, max_expand)
     for m in _HEXRUN.finditer(text):
         raw = bytes.fromhex(m[0])
         s = [layer.starts[m.start() + 2 * i] for i in range(len(raw))]
         e = [layer.ends[m.start() + 2 * i + 1] for i in range(len(raw))]
-        out.append(_binary(layer, raw, s, e, max_expand))
-    return [x for x in out if x is not None]
+        out += _binary(raw, s, e, max_expand)
+    return out
 
 
 def find_secrets(text: str | None, max_expand: int = MAX_EXPAND) -> tuple[list[Span], list[Span]]:

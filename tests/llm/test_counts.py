@@ -82,6 +82,31 @@ def test_escapes_map_back_exactly():
     assert spans == [("assign", 2, len(t) - 2)]
 
 
+def _assigned(t):
+    return [(a, b) for kind, a, b in secret_scan.find_secrets(t)[1] if kind == "assign"]
+
+
+def test_bad_bytes_and_unprintable_characters_hide_nothing():
+    t = "https://x.org/caf%E9?password%3Dhunter2secret"
+    assert (t.index("password"), len(t)) in _assigned(t)
+    secret, fill = "password=hunter2hunter2", " ".join(hashlib.sha256(b"%d" % i).hexdigest()[:9] for i in range(3000))
+    for odd in ("\xa0", "\u3000", "\u200b", "\ufeff", "\0"):
+        raw = f"{odd}{fill} {secret} {fill}{odd}".encode()
+        for blob in (raw, b"\xff" + raw, gzip.compress(raw)):
+            assert _assigned("x " + base64.b64encode(blob).decode()), odd
+    raw = f"{secret} {fill}".encode()
+    packed = gzip.compress(raw)
+    broken = bytearray(packed)
+    broken[-6] ^= 1  # the checksum
+    hurt = bytearray(packed)
+    hurt[len(hurt) // 2 :] = b"\xff" * (len(hurt) - len(hurt) // 2)
+    plain = gzip.compress(fill.encode())
+    for blob in (packed[: len(packed) // 2], bytes(broken), bytes(hurt), plain + packed, plain + plain + packed[:-20], plain + secret.encode(),
+                 gzip.compress(b"password=hun") + gzip.compress(b"ter2hunter2")):
+        assert _assigned("x " + base64.b64encode(blob).decode())
+        assert _assigned("x " + blob.hex())
+
+
 def test_cycle_ends():
     t = "%2525252541" * 50 + " " + "A" * 4000
     secret_scan.find_secrets(t)
