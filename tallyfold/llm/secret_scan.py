@@ -1,9 +1,10 @@
 """Secret scans: a recursive decoding worklist over every text.
 
 Layer 0 is the text itself.  Every layer is scanned with the three patterns,
-then searched for encoded runs - percent escapes, ``\\uXXXX``/``\\xXX`` escapes,
-base64 (standard and URL alphabet) and hex - whose decoded bytes, unpacked
-when they are gzip or zlib, form new layers on the worklist.  A layer already
+then decoded: with all its percent escapes, and with all its ``\\uXXXX``/``\\xXX``
+escapes, replaced in place it is a new layer each, and so are the decoded
+bytes of its base64 (standard and URL alphabet) and hex runs, unpacked when
+they are gzip or zlib.  A layer already
 seen (same content, same place) is not scanned again, so cycles end; the
 worklist ends when no layer yields a new one (fixpoint).  Every layer keeps,
 per character, the span of the original text it came from, so a secret found
@@ -27,7 +28,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,8 +45,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # a run is maximal, so shorter ones fail as a whole
 
 # Encoded runs worth decoding.
-_PERCENT = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*")
-_ESCAPED = re.compile(r"(?:[!-\[\]-~]|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})*\\(?:u[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2})(?:[!-\[\]-~]|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})*")
+_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _HEXRUN = re.compile(r"(?:[0-9a-fA-F]{2}){16,}")
@@ -174,31 +174,34 @@ def _binary(raw: bytes, starts: Sequence[int], ends: Sequence[int], max_expand:
     return out
 
 
+def _percent_bytes(m: re.Match, starts: Sequence[int], ends: Sequence[int]) -> tuple[Sequence[str], Sequence[int], Sequence[int]]:
+    below = _decoded(bytes.fromhex(m[0].replace("%", "")), starts[::3], ends[2::3])
+    return below.text, below.starts, below.ends
+
+
+def _replaced(layer: _Layer, escapes: re.Pattern, decode: Callable[..., tuple[Sequence[str], Sequence[int], Sequence[int]]]) -> list[_Layer]:
+    """The whole layer with its escapes of one kind decoded in place, so that
+    plain neighbours and spaces stay beside them; none if it has none."""
+    chars, s, e, at = [], [], [], 0
+    for m in escapes.finditer(layer.text):
+        a, b = m.span()
+        text, starts, ends = decode(m, layer.starts[a:b], layer.ends[a:b])
+        chars += [layer.text[at:a], *text]
+        s += [*layer.starts[at:a], *starts]
+        e += [*layer.ends[at:a], *ends]
+        at = b
+    if not at:
+        return []
+    return [_Layer("".join(chars) + layer.text[at:], [*s, *layer.starts[at:]], [*e, *layer.ends[at:]])]
+
+
 def _layers(layer: _Layer, max_expand: int) -> list[_Layer]:
     """Every layer one decoding step below ``layer``."""
     text, out = layer.text, []
     if "%" in text:
-        for m in _PERCENT.finditer(text):
-            raw, s, e, i = bytearray(), [], [], m.start()
-            while i < m.end():
-                step = 3 if re.match(r"%[0-9A-Fa-f]{2}", text[i : i + 3]) else 1
-                raw.append(int(text[i + 1 : i + 3], 16) if step == 3 else ord(text[i]))
-                s.append(layer.starts[i])
-                e.append(layer.ends[i + step - 1])
-                i += step
-            if _readable(raw):
-                out.append(_decoded(bytes(raw), s, e))
+        out += _replaced(layer, _PERCENT, _percent_bytes)
     if "\\" in text:
-        for m in _ESCAPED.finditer(text):
-            chars, s, e, i = [], [], [], m.start()
-            while i < m.end():
-                x = _ESCAPE.match(text, i)
-                step = x.end() - i if x else 1
-                chars.append(chr(int(x[1] or x[2], 16)) if x else text[i])
-                s.append(layer.starts[i])
-                e.append(layer.ends[i + step - 1])
-                i += step
-            out.append(_Layer("".join(chars), s, e))
+        out += _replaced(layer, _ESCAPE, lambda m, s, e: ([chr(int(m[1] or m[2], 16))], [s[0]], [e[-1]]))
     for m in _BASE64.finditer(text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         body = body[: len(body) - (len(body) % 4 == 1)]

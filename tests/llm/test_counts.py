@@ -107,6 +107,20 @@ def test_bad_bytes_and_unprintable_characters_hide_nothing():
         assert _assigned("x " + blob.hex())
 
 
+def test_secrets_across_spaces_beside_escapes():
+    for t in (
+        r"{\u0022password\u0022: \u0022hunter2hunter2\u0022}",
+        "pass%77ord = hunter2hunter2",
+        r"é pass\x77ord : %68unter2hunter2",
+        "é%20token%3A hunter2hunter%32 é",
+        "caf%C3%A9 é api%5Fkey = hunter2%68unter2",
+    ):
+        a = next(t.index(w) for w in ("pass", "token", "api") if w in t)
+        b = max(t.rindex(w) + len(w) for w in ("hunter2", "unter2", "%32", "hunter2hunter2") if w in t)
+        assert _assigned(t) == [(a, b)], t
+        assert "unter2" not in secret_scan.redact(t, secret_scan.find_secrets(t)[1])
+
+
 def test_cycle_ends():
     t = "%2525252541" * 50 + " " + "A" * 4000
     secret_scan.find_secrets(t)
