@@ -4,8 +4,9 @@ Layer 0 is the text itself.  Every layer is scanned with the three patterns,
 then decoded: with all its percent escapes, and with all its ``\\uXXXX``/``\\xXX``
 escapes, replaced in place it is a new layer each, and so are the decoded
 bytes of its base64 (standard and URL alphabet) and hex runs, unpacked when
-they are gzip or zlib.  A layer already
-seen (same content, same place) is not scanned again, so cycles end; the
+they are gzip or zlib.  A run is also read at the other alignments, as a word
+may be glued to its front, and joined with the full-width lines below it.
+A layer already seen (same content, same place) is not scanned again, so cycles end; the
 worklist ends when no layer yields a new one (fixpoint).  Every layer keeps,
 per character, the span of the original text it came from, so a secret found
 at any depth is reported as a span of the original text; inside a compressed
@@ -48,7 +49,12 @@ _HEX = re.compile(r"[0-9a-f]{32,}")  # a run is maximal, so shorter ones fail as
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_HEXRUN = re.compile(r"(?:[0-9a-fA-F]{2}){16,}")
+_HEXRUN = re.compile(r"[0-9a-fA-F]{28,}")
+# The base64 of a next line; a shorter word with prose after it is none.
+_NEXT_LINE = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_-]++)(?!={0,2}[ \t]+\S)")
+_HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
+_SEPARATOR = re.compile(r"[-_/]")
+_URL_ALPHABET = str.maketrans("-_", "+/")
 # The shortest secret, "token=" and eight characters, has 14.
 _STRETCH = re.compile(rb"[\t\n\r -~]{14}")
 
@@ -195,6 +201,75 @@ def _replaced(layer: _Layer, escapes: re.Pattern, decode: Callable[..., tuple[Se
     return [_Layer("".join(chars) + layer.text[at:], [*s, *layer.starts[at:]], [*e, *layer.ends[at:]])]
 
 
+def _lines(text: str, run: range) -> list[range]:
+    """A run with the full-width lines right below it and their last one."""
+    lines = [run]
+    while m := _NEXT_LINE.match(text, lines[-1].stop):
+        width = len(lines[1]) if len(lines) > 1 else len(m[1])
+        if len(m[1]) > width:
+            break
+        lines.append(range(*m.span(1)))
+        if len(m[1]) < width:
+            break
+    return lines
+
+
+def _base64(layer: _Layer, places: Sequence[int], max_expand: int) -> list[_Layer]:
+    """Layers of the base64 characters at ``places`` of the layer: read at
+    the four alignments, as a word may be glued to the front, and from after
+    every separator where compressed data starts there."""
+    text, out = layer.text, []
+    run = text[places.start : places.stop] if isinstance(places, range) else "".join([text[i] for i in places])
+    body = run.translate(_URL_ALPHABET)
+
+    def decoded(at: int, most: int | None = None) -> bytes:
+        part = body[at : None if most is None else at + most]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        return base64.b64decode(part + "=" * (-len(part) % 4))
+
+    def layers(at: int, raw: bytes) -> list[_Layer]:
+        s = [layer.starts[places[at + i * 8 // 6]] for i in range(len(raw))]
+        e = [layer.ends[places[min(at + (i * 8 + 7) // 6, len(body) - 1)]] for i in range(len(raw))]
+        return _binary(raw, s, e, max_expand)
+
+    for at in range(4):
+        raw = decoded(at)
+        if _readable(raw) or _packed(raw[:3]):
+            out += layers(at, raw)
+    for m in _SEPARATOR.finditer(run, 3):
+        at = m.end()
+        if at > 3 and _packed(decoded(at, 4)):
+            # Most such headers are chance and break off at once.
+            head = decoded(at, 512)
+            _, used, _ = _unpacked(head, max_expand)
+            if used:
+                out += layers(at, decoded(at) if len(body) - at > 512 and _goes_on(head) else head)
+    return out
+
+
+def _goes_on(head: bytes) -> bool:
+    """False where compressed data is damaged within these bytes."""
+    try:
+        zlib.decompressobj(47).decompress(head)
+    except zlib.error:
+        return False
+    return True
+
+
+def _hex(layer: _Layer, places: Sequence[int], max_expand: int) -> list[_Layer]:
+    """Layers of the hex digits at ``places``, from the first and, as a digit
+    may be glued to the front, from the second."""
+    out = []
+    for at in range(2):
+        pairs = (len(places) - at) // 2
+        raw = bytes.fromhex("".join([layer.text[i] for i in places[at : at + 2 * pairs]]))
+        if _readable(raw) or _packed(raw[:3]):
+            s = [layer.starts[places[at + 2 * i]] for i in range(pairs)]
+            e = [layer.ends[places[at + 2 * i + 1]] for i in range(pairs)]
+            out += _binary(raw, s, e, max_expand)
+    return out
+
+
 def _layers(layer: _Layer, max_expand: int) -> list[_Layer]:
     """Every layer one decoding step below ``layer``."""
     text, out = layer.text, []
@@ -202,20 +277,22 @@ def _layers(layer: _Layer, max_expand: int) -> list[_Layer]:
         out += _replaced(layer, _PERCENT, _percent_bytes)
     if "\\" in text:
         out += _replaced(layer, _ESCAPE, lambda m, s, e: ([chr(int(m[1] or m[2], 16))], [s[0]], [e[-1]]))
+    joined, again = 0, -1
     for m in _BASE64.finditer(text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        if _packed(raw) or _readable(raw):
-            a = m.start()
-            s = [layer.starts[a + i * 8 // 6] for i in range(len(raw))]
-            e = [layer.ends[min(a + (i * 8 + 7) // 6, m.end() - 1)] for i in range(len(raw))]
-            out += _binary(raw, s, e, max_expand)
+        run = range(m.start(), m.start() + len(m[0].rstrip("=")))
+        out += _base64(layer, run, max_expand)
+        if len(run) == len(m[0]) and (run.start >= joined or run.start == again):
+            lines = _lines(text, run)
+            if len(lines) > 1:
+                joined = lines[-1].stop
+                # A first run of its own length may be a word before the lines.
+                again = lines[1].start if len(run) != len(lines[1]) else -1
+                places = [i for x in lines for i in x]
+                out += _base64(layer, places, max_expand)
+                if all(text[i] in _HEX_DIGITS for i in places):
+                    out += _hex(layer, places, max_expand)
     for m in _HEXRUN.finditer(text):
-        raw = bytes.fromhex(m[0])
-        s = [layer.starts[m.start() + 2 * i] for i in range(len(raw))]
-        e = [layer.ends[m.start() + 2 * i + 1] for i in range(len(raw))]
-        out += _binary(raw, s, e, max_expand)
+        out += _hex(layer, range(*m.span()), max_expand)
     return out
 
 

@@ -121,6 +121,30 @@ def test_secrets_across_spaces_beside_escapes():
         assert "unter2" not in secret_scan.redact(t, secret_scan.find_secrets(t)[1])
 
 
+def test_wrapped_and_glued_runs_are_read():
+    secret = b"password=hunter2hunter2"
+    rng = random.Random(6)
+    fill = " ".join(f"{rng.randrange(10**9):x}" for _ in range(300)).encode()
+    import zlib
+
+    for raw in (secret, b"x" * 43 + secret + b"x" * 40 + b" end", gzip.compress(fill + b" " + secret + b" " + fill), zlib.compress(fill + secret, 9)):
+        for eol in ("\n", "\r\n", "\n  "):
+            for width in (64, 76):
+                flat = base64.b64encode(raw).decode()
+                t = "see\n" + eol.join(flat[i : i + width] for i in range(0, len(flat), width)) + "\nbye now"
+                assert _assigned(t), (raw[:9], eol, width)
+                h = raw.hex()
+                assert _assigned("see\n" + eol.join(h[i : i + 60] for i in range(0, len(h), 60)))
+        for glue in ("id-", "a_", "abcd/", "x-y-z-", "ab/c/", "path/to-"):
+            for encode in (base64.b64encode, base64.urlsafe_b64encode):
+                assert _assigned("see " + glue + encode(raw).decode()), (glue, raw[:9])
+    t = "id-cGFzc3dvcmQ9aHVudGVyMmh1bnRlcjI="
+    assert _assigned(t) == [(3, len(t) - 1)]
+    wrapped = "internationalization\n" + "\n".join([base64.b64encode(gzip.compress(fill + secret)).decode()[i : i + 76] for i in range(0, 4000, 76)])
+    assert _assigned(wrapped.rstrip("\n"))
+    assert _assigned(b"token=12345678".hex()) == [(0, 28)] and _assigned("a" + b"token=12345678".hex()) == [(1, 29)]
+
+
 def test_cycle_ends():
     t = "%2525252541" * 50 + " " + "A" * 4000
     secret_scan.find_secrets(t)
