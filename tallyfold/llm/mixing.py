@@ -14,6 +14,13 @@ division: no job ever walks the blocks one by one.  When a source has no
 blocks left, the others go on with their weights scaled up, in a new phase;
 there are at most as many phases as sources, and nothing is dropped.
 
+With more than ``MAX_SOURCES`` sources, those of largest weight are scheduled
+so, together with groups (by hash) of all others: a group has its sources'
+added weight and blocks, and the blocks of a group's slots are dealt to its
+sources by the same rule again, the released block of earliest deadline
+first, over the group's own time.  A group's blocks are walked one by one in
+one task; only they are, and a group has a ``MAX_SOURCES / 2``-th of them.
+
 Block numbers come from running token sums computed in two levels: per
 (source, hash range) sums first, then inside each range, whose size is
 bounded, so a source holding a third of all rows is spread over many tasks.
@@ -28,10 +35,14 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.session import materialize
+
 BLOCK_TOKENS = 32_768
 SLOTS = 1000
 RANGE_ROWS = 20_000
@@ -93,6 +104,53 @@ def phases(shares: dict[str, int], blocks: dict[str, int]) -> list[tuple[str, in
     return out
 
 
+def deal(sources: Iterable[tuple[str, float, int]]) -> Iterator[tuple[str, int, int]]:
+    """(source, block, place) of all blocks of (source, weight, blocks): the
+    released block of earliest deadline first, where time runs so that the
+    sources with blocks left share every place by weight."""
+    known = sorted(sources)
+    left = sum(w for _, w, _ in known)
+    waiting = [(0.0, i, 0) for i in range(len(known))]
+    ready: list[tuple[float, int, int]] = []
+    now = 0.0
+    for place in range(sum(n for _, _, n in known)):
+        if not ready:
+            now = max(now, waiting[0][0])
+        while waiting and waiting[0][0] <= now * (1 + 1e-12):
+            _, i, k = heapq.heappop(waiting)
+            heapq.heappush(ready, ((k + 1) / known[i][1], i, k))
+        due, i, k = heapq.heappop(ready)
+        s, w, n = known[i]
+        yield s, k, place
+        now += 1 / max(left, w)
+        if k + 1 < n:
+            heapq.heappush(waiting, (due, i, k + 1))
+        else:
+            left -= w
+
+
+def _grouped(totals: DataFrame) -> tuple[dict[str, float], dict[str, int], DataFrame]:
+    """Weights and blocks of the largest sources and of the groups of all
+    others, and of those each block's group and its place in it.  ``totals``
+    has ``_mk``, ``_mw`` (positive) and ``_mb`` of more than ``MAX_SOURCES``
+    sources."""
+    own = totals.orderBy(F.desc("_mw"), "_mk").limit(MAX_SOURCES // 2).collect()
+    names = totals.sparkSession.createDataFrame([(r["_mk"],) for r in own], "_mk string")
+    hashed = F.pmod(F.xxhash64("_mk"), F.lit(MAX_SOURCES - len(own)))
+    rest = totals.join(F.broadcast(names), "_mk", "left_anti").withColumn("_mg", F.concat(F.lit("g"), hashed.cast("string")))
+    groups = rest.groupBy("_mg").agg(F.sum("_mw").alias("w"), F.sum("_mb").alias("b")).collect()
+    wanted = {r["_mk"]: r["_mw"] for r in own} | {r["_mg"]: r["w"] for r in groups}
+    blocks = {r["_mk"]: r["_mb"] for r in own} | {r["_mg"]: r["b"] for r in groups}
+    schema = pa.schema([("_mg", pa.string()), ("_mk", pa.string()), ("mix_block", pa.int64()), ("_mp", pa.int64())])
+
+    def dealt(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        got = list(deal(zip(*(rows.column(c).to_pylist() for c in ("_mk", "_mw", "_mb")))))
+        cols = [[key[0].as_py()] * len(got), *([r[i] for r in got] for i in range(3))]
+        return pa.table([pa.array(x, f.type) for x, f in zip(cols, schema)], schema=schema)
+
+    return wanted, blocks, rest.groupBy("_mg").applyInArrow(dealt, "_mg string, _mk string, mix_block long, _mp long")
+
+
 def n_tokens(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+``; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
@@ -127,33 +185,50 @@ def mix_sources(
     # Ranges of the hash's 31 high bits, so ranges follow the hash order.
     range_of = lambda h: F.shiftright(F.shiftright(h, 32) * F.lit(ranges), 31)
     sums = light.groupBy("_mk", range_of(F.col("_mh")).alias("_mr")).agg(F.sum("mix_tokens").alias("_mt"), F.count(F.lit(1)).alias("_mn"))
+    total = lambda x: x.groupBy("_mk").agg(F.sum("_mt").alias("t"))
+    totals = {r["_mk"]: r["t"] for r in total(sums).limit(MAX_SOURCES + 1).collect()}
+    named = {"n" if k is None else f"s{k}": w for k, w in (weights or {}).items()}
+    inner = None
+    if len(totals) <= MAX_SOURCES:
+        blocks = {s: max(1, -(-t // block_tokens)) for s, t in totals.items()}
+        wanted = {s: float(t) ** smoothing if weights is None else named.get(s, 0.0) for s, t in totals.items()}
+    else:
+        sums = materialize(sums, "mix-sums")
+        known = total(sums).withColumn("_mb", F.greatest(F.lit(1), F.ceil(F.col("t") / block_tokens)).cast("long"))
+        if weights is None:
+            known = known.withColumn("_mw", F.pow(F.col("t").cast("double"), F.lit(float(smoothing))))
+        else:
+            given = spark.createDataFrame([(s, float(w)) for s, w in named.items() if w is not None], "_mk string, _mw double")
+            known = known.join(given, "_mk", "left")
+        least = known.where("_mw > 0").agg(F.min("_mw")).first()[0] or 1.0
+        known = materialize(known.select("_mk", "_mb", F.when(F.col("_mw") > 0, F.col("_mw")).otherwise(F.lit(least)).alias("_mw")), "mix-sources")
+        wanted, blocks, inner = _grouped(known)
     before = Window.partitionBy("_mk").orderBy("_mr").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("_mb", F.coalesce(F.sum("_mt").over(before), F.lit(0)))
-    totals = {r["_mk"]: r["t"] for r in sums.groupBy("_mk").agg(F.sum("_mt").alias("t")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    blocks = {s: max(1, -(-t // block_tokens)) for s, t in totals.items()}
-    if weights is None:
-        wanted = {s: float(t) ** smoothing for s, t in totals.items()}
-    else:
-        named = {"n" if k is None else f"s{k}": w for k, w in weights.items()}
-        wanted = {s: named.get(s, 0.0) for s in totals}
-    table = phases(shares_of(wanted, slots), blocks) if totals else []
-    # One row per source and phase, at most MAX_SOURCES^2 / 2, of a period's numbers.
+    table = phases(shares_of(wanted, slots), blocks) if blocks else []
+    # One row per source (or group) and phase, at most MAX_SOURCES^2 / 2, of a period's numbers.
     plan = spark.createDataFrame(
-        [(s, p, a, b, f, z, at) for s, p, a, b, f, z, at in table],
+        [(s, p, a, b, f, z, at) for s, p, a, b, f, z, at in table if a < b],
         "_mk string, mix_phase int, _ma long, _me long, _mf long, _mz long, _mx array<int>",
     )
-    last = spark.createDataFrame([(s, b - 1) for s, b in blocks.items()], "_mk string, _ml long")
+    if inner is None:
+        last = F.broadcast(spark.createDataFrame([(s, b - 1) for s, b in blocks.items()], "_mk string, _ml long"))
+    else:
+        last = known.select("_mk", (F.col("_mb") - 1).alias("_ml"))
     inside = Window.partitionBy("_mk", "_mr").orderBy("_mh", id_col, "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         keyed.withColumn("_mr", range_of(F.col("_mh")))
         .join(starts.select("_mk", "_mr", "_mb"), ["_mk", "_mr"])
         .withColumn("mix_offset", F.col("_mb") + F.coalesce(F.sum("mix_tokens").over(inside), F.lit(0)))
-        .join(F.broadcast(last), "_mk")
+        .join(last, "_mk")
         .withColumn("mix_block", F.least(F.floor(F.col("mix_offset") / block_tokens), F.col("_ml")))
-        .join(F.broadcast(plan.withColumnRenamed("_mk", "_pk")), (F.col("_mk") == F.col("_pk")) & (F.col("mix_block") >= F.col("_ma")) & (F.col("mix_block") < F.col("_me")))
     )
-    k, a = F.col("mix_block") - F.col("_ma"), F.size("_mx")
+    # Who is scheduled, with which of its blocks: the source, or its group.
+    if inner is None:
+        placed = placed.withColumns({"_mg": F.col("_mk"), "_mp": F.col("mix_block")})
+    else:
+        placed = placed.join(inner, ["_mk", "mix_block"], "left").withColumns({"_mg": F.coalesce("_mg", "_mk"), "_mp": F.coalesce("_mp", "mix_block")})
+    placed = placed.join(F.broadcast(plan.withColumnRenamed("_mk", "_pk")), (F.col("_mg") == F.col("_pk")) & (F.col("_mp") >= F.col("_ma")) & (F.col("_mp") < F.col("_me")))
+    k, a = F.col("_mp") - F.col("_ma"), F.size("_mx")
     slot = F.col("_mf") + F.floor(k / a) * F.col("_mz") + F.element_at("_mx", (k % a + 1).cast("int"))
     return placed.select(*cols, "mix_tokens", F.col("mix_block").cast("long"), "mix_phase", slot.cast("long").alias("mix_slot"), F.col("mix_offset").cast("long"))

@@ -267,3 +267,38 @@ def test_mix_sources_frame(session, docs, corpus, empty):
     assert mixing.mix_sources(empty).count() == 0
     weighted = mixing.mix_sources(docs, {"s1": 3.0, None: 1.0}, block_tokens=100)
     assert weighted.count() == len(corpus)
+
+
+def test_dealt_blocks_keep_to_the_weights():
+    rng = random.Random(8)
+    for _ in range(20):
+        sources = [(f"s{i}", rng.random() + 0.01, 400) for i in range(rng.randrange(1, 30))]
+        total, ran = sum(w for _, w, _ in sources), Counter()
+        for t, (s, k, place) in enumerate(mixing.deal(sources)):
+            assert place == t and k == ran[s]
+            ran[s] += 1
+            if max(ran.values()) < 400:
+                assert all(abs(ran[x] - w / total * (t + 1)) < 1.001 for x, w, _ in sources)
+        assert set(ran.values()) == {400}
+
+
+def test_more_sources_than_the_driver_keeps(session):
+    n = mixing.MAX_SOURCES + 700
+    rows = [(i, f"site{i % n}.org" if i % n else None, " ".join(["w"] * (1 + i % 13 + (900 if i % n < 3 else 0)))) for i in range(2 * n)]
+    df = session.createDataFrame(rows, "doc_id long, source string, text string")
+    for weights in (None, {f"site{i}.org": 1.0 + i % 7 for i in range(1, 900)} | {None: 50.0}):
+        got = mixing.mix_sources(df, weights, block_tokens=10).collect()
+        assert sorted(r.doc_id for r in got) == list(range(2 * n))
+        owner, last = {}, defaultdict(int)
+        for r in got:
+            assert owner.setdefault(r.mix_slot, (r.source, r.mix_block)) == (r.source, r.mix_block)
+            last[r.source] = max(last[r.source], r.mix_block)
+        assert len({r.source for r in got}) == n
+        slot_of = {b: t for t, b in owner.items()}
+        for s, b in slot_of:
+            if (s, b - 1) in slot_of:
+                assert slot_of[s, b - 1] < slot_of[s, b]
+        tokens = Counter()
+        for r in got:
+            tokens[r.source] += r.mix_tokens
+        assert max(owner) < sum(-(-t // 10) for t in tokens.values())
