@@ -6,13 +6,14 @@ positions fixes the alignment, which is grown over equal neighbours and then
 repeated inside every gap between fixed words.  A template's coverage is the
 share of its words that get aligned.
 
-A text is searched whole: in windows of twice the template's words that step
-by the template's words, so each place a template can stand in lies inside
-one window, and a license pasted twice is still unique in its windows.  A
-window is aligned only if it holds at least ``threshold`` of the template's
-distinct words, which any window of that coverage must nearly do; the
-necessary bound used is exact: aligned words are common words, counted with
-their multiplicity.
+A template stands in a text where its words are aligned within twice the
+template's words, so up to as many other words may stand between them.  A
+text is searched whole: a window of that width starts at every word of the
+template that the text has, so what is found does not depend on what stands
+before, and a license pasted twice is still unique in its windows.  A window
+is aligned only if it holds enough words to reach ``threshold`` and to better
+the best window so far; the bound used is exact: aligned words are common
+words, counted with their multiplicity.
 
 Templates are a small fixed mapping (a parameter); it is shipped to the tasks
 with the function.  Edge cases: null or wordless texts match nothing; of equal
@@ -131,23 +132,26 @@ def align(text: Sequence[str], template: Sequence[str]) -> list[tuple[int, int]]
     return sorted(out)
 
 
-def _windows(n: int, m: int) -> range:
-    return range(0, max(1, n - m + 1) if n > 2 * m else 1, m)
-
-
 def best_match(words: Sequence[str], template: Sequence[str], threshold: float) -> tuple[float, int, int] | None:
     """(coverage, start, end) in words of the best window that reaches the
     threshold."""
-    m, best = len(template), None
+    m, best, most = len(template), None, 0
     need = Counter(template)
-    for a in _windows(len(words), m):
-        window = words[a : a + 2 * m]
-        common = need & Counter(w for w in window if w in need)
-        if common.total() < threshold * m:
-            continue
-        pairs = align(window, template)
-        if len(pairs) >= threshold * m and (best is None or len(pairs) / m > best[0]):
-            best = (len(pairs) / m, a + pairs[0][0], a + pairs[-1][0] + 1)
+    at = [i for i, w in enumerate(words) if w in need]
+    held: Counter[str] = Counter()
+    common = end = 0
+    for a in at:
+        while end < len(at) and at[end] < a + 2 * m:
+            w = words[at[end]]
+            common += held[w] < need[w]
+            held[w] += 1
+            end += 1
+        if common >= threshold * m and common > most:
+            pairs = align(words[a : a + 2 * m], template)
+            if len(pairs) >= threshold * m and len(pairs) > most:
+                most, best = len(pairs), (len(pairs) / m, a + pairs[0][0], a + pairs[-1][0] + 1)
+        held[words[a]] -= 1
+        common -= held[words[a]] < need[words[a]]
     return best
 
 

@@ -256,6 +256,22 @@ def test_licenses_found_anywhere(session, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_are_found_whatever_stands_before():
+    rng = random.Random(9)
+    for name, keep, extra in (("MIT", 0.85, 0.3), ("GPL-3.0 header", 1.0, 0.9), ("Apache-2.0 header", 0.9, 0.6)):
+        template = licenses.words_of(licenses.TEMPLATES[name])
+        m = len(template)
+        kept = sorted(rng.sample(range(m), -int(-keep * m // 1)))
+        spread = [template[i] for i in kept]
+        for i in range(int(extra * m)):
+            spread.insert(rng.randrange(1, len(spread)), f"extra{i}")
+        want = licenses.best_match(spread, template, 0.8)
+        assert want
+        for before in range(0, 2 * m, 7):
+            text = [f"word{i}" for i in range(before)] + spread + [f"more{i}" for i in range(3 * m)]
+            assert licenses.best_match(text, template, 0.8) == (want[0], before + want[1], before + want[2]), (name, before)
+
+
 def _stats(t):
     t = t or ""
     w = words(t)
