@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -31,9 +29,3 @@ def spark():
     yield s
     drop_scratch(s)
     assert not [t.name for t in s.catalog.listTables() if t.name.startswith("tallyfold_")]
-
-
-def rows(df, cols=None):
-    """Order-insensitive comparable form of a DataFrame."""
-    cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -4,7 +4,7 @@ one day, silent days, month boundaries, duplicate upsert keys, NULL keys."""
 import datetime as dt
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from tallyfold.operators import activity, cumulate, merge, patterns, scd

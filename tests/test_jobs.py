@@ -2,7 +2,7 @@
 
 import uuid
 
-from conftest import rows
+from support import rows
 
 from tallyfold import jobs
 from tallyfold.session import scratch_path

@@ -5,7 +5,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

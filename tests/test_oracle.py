@@ -6,7 +6,7 @@ import decimal
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 import __spark_entry__ as entry
 

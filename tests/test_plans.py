@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 from tallyfold import reports
 from tallyfold.operators import cumulate, patterns, scd

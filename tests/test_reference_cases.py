@@ -1,7 +1,7 @@
 """The reference's four unit-test cases, re-typed (FIXTURES.md section 1),
 compared without depending on row order."""
 
-from conftest import rows
+from support import rows
 
 from tallyfold.operators.activity import positional_sums
 from tallyfold.operators.dedupe import dedupe_counted

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from tallyfold import reports
 from tallyfold.operators import activity, cumulate, scd
 

@@ -4,7 +4,7 @@ import datetime as dt
 import time
 import uuid
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from tallyfold.operators import cumulate
