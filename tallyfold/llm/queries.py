@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import contamination, jaccard, langid, licenses, lm, mixing, repeats, rules, secret_scan, wordpiece
+from tallyfold.llm import contamination, jaccard, langid, licenses, line_runs, lm, mixing, repeats, rules, secret_scan, wordpiece
 from tallyfold.llm.text import crc_mod
 from tallyfold.sources.tables import read_table
 
@@ -89,6 +89,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_spans(documents(spark, sf_dir)).drop("spans")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_runs.dedupe_lines(documents(spark, sf_dir))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,6 +107,7 @@ QUERIES = {
         op8_quality_rules,
         op9_license_scan,
         op10_substring_dedup,
+        op11_line_dedup,
     )
 }
 
@@ -123,4 +129,14 @@ it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) A
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op11_line_dedup": r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT doc_id, i, line, top IS NOT NULL AND top <> doc_id AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id""",
 }
