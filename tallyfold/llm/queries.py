@@ -8,11 +8,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import contamination, jaccard, langid, licenses, line_runs, lm, mixing, repeats, rules, secret_scan, wordpiece
+from tallyfold.llm import contamination, crosstok, jaccard, langid, licenses, line_runs, lm, mixing, periodic, repeats, rules, secret_scan, wordpiece
 from tallyfold.llm.text import crc_mod
 from tallyfold.sources.tables import read_table
 
 VOCABULARY = os.environ.get("TALLYFOLD_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+BYTES = os.environ.get("TALLYFOLD_BYTES", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +95,42 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str, byte_vocabulary: str = BYTES, piece_model: str = VOCABULARY) -> DataFrame:
+    return crosstok.align_documents(documents(spark, sf_dir), *crosstok.read_vocabularies(byte_vocabulary, piece_model))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """The documents with the words of every tenth one (by crc32 of its id)
+    from some word on replaced by repeats of the first of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))).alias("w"))
+    n = F.size("w").cast("long")
+    some = words.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    some = some.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    loop = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get(F.col("w"), place(i)))
+    return some.select("doc_id", F.when(F.col("n") > 0, F.array_join(loop, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(looped(documents(spark, sf_dir).select("doc_id", "text")))
+    # Exact comparison of length / period; of equal ones the first stays.
+    more = lambda best, r: best.isNull() | (r.length * best.period > best.length * r.period)
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(more(best, r), r).otherwise(best))
+    line = lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.start.alias("start"),
+        best.length.alias("length"),
+        best.period.alias("period"),
+        F.floor(1000 * best.length / best.period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +145,8 @@ QUERIES = {
         op9_license_scan,
         op10_substring_dedup,
         op11_line_dedup,
+        op12_token_alignment,
+        op13_periodic_runs,
     )
 }
 
