@@ -40,14 +40,17 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -67,6 +70,8 @@ KEEP_WORDS, KEEP_BYTES = 200_000, 16 << 20
 
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "▁"
+# Fixed value: the published splitting pattern of byte-level vocabularies.
+_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 # ---------------------------------------------------------------- encoding
@@ -80,21 +85,6 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def overlaps(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Links (positions of overlapping tokens) of two cuts of the same bytes,
-    and the groups as the positions after their last tokens."""
-    i = j = 0
-    links, groups = [], []
-    while i < len(ends_a):
-        links.append((i, j))
-        a, b = ends_a[i], ends_b[j]
-        i += a <= b
-        j += b <= a
-        if a == b:
-            groups.append((i, j))
-    return links, groups
-
-
 class Words:
     """Aligned encodings of distinct words, each with the space before it."""
 
@@ -104,6 +94,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(byte_vocabulary)
+        self.ranks = byte_ranks(json.loads(byte_vocabulary))
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_proto=piece_model)
         symbol = byte_symbols()
@@ -112,6 +103,8 @@ class Words:
         self.bytes_a = [bytes(symbol[c] for c in t) if all(c in symbol for c in t) else t.encode() for t in plain]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.length_a, self.length_b = (np.array([len(t) for t in parts], np.int64) for parts in (self.bytes_a, self.bytes_b))
+        self.digits = _digit_table(max(len(plain), len(pieces)))
         #: False if some piece goes on from a word into the next.
         self.splits = not any(_MARK in p.lstrip(_MARK) for p in pieces)
         self.clear()
@@ -134,36 +127,92 @@ class Words:
         return _BREAK.split(text) if self.splits else [text]
 
     def add(self, new: list[str]) -> None:
-        for word, a, b in zip(new, self.a.encode_batch([" " + w for w in new], add_special_tokens=False), self.b.encode(new, num_threads=1)):
-            self.index[word] = len(self.index)
-            self._keep(word, a.ids, b)
-
-    def _keep(self, word: str, a: list[int], b: list[int]) -> None:
-        parts_a, parts_b, want = [self.bytes_a[t] for t in a], [self.bytes_b[t] for t in b], b" " + word.encode()
-        self.held += len(want)
-        if b"".join(parts_a) != want or b"".join(parts_b) != want:
-            self.sizes.extend((0, 0, 0, 0, 0))
-            self.groups.append("")
-            self.pair_ends.append(len(self.pairs))
-            return
-        links, groups = overlaps(_ends(parts_a), _ends(parts_b))
-        self.sizes.extend((len(a), len(b), len(groups), len(links), 1))
-        self.pairs.extend(a[i] << 32 | b[j] for i, j in links)
-        self.pair_ends.append(len(self.pairs))
-        starts = [(0, 0), *groups]
-        self.groups.append(";".join(f"{_ids(a[i:k])}|{_ids(b[j:m])}" for (i, j), (k, m) in zip(starts, groups)))
-
-
-def _ends(parts: list[bytes]) -> list[int]:
-    at, out = 0, []
-    for p in parts:
-        at += len(p)
-        out.append(at)
-    return out
-
-
-def _ids(tokens: list[int]) -> str:
-    return ",".join(map(str, tokens))
+        """Encode and align words that are not held yet."""
+        plain = [w for w in new if len(w) <= 256 and w.isascii() and not (w[0].isspace() or w[-1].isspace())]
+        if self.ranks is None or len(plain) == 0:
+            plain, rest = [], new
+        else:
+            rest = sorted(set(new).difference(plain)) if len(plain) < len(new) else []
+        new = plain + rest
+        want = [b" " + w.encode() for w in new]
+        # Plain words are put end to end and encoded at once; they part where
+        # the bytes of each end.
+        joined = np.array(self.ranks.encode_ordinary(" " + " ".join(plain)) if plain else [], np.int64)
+        marks = np.searchsorted(np.cumsum(self.length_a[joined]), np.cumsum([len(t) for t in want[: len(plain)]])) + 1
+        counts = np.diff(marks.astype(np.int64), prepend=0)
+        lists = [e.ids for e in self.a.encode_batch([" " + w for w in rest], add_special_tokens=False)]
+        a, n_a = np.concatenate([joined, _flat(lists)]), np.concatenate([counts, [len(x) for x in lists]]).astype(np.int64)
+        lists = self.b.encode(new, num_threads=1)
+        b, n_b = _flat(lists), np.array([len(x) for x in lists], np.int64)
+        ok = _spelt(self.bytes_a, a, n_a, want) & _spelt(self.bytes_b, b, n_b, want)
+        sizes, groups, pairs = np.zeros((len(new), 5), np.int64), [""] * len(new), np.zeros(0, np.int64)
+        if ok.any():
+            good = np.flatnonzero(ok).tolist()
+            sizes[ok, :4], shown, pairs = self._align(a[np.repeat(ok, n_a)], n_a[ok], b[np.repeat(ok, n_b)], n_b[ok], [want[k] for k in good])
+            sizes[ok, 4] = 1
+            for k, text in zip(good, shown):
+                groups[k] = text
+        self.held += sum(map(len, want))
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.groups += groups
+        self.pair_ends.frombytes((self.pair_ends[-1] + np.cumsum(sizes[:, 3])).tobytes())
+        self.sizes.frombytes(sizes.tobytes())
+        self.pairs.frombytes(pairs.tobytes())
+
+    def _align(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, want: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Numbers of A tokens, B tokens, groups and links of each word, its
+        groups as text, and the pairs of all words.  The words are put end to
+        end: their tokens' ends are cuts of the same bytes, so every stretch
+        between two neighbouring cuts is a link."""
+        ends_a, ends_b, word_ends = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b]), np.cumsum([len(t) for t in want])
+        cuts = np.union1d(ends_a, ends_b)
+        i, j = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        word = np.searchsorted(word_ends, cuts)
+        both = (ends_a[i] == cuts) & (ends_b[j] == cuts)
+        group_ends, n = cuts[both], len(want)
+        sizes = np.stack([n_a, n_b, np.bincount(word[both], minlength=n), np.bincount(word, minlength=n)], axis=1)
+        # Tokens in the order of the text: a group's A tokens, then its B tokens.
+        own = np.concatenate([2 * np.searchsorted(group_ends, ends_a), 2 * np.searchsorted(group_ends, ends_b) + 1])
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        last = np.append(own[1:] != own[:-1], True)
+        shown = np.concatenate([self.digits[a], self.digits[b]])[order]
+        shown[:, -1] = np.where(last, np.where(own % 2 == 0, ord("|"), ord(";")), ord(","))
+        text = shown[shown != 0].tobytes().decode()
+        stops = np.cumsum((shown != 0).sum(axis=1))[np.cumsum(n_a + n_b) - 1].tolist()
+        return sizes, [text[x : y - 1] for x, y in zip([0, *stops], stops)], a[i] << 32 | b[j]
+
+
+def _spelt(parts: list[bytes], tokens: np.ndarray, counts: np.ndarray, want: list[bytes]) -> np.ndarray:
+    """For each word, whether its tokens' bytes are those wanted."""
+    own = [parts[t] for t in tokens.tolist()]
+    stops = np.cumsum(counts).tolist()
+    return np.fromiter((b"".join(own[x:y]) == t for x, y, t in zip([0, *stops], stops, want)), bool, len(want))
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
+
+def byte_ranks(vocabulary: dict) -> tiktoken.Encoding | None:
+    """The same encoding with the ids as ranks, much faster on plain words;
+    None unless ids are in the order of the merges, as ranks must be."""
+    symbol = byte_symbols()
+    ids, merges = vocabulary["model"]["vocab"], vocabulary["model"]["merges"]
+    made = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+    single = sorted(i for t, i in ids.items() if len(t) == 1)
+    special = {t["content"] for t in vocabulary.get("added_tokens", [])}
+    if made != sorted(set(made)) or (single and made and single[-1] > made[0]) or len(made) + len(single) != len(set(ids) - special):
+        return None
+    ranks = {bytes(symbol[c] for c in t): i for t, i in ids.items() if t not in special}
+    return tiktoken.Encoding("plain", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def _digit_table(size: int) -> np.ndarray:
+    """The decimal digits of every number below ``size``, zero bytes after them
+    and room for one more character."""
+    width = len(str(size)) + 1
+    return np.frombuffer(b"".join(str(i).encode().ljust(width, b"\0") for i in range(size)), np.uint8).reshape(size, width)
 
 
 @lru_cache(maxsize=2)
