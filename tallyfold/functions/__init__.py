@@ -3,6 +3,7 @@
 from tallyfold.functions.arrays import append_if, concat_arrays, empty_array, pad_and_append, safe_get
 from tallyfold.functions.bits import bit_flag, bits_text, datelist_bits
 from tallyfold.functions.classify import QUALITY_BANDS, SCORING_BANDS, band
+from tallyfold.functions.keys import require_keys
 
 __all__ = [
     "QUALITY_BANDS",
@@ -15,5 +16,6 @@ __all__ = [
     "datelist_bits",
     "empty_array",
     "pad_and_append",
+    "require_keys",
     "safe_get",
 ]

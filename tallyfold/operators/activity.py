@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType
 
 from tallyfold.functions.arrays import append_if, pad_and_append, safe_get
 from tallyfold.functions.bits import bit_flag, bits_text, datelist_bits
+from tallyfold.functions.keys import require_keys
 from tallyfold.operators.cumulate import _day_bounds, _up_to
 
 # --------------------------------------------------------------------------
@@ -74,7 +75,7 @@ def reduce_monthly(prev: DataFrame | None, events: DataFrame, day: dt.date, key:
         prev = today.sparkSession.createDataFrame(
             [], f"{key} {events.schema[key].dataType.simpleString()}, hit_array array<bigint>, unique_visitors array<bigint>, month_start date"
         )
-    loaded = prev.where(F.col("month_start") == F.lit(month))
+    loaded = require_keys(prev.where(F.col("month_start") == F.lit(month)), [key], "monthly facts")
     y = loaded.alias("y")
     j = y.join(today, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
     # Days of the month loaded so far (rows of a month have equal lengths).
@@ -163,14 +164,16 @@ STAYED_RETIRED = "Stayed Retired"
 
 def track_states(prev: DataFrame | None, actives: DataFrame, season: int, key: str = "player_name") -> DataFrame:
     """O13 step: ``actives`` has one row per (key, current_season) in which
-    the key was active; ``prev`` is last season's growth table."""
-    t = actives.where(F.col("current_season") == F.lit(season)).select(key, "current_season").distinct().alias("t")
+    the key was active; ``prev`` is last season's growth table.  A NULL key is
+    refused, here and in the closed form."""
+    t = actives.where(F.col("current_season") == F.lit(season)).select(key, "current_season").distinct()
+    t = require_keys(t, [key], "active seasons").alias("t")
     if prev is None:
         prev = t.sparkSession.createDataFrame(
             [],
             f"{key} string, first_active_season int, last_active_season int, activity_state string, seasons_active array<int>, season int",
         )
-    y = prev.where(F.col("season") == F.lit(season - 1)).alias("y")
+    y = require_keys(prev.where(F.col("season") == F.lit(season - 1)), [key], "growth").alias("y")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
     t_season = F.col("t.current_season")
     state = (
@@ -199,7 +202,7 @@ def states_backfill(actives: DataFrame, as_of: int, key: str = "player_name") ->
     is New / Continued / Returned by the gap to the previous active season,
     a+1 is Retired, later ones Stayed Retired.
     """
-    a = actives.where(F.col("current_season") <= F.lit(as_of)).select(
+    a = require_keys(actives.where(F.col("current_season") <= F.lit(as_of)), [key], "active seasons").select(
         key, F.col("current_season").cast("int").alias("a")
     ).distinct()
     w = Window.partitionBy(key).orderBy("a")

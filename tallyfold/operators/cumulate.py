@@ -4,7 +4,8 @@ Each table has an incremental step ``next = step(prev, facts, period)``
 (previous snapshot FULL OUTER JOIN this period's aggregate) and a closed
 form that computes the same snapshots in one pass over the facts (the
 backfill).  Tests check the law: folding the step period by period equals
-the closed form.
+the closed form.  Both refuse facts and snapshots with a NULL in the entity
+key, as the primary keys of these tables do (a join would split or lose them).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from tallyfold.functions.classify import (
     SCORING_DEFAULT,
     band,
 )
+from tallyfold.functions.keys import require_keys
 from tallyfold.plans.joins import join_small
 from tallyfold.schemas import FILM, SEASON_STATS
 
@@ -55,12 +57,13 @@ def cumulate_actors(prev: DataFrame | None, actor_films: DataFrame, year: int) -
     class is recomputed only for actors with films this year, and
     ``is_active`` says whether they had any.
     """
-    cur = _actor_year_aggregate(actor_films.where(F.col("year") == F.lit(year)), ["actorid"]).withColumn(
+    films = require_keys(actor_films.where(F.col("year") == F.lit(year)), ["actorid"], "actor_films")
+    cur = _actor_year_aggregate(films, ["actorid"]).withColumn(
         "quality_class", band("avg_rating", QUALITY_BANDS, QUALITY_DEFAULT)
     )
     if prev is None:
         prev = cur.sparkSession.createDataFrame([], "actorid string, actor string, films array<" + FILM.simpleString() + ">, quality_class string, current_year int")
-    p = prev.where(F.col("current_year") == F.lit(year - 1)).alias("p")
+    p = require_keys(prev.where(F.col("current_year") == F.lit(year - 1)), ["actorid"], "actors").alias("p")
     c = cur.alias("c")
     j = p.join(c, F.col("p.actorid") == F.col("c.actorid"), "full_outer")
     present = F.col("c.actorid").isNotNull()
@@ -90,7 +93,7 @@ def actors_backfill(actor_films: DataFrame, as_of: int) -> DataFrame:
     years that follow it; the class of an inactive year is that of the
     active year it came from.
     """
-    facts = actor_films.where(F.col("year") <= F.lit(as_of)).repartition("actorid")
+    facts = require_keys(actor_films.where(F.col("year") <= F.lit(as_of)), ["actorid"], "actor_films").repartition("actorid")
     yearly = _actor_year_aggregate(facts, ["actorid", "year"])
     rows = _expand_to_next(yearly, "year", ["actorid"], as_of, "current_year")
     running = Window.partitionBy("actorid").orderBy("current_year").rowsBetween(Window.unboundedPreceding, 0)
@@ -123,7 +126,7 @@ def actors_backfill_chunked(
     """
     from tallyfold.plans.sequence import positions
 
-    facts = actor_films.where(F.col("year") <= F.lit(as_of))
+    facts = require_keys(actor_films.where(F.col("year") <= F.lit(as_of)), ["actorid"], "actor_films")
     yearly = facts.groupBy("actorid", "year").agg(F.min("actor").alias("actor"), F.avg("rating").alias("avg_rating"))
     rows = _expand_to_next(yearly, "year", ["actorid"], as_of, "current_year")
     running = Window.partitionBy("actorid").orderBy("current_year").rowsBetween(Window.unboundedPreceding, 0)
@@ -170,7 +173,7 @@ def cumulate_actors_chunked(
     Law: folding this step equals :func:`actors_backfill_chunked`."""
     from tallyfold.plans.sequence import positions
 
-    cur_facts = actor_films.where(F.col("year") == F.lit(year))
+    cur_facts = require_keys(actor_films.where(F.col("year") == F.lit(year)), ["actorid"], "actor_films")
     if prev is None:
         prev = cur_facts.sparkSession.createDataFrame(
             [],
@@ -178,7 +181,7 @@ def cumulate_actors_chunked(
             + FILM.simpleString()
             + ">, quality_class string, is_active boolean",
         )
-    p = prev.where(F.col("current_year") == F.lit(year - 1))
+    p = require_keys(prev.where(F.col("current_year") == F.lit(year - 1)), ["actorid"], "actors")
 
     cur = cur_facts.groupBy("actorid").agg(F.min("actor").alias("actor"), F.avg("rating").alias("avg_rating")).alias("c")
     pa = p.where(F.col("chunk") == 0).select("actorid", "actor", "quality_class").alias("p")
@@ -246,6 +249,7 @@ def _one_per_season(player_seasons: DataFrame) -> DataFrame:
     """One row per (player, season): of repeated rows the one of most points
     (then by the other columns), chosen by an aggregate that combines
     map-side."""
+    player_seasons = require_keys(player_seasons, ["player_name"], "player_seasons")
     rest = ["pts", "ast", "reb", "weight", *PLAYER_ATTRS]
     best = player_seasons.groupBy("player_name", "season").agg(F.max(F.struct(*rest)).alias("_best"))
     return best.select("player_name", "season", "_best.*")
@@ -266,7 +270,7 @@ def cumulate_players(prev: DataFrame | None, player_seasons: DataFrame, season:
             + ", ".join(f"{a} string" for a in PLAYER_ATTRS)
             + f", seasons array<{SEASON_STATS.simpleString()}>, scoring_class string, current_season int",
         )
-    ls = prev.where(F.col("current_season") == F.lit(season - 1)).alias("ls")
+    ls = require_keys(prev.where(F.col("current_season") == F.lit(season - 1)), ["player_name"], "players").alias("ls")
     ts = t.alias("ts")
     j = ls.join(ts, F.col("ls.player_name") == F.col("ts.player_name"), "full_outer")
     present = F.col("ts.season").isNotNull()
@@ -337,7 +341,8 @@ def _up_to(day: dt.date) -> Column:
 def _user_browser_rows(events: DataFrame, devices: DataFrame, day_filter: Column) -> DataFrame:
     ev = events.where(day_filter).select("user_id", "device_id", F.to_date("event_time").alias("day"))
     dev = devices.select("device_id", "browser_type").distinct()
-    return join_small(ev, dev, "device_id").select("user_id", "browser_type", "day")
+    rows = join_small(ev, dev, "device_id").select("user_id", "browser_type", "day")
+    return require_keys(rows, ["user_id", "browser_type"], "events of devices")
 
 
 def user_browser_days(events: DataFrame, devices: DataFrame, day_filter: Column) -> DataFrame:
@@ -353,7 +358,8 @@ def cumulate_user_devices(prev: DataFrame | None, events: DataFrame, devices: Da
         prev = today.sparkSession.createDataFrame(
             [], "user_id bigint, browser_type string, device_activity_datelist array<date>, date date"
         )
-    y = prev.where(F.col("date") == F.lit(day - dt.timedelta(days=1))).alias("y")
+    y = prev.where(F.col("date") == F.lit(day - dt.timedelta(days=1)))
+    y = require_keys(y, ["user_id", "browser_type"], "user_devices_cumulated").alias("y")
     j = y.join(
         today,
         (F.col("y.user_id") == F.col("t.user_id")) & (F.col("y.browser_type") == F.col("t.browser_type")),
@@ -393,7 +399,7 @@ def cumulate_hosts(prev: DataFrame | None, events: DataFrame, day: dt.date) -> D
     today = host_days(events, _day_bounds(day)).alias("t")
     if prev is None:
         prev = today.sparkSession.createDataFrame([], "host_name string, host_activity_datelist array<date>, date date")
-    y = prev.where(F.col("date") == F.lit(day - dt.timedelta(days=1))).alias("y")
+    y = require_keys(prev.where(F.col("date") == F.lit(day - dt.timedelta(days=1))), ["host_name"], "hosts_cumulated").alias("y")
     j = y.join(today, F.col("y.host_name") == F.col("t.host"), "full_outer")
     seen = F.col("t.day").isNotNull()
     return j.select(

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.functions.keys import require_keys
+
 
 def _same(a: Sequence[Column], b: Sequence[Column]) -> Column:
     """Null-safe equality of attribute lists (two NULLs are equal)."""
@@ -38,11 +40,13 @@ def scd2_backfill(
 
     Snapshot tables hold one row per key and period, so a key's window is
     bounded by the number of periods.  One exchange on the key serves the
-    lag, the running sum and the final aggregation.
+    lag, the running sum and the final aggregation.  A NULL key is refused
+    (the increment could not match it).
     """
     keys, attrs = list(keys), list(attrs)
     if as_of is None and as_of_col is not None:
         as_of = snapshots.agg(F.max(period)).first()[0]
+    snapshots = require_keys(snapshots, keys, "snapshots")
     w = Window.partitionBy(*keys).orderBy(period)
     prev = [F.lag(a).over(w) for a in attrs]
     prev_period = F.lag(period).over(w)
@@ -84,17 +88,18 @@ def scd2_incremental(
     the last period) meet the snapshot in one full outer join on the key:
     equal attributes extend the row, changed attributes close it and open a
     new one, keys absent from the snapshot keep their row, new keys open a
-    row.  Law: ``scd2_incremental(scd2_backfill(<= p-1), snap p)`` equals
+    row.  A NULL key is refused on either side.  Law: ``scd2_incremental(scd2_backfill(<= p-1), snap p)`` equals
     ``scd2_backfill(<= p)`` on dense snapshots.
     """
     keys, attrs, carry = list(keys), list(attrs), list(carry)
     last = period_value - 1
+    scd_prev = require_keys(scd_prev, keys, "the history")
     ends = F.coalesce(F.col(end_col), F.lit(last).cast(scd_prev.schema[end_col].dataType))
     message = F.concat(F.lit(f"{end_col} is not before {period_value}: "), ends.cast("string"))
     scd_prev = scd_prev.withColumn(end_col, F.when(ends < F.lit(period_value), ends).otherwise(F.raise_error(message)))
     closed = scd_prev.where(F.col(end_col) < F.lit(last))
     open_rows = scd_prev.where(F.col(end_col) == F.lit(last)).alias("o")
-    snap = snapshot.where(F.col(period) == F.lit(period_value)).select(*keys, *attrs, *carry).alias("s")
+    snap = require_keys(snapshot.where(F.col(period) == F.lit(period_value)), keys, "the snapshot").select(*keys, *attrs, *carry).alias("s")
     cond = reduce(lambda x, y: x & y, [F.col(f"o.{k}") == F.col(f"s.{k}") for k in keys])
     j = open_rows.join(snap, cond, "full_outer")
 

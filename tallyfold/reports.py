@@ -11,7 +11,6 @@ them value by value.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas
 from tallyfold.operators import activity, cumulate, graph, matches, merge, patterns, scd
 from tallyfold.operators.dedupe import dedupe, dedupe_counted
-from tallyfold.session import materialize, scratch_path, session_id
+from tallyfold.session import materialize, on_drop, scratch_path, scratch_table, session_id
 from tallyfold.sources import proxy
 from tallyfold.sources.tables import (
     insert_periods,
@@ -47,6 +46,12 @@ def _latest(spark: SparkSession, sf_dir: str, table: str, col: str):
 _SHARED: dict[tuple, object] = {}
 
 
+@on_drop
+def _forget(spark: SparkSession) -> None:
+    for ident in [k for k in _SHARED if k[0] == session_id(spark)]:
+        del _SHARED[ident]
+
+
 def _shared(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build: Callable[[], object]):
     """``build()``'s written tables, made once per session for the files the
     source tables consist of now; new or changed files build them anew."""
@@ -83,7 +88,7 @@ def _load(
     key) in the shared folder, then the step for the next period reads
     partition p-1 in place and inserts partition p.  Everything downstream
     reads the written table, so nothing upstream is computed twice."""
-    table = f"tallyfold_{name}_{uuid.uuid4().hex[:10]}"
+    table = scratch_table(spark, name)
     n = partitions_for(backfill)
     back = write_snapshot_table(backfill, table, period_col, keys, n, scratch_path(spark, f"snapshots/{table}", unique=False))
     result = step(back)
@@ -470,7 +475,6 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
 
 
 def _load_bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    tag = uuid.uuid4().hex[:10]
     frames = {
         "match_details": proxy.match_details(spark, sf_dir),
         "matches": proxy.matches(spark, sf_dir),
@@ -479,7 +483,7 @@ def _load_bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     n = max(partitions_for(df) for df in frames.values())  # the same for all, to join in place
     out = []
     for name, df in frames.items():
-        table = f"tallyfold_{name}_{tag}"
+        table = scratch_table(spark, name)
         out.append(write_bucketed(df, table, "match_id", n, path=scratch_path(spark, f"bucketed/{table}", unique=False)))
     return out[0], out[1], out[2]
 
@@ -600,7 +604,7 @@ def define_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     DDL, insert the monthly rows (dynamic partition overwrite, twice), read
     the table back."""
     m, _ = _monthly(spark, sf_dir, "host")
-    name = f"tallyfold_har_{uuid.uuid4().hex[:10]}"
+    name = scratch_table(spark, "har")
     table = schemas.define_table(spark, "host_activity_reduced", location=scratch_path(spark, f"tables/{name}", unique=False), table_name=name)
     target_cols = spark.table(table).columns
     for _ in range(2):  # the table's DDL makes the overwrite dynamic: rerun replaces
@@ -624,7 +628,7 @@ def define_tables_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     out = None
     for name, df in sources.items():
-        table = f"tallyfold_{name}_{uuid.uuid4().hex[:10]}"
+        table = scratch_table(spark, name)
         schemas.define_table(spark, name, location=scratch_path(spark, f"tables/{table}", unique=False), table_name=table)
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
         rows = spark.table(table).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))

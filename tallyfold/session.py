@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,8 @@ def session_id(spark: SparkSession) -> str:
 
 _SHIPPED: set[str] = set()
 _SCRATCH: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
+_ON_DROP: list[Callable[[SparkSession], None]] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -78,32 +81,59 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A path below the shared checkpoint folder for an intermediate table."""
+def durable_path(spark: SparkSession, name: str) -> str:
+    """A fixed path below the shared checkpoint folder for what must outlive
+    the session (a stream's state, a table of the caller's own name):
+    :func:`drop_scratch` leaves it alone."""
     base = checkpoint_dir(spark)
     if base is None:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared folder "
             "(e.g. on HDFS/S3) before running jobs that write intermediate tables"
         )
-    suffix = f"-{uuid.uuid4().hex[:12]}" if unique else ""
-    path = f"{base.rstrip('/')}/tallyfold/{name}{suffix}"
+    return f"{base.rstrip('/')}/tallyfold/{name}"
+
+
+def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
+    """A path below the shared checkpoint folder for an intermediate table."""
+    path = durable_path(spark, f"{name}-{uuid.uuid4().hex[:12]}" if unique else name)
     _SCRATCH.setdefault(session_id(spark), []).append(path)
     return path
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Drop the catalog tables and delete the folders this library made for
-    the session: call it when no result is read any more (results are lazy
-    and read the intermediate tables)."""
-    for table in spark.catalog.listTables():
-        if table.name.startswith("tallyfold_"):
-            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+def scratch_table(spark: SparkSession, name: str, unique: bool = True) -> str:
+    """A catalog table name for an intermediate table of this session."""
+    clean = "tallyfold_" + "".join(ch if ch.isalnum() else "_" for ch in name)
+    table = f"{clean}_{uuid.uuid4().hex[:10]}" if unique else clean
+    _TABLES.setdefault(session_id(spark), []).append(table)
+    return table
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, whatever store it is in."""
     sc = _context(spark)
+    if sc is not None:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def on_drop(forget: Callable[[SparkSession], None]) -> None:
+    """Have ``forget`` called by :func:`drop_scratch`: for memos of what was
+    written."""
+    _ON_DROP.append(forget)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the intermediate catalog tables and folders that this library made
+    for this session, and nothing else: call it when no result is read any
+    more (results are lazy and read the intermediate tables).  Queries that
+    run later make theirs anew."""
+    for forget in _ON_DROP:
+        forget(spark)
+    for table in _TABLES.pop(session_id(spark), []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     for path in _SCRATCH.pop(session_id(spark), []):
-        if sc is not None:
-            at = sc._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+        delete_path(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -132,8 +162,7 @@ def materialize(
 
         if len(partition_by) != 1:
             raise ValueError("a bucketed snapshot needs exactly one period column")
-        table = "tallyfold_" + "".join(ch if ch.isalnum() else "_" for ch in name) + "_" + uuid.uuid4().hex[:10]
-        return write_snapshot_table(df, table, partition_by[0], bucket_by, partitions_for(df), path)
+        return write_snapshot_table(df, scratch_table(spark, name), partition_by[0], bucket_by, partitions_for(df), path)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -21,7 +21,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.session import cut_lineage, materialize, scratch_path
+from tallyfold.session import cut_lineage, durable_path, materialize
 from tallyfold.sources.tables import insert_periods, overwrite_into, partitions_for, write_snapshot_table
 
 Step = Callable[[DataFrame | None, Any], DataFrame]
@@ -73,7 +73,7 @@ def fold_periods(
                 insert_periods(materialize(cur, f"versions/{table}"), table)
             else:
                 n = n_buckets or partitions_for(cur)
-                write_snapshot_table(cur, table, partition_col, bucket_by, n, scratch_path(session, f"tables/{table}"))
+                write_snapshot_table(cur, table, partition_col, bucket_by, n, durable_path(session, f"tables/{table}"))
             cur = session.table(table).where(F.col(partition_col) == F.lit(part(p))).select(*cols)
         elif sink_path is not None:
             if partition_col is None:

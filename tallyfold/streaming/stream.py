@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyfold.session import scratch_path
+from tallyfold.session import durable_path
 from tallyfold.streaming.periods import fold_periods
 
 DayStep = Callable[[DataFrame | None, DataFrame, dt.date], DataFrame]
@@ -49,9 +49,9 @@ def stream_daily_loads(
     With ``available_now`` the query processes what is there and stops.
     ``partition_of`` maps a day to the table partition its step writes (the
     day itself by default, the month start for monthly facts)."""
-    facts_path = scratch_path(spark, f"streams/{name}/facts", unique=False)
-    progress_path = scratch_path(spark, f"streams/{name}/progress", unique=False)
-    checkpoint = scratch_path(spark, f"streams/{name}/checkpoint", unique=False)
+    facts_path = durable_path(spark, f"streams/{name}/facts")
+    progress_path = durable_path(spark, f"streams/{name}/progress")
+    checkpoint = durable_path(spark, f"streams/{name}/checkpoint")
 
     def loaded_through(session: SparkSession, batch_id: int) -> dt.date | None:
         """Latest day loaded by the earlier batches (none on the first)."""
