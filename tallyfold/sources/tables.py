@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,49 @@ def read_csv(
     return reader.csv(path)
 
 
+# The columns of a rejected line.
+BAD_TEXT, BAD_REASON = "line", "reason"
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: StructType | str, header: bool = True, reject_path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """O31 that survives bad rows: (good rows of ``schema``, rejected lines).
+
+    A line that does not fit the schema is kept whole as ``line``, with the file
+    it stands in and a ``reason``: how many fields it has instead of how many,
+    or which column's value is not of its type.  Every line is in one of the
+    two results.  With ``reject_path`` the rejected lines are written there and
+    read back.  An empty field is NULL, as in the plain reader.
+    """
+    from tallyfold.session import materialize  # session writes through this module
+
+    if not isinstance(schema, StructType):
+        schema = StructType.fromDDL(schema)
+    raw = "_line"
+    wide = StructType([*schema.fields, StructField(raw, StringType())])
+    reader = spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw)
+    # Parsed once, into scratch space: both results come from there.
+    parsed = reader.schema(wide).csv(path).withColumn("_file", F.col("_metadata.file_path"))
+    rows = materialize(parsed, "csv-parsed")
+    good = rows.where(F.col(raw).isNull()).drop(raw, "_file")
+    bad = rows.where(F.col(raw).isNotNull())
+    # The fields as text: one that is there but that the reader left NULL is
+    # the one it could not read.
+    texts = F.from_csv(F.col(raw), ", ".join(f"_f{i} string" for i in range(len(schema))))
+    fields = bad.withColumn("_p", texts)
+    count = F.size(F.split(F.regexp_replace(raw, r'"(?:[^"\\]|\\.)*"', "q"), ",", -1))
+    reason = F.when(count != len(schema), F.concat(count.cast("string"), F.lit(f" fields instead of {len(schema)}")))
+    for i, f in enumerate(schema.fields):
+        unread = F.col(f"_p._f{i}").isNotNull() & F.col(f.name).isNull()
+        reason = reason.when(unread, F.lit(f"{f.name} is not a {f.dataType.simpleString()}"))
+    bad = fields.select(F.col(raw).alias(BAD_TEXT), F.col("_file").alias("file"), reason.otherwise(F.lit("not readable")).alias(BAD_REASON))
+    if reject_path is not None:
+        bad.write.mode("overwrite").parquet(reject_path)
+        bad = spark.read.schema(bad.schema).parquet(reject_path)
+    return good, bad
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", str(header).lower()).csv(path)
 
