@@ -1,25 +1,21 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents, in the order of a hash, are cut into blocks of about
-``block_tokens`` tokens.  With weights in units of 1/H (H slots a period), the
-k-th block of a source of weight a/H is released at slot floor(k*H/a) and due
-by slot ceil((k+1)*H/a); one block runs per slot, the released block of
-earliest deadline first.  As the weights sum to one, every deadline is met and
-after any number of slots each source has had less than one block more or
-fewer than its share.
-
-The schedule repeats every H slots, so one period is simulated (H is a
-parameter, not the data) and a block's slot follows from its number by
-division: no job ever walks the blocks one by one.  When a source has no
-blocks left, the others go on with their weights scaled up, in a new phase;
-there are at most as many phases as sources, and nothing is dropped.
-
-With more than ``MAX_SOURCES`` sources, those of largest weight are scheduled
-so, together with groups (by hash) of all others: a group has its sources'
-added weight and blocks, and the blocks of a group's slots are dealt to its
-sources by the same rule again, the released block of earliest deadline
-first, over the group's own time.  A group's blocks are walked one by one in
-one task; only they are, and a group has a ``MAX_SOURCES / 2``-th of them.
+Each source's documents, in the order of a hash, are cut into blocks.  In the
+ideal stream all sources run at once, each at a rate of its target weight over
+the weights of the sources that have blocks left.  A block is released in the
+slot in which the ideal stream begins it, and due by the end of the slot in
+which the ideal stream ends it; one block runs per slot, the released block of
+earliest deadline first.  In any stretch of slots the windows that lie inside
+it are no more than its slots, so every deadline is met: after any number of
+slots each source has had less than one block more or fewer than in the ideal
+stream.  The weights are integers in units of 2^-40 of their sum and the
+windows are computed from them without rounding.
+
+A schedule is a sequence, so one task walks it; it walks block numbers, not
+rows, and there are at most about ``MAX_BLOCKS`` of them, plus one a source,
+whatever the size of the data: a block has ``block_tokens`` tokens, or as many
+more as that takes.  The task keeps the numbers of the sources, no document.
+The schedule is a table that the documents join by (source, block).
 
 Block numbers come from running token sums computed in two levels: per
 (source, hash range) sums first, then inside each range, whose size is
@@ -28,127 +24,104 @@ bounded, so a source holding a third of all rows is spread over many tasks.
 Edge cases: a null source is a source of its own; a null or blank text has 0
 tokens and goes with its neighbours in hash order; repeated rows are placed
 one by one; weights of absent sources are ignored, and a source without a
-positive weight gets the smallest one (nothing is dropped).
+positive weight gets the smallest one (nothing is dropped).  Columns named
+like the result's are replaced; others are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
-from collections.abc import Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.plans.joins import join_small
 from tallyfold.session import materialize
 
 BLOCK_TOKENS = 32_768
-SLOTS = 1000
-RANGE_ROWS = 20_000
-MAX_SOURCES = 500
-_OUT = ("mix_tokens", "mix_block", "mix_phase", "mix_slot", "mix_offset")
-
-
-def period(shares: dict[str, int]) -> dict[str, list[int]]:
-    """Slots of each source's blocks in one period of ``sum(shares)`` slots,
-    earliest deadline first; equal deadlines in source order."""
-    total = sum(shares.values())
-    waiting = sorted((k * total // a, -(-(k + 1) * total // a), s, k) for s, a in shares.items() for k in range(a))
-    slots: dict[str, list[int]] = {s: [] for s in shares}
-    ready: list[tuple[int, str, int]] = []
-    i = 0
-    for t in range(total):
-        while i < len(waiting) and waiting[i][0] <= t:
-            _, due, s, k = waiting[i]
-            heapq.heappush(ready, (due, s, k))
-            i += 1
-        due, s, _ = heapq.heappop(ready)
-        assert t < due
-        slots[s].append(t)
-    return slots
-
-
-def shares_of(weights: dict[str, float], slots: int = SLOTS) -> dict[str, int]:
-    """Integer shares, at least one each, adding up to ``slots`` (or to the
-    number of sources, if that is more), by largest remainder."""
-    least = min((w for w in weights.values() if w and w > 0), default=1.0)
-    w = {s: (x if x and x > 0 else least) for s, x in weights.items()}
-    slots, total = max(slots, len(w)), sum(w.values())
-    spare = slots - len(w)
-    exact = {s: x / total * spare for s, x in w.items()}
-    out = {s: 1 + math.floor(x) for s, x in exact.items()}
-    for s in sorted(w, key=lambda s: (math.floor(exact[s]) - exact[s], s))[: slots - sum(out.values())]:
-        out[s] += 1
-    return out
-
-
-def phases(shares: dict[str, int], blocks: dict[str, int]) -> list[tuple[str, int, int, int, int, int, list[int]]]:
-    """(source, phase, first block, end block, first slot, slots a period,
-    slots of its blocks in a period) for every source and phase it runs in."""
-    out, done, base, phase = [], dict.fromkeys(blocks, 0), 0, 0
-    while left := {s: blocks[s] - done[s] for s in blocks if blocks[s] > done[s]}:
-        now = {s: shares[s] for s in left}
-        g = math.gcd(*now.values())
-        now = {s: a // g for s, a in now.items()}
-        at, size = period(now), sum(now.values())
-        slot = lambda s, k: k // now[s] * size + at[s][k % now[s]]  # noqa: B023, E731
-        end = min(slot(s, left[s] - 1) for s in left)  # a source runs out here
-        for s in left:
-            whole, part = divmod(end + 1, size)
-            ran = whole * now[s] + sum(x < part for x in at[s])
-            out.append((s, phase, done[s], done[s] + ran, base, size, at[s]))
-            done[s] += ran
-        base += end + 1
-        phase += 1
-    return out
-
-
-def deal(sources: Iterable[tuple[str, float, int]]) -> Iterator[tuple[str, int, int]]:
-    """(source, block, place) of all blocks of (source, weight, blocks): the
-    released block of earliest deadline first, where time runs so that the
-    sources with blocks left share every place by weight."""
-    known = sorted(sources)
-    left = sum(w for _, w, _ in known)
-    waiting = [(0.0, i, 0) for i in range(len(known))]
-    ready: list[tuple[float, int, int]] = []
-    now = 0.0
-    for place in range(sum(n for _, _, n in known)):
-        if not ready:
-            now = max(now, waiting[0][0])
-        while waiting and waiting[0][0] <= now * (1 + 1e-12):
-            _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, ((k + 1) / known[i][1], i, k))
-        due, i, k = heapq.heappop(ready)
-        s, w, n = known[i]
-        yield s, k, place
-        now += 1 / max(left, w)
-        if k + 1 < n:
-            heapq.heappush(waiting, (due, i, k + 1))
-        else:
-            left -= w
-
-
-def _grouped(totals: DataFrame) -> tuple[dict[str, float], dict[str, int], DataFrame]:
-    """Weights and blocks of the largest sources and of the groups of all
-    others, and of those each block's group and its place in it.  ``totals``
-    has ``_mk``, ``_mw`` (positive) and ``_mb`` of more than ``MAX_SOURCES``
-    sources."""
-    own = totals.orderBy(F.desc("_mw"), "_mk").limit(MAX_SOURCES // 2).collect()
-    names = totals.sparkSession.createDataFrame([(r["_mk"],) for r in own], "_mk string")
-    hashed = F.pmod(F.xxhash64("_mk"), F.lit(MAX_SOURCES - len(own)))
-    rest = totals.join(F.broadcast(names), "_mk", "left_anti").withColumn("_mg", F.concat(F.lit("g"), hashed.cast("string")))
-    groups = rest.groupBy("_mg").agg(F.sum("_mw").alias("w"), F.sum("_mb").alias("b")).collect()
-    wanted = {r["_mk"]: r["_mw"] for r in own} | {r["_mg"]: r["w"] for r in groups}
-    blocks = {r["_mk"]: r["_mb"] for r in own} | {r["_mg"]: r["b"] for r in groups}
-    schema = pa.schema([("_mg", pa.string()), ("_mk", pa.string()), ("mix_block", pa.int64()), ("_mp", pa.int64())])
-
-    def dealt(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        got = list(deal(zip(*(rows.column(c).to_pylist() for c in ("_mk", "_mw", "_mb")))))
-        cols = [[key[0].as_py()] * len(got), *([r[i] for r in got] for i in range(3))]
-        return pa.table([pa.array(x, f.type) for x, f in zip(cols, schema)], schema=schema)
-
-    return wanted, blocks, rest.groupBy("_mg").applyInArrow(dealt, "_mg string, _mk string, mix_block long, _mp long")
+MAX_BLOCKS = 1_000_000
+RANGE_ROWS = 5_000
+#: Units of the integer weights.
+UNITS = 1 << 40
+_OUT = ("mix_tokens", "mix_block", "mix_slot", "mix_offset")
+
+
+class Ideal:
+    """The ideal stream of sources with integer weights and numbers of blocks:
+    when (in slots) it has run a given part of a source."""
+
+    def __init__(self, weights: list[int], blocks: list[int]):
+        self.weights, self.blocks = weights, blocks
+        # Sources end in the order of blocks / weight.  Until the i-th end the
+        # stream has run `done[i]` blocks of ended sources, and the others run
+        # with `rate[i]` together.
+        order = sorted(range(len(weights)), key=lambda s: Fraction(blocks[s], weights[s]))
+        self.ends = [blocks[s] / weights[s] for s in order]
+        self.done = [0, *accumulate(blocks[s] for s in order)]
+        self.rate = [sum(weights) - x for x in accumulate((weights[s] for s in order), initial=0)]
+
+    def slots(self, source: int, part: int) -> tuple[int, int]:
+        """Numerator and denominator of the time at which ``part`` blocks of the
+        source have run."""
+        w = self.weights[source]
+        i = min(bisect_right(self.ends, part / w), len(self.ends) - 1)
+        return self.done[i] * w + self.rate[i] * part, w
+
+    def window(self, source: int, block: int) -> tuple[int, int]:
+        """Release slot of a block, and the slot before which it must have run."""
+        a, w = self.slots(source, block)
+        b, _ = self.slots(source, block + 1)
+        return a // w, -(-b // w)
+
+
+def walk(weights: list[int], blocks: list[int]) -> Iterator[tuple[int, int]]:
+    """(source, block) of slot 0, 1, ...: the released block of earliest deadline
+    first, of equal deadlines the first source's."""
+    ideal = Ideal(weights, blocks)
+    waiting = [(0, s, 0) for s in range(len(weights)) if blocks[s] > 0]
+    ready: list[tuple[int, int, int]] = []
+    heapq.heapify(waiting)
+    for slot in range(sum(blocks)):
+        while waiting and waiting[0][0] <= slot:
+            _, s, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (ideal.window(s, k)[1], s, k))
+        _, s, k = heapq.heappop(ready)
+        yield s, k
+        if k + 1 < blocks[s]:
+            heapq.heappush(waiting, (ideal.window(s, k + 1)[0], s, k + 1))
+
+
+def schedule(sources: DataFrame) -> DataFrame:
+    """(``_mk``, ``mix_block``, ``mix_slot``) of all blocks of the sources (``_mk``,
+    ``_mu`` integer weight, ``_mb`` blocks), written."""
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, weights, blocks = [], [], []
+        for batch in batches:
+            names += batch.column(0).to_pylist()
+            weights += batch.column(1).to_pylist()
+            blocks += batch.column(2).to_pylist()
+        rows: list[tuple[str, int, int]] = []
+
+        def put() -> pa.RecordBatch:
+            types = (pa.string(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["_mk", "mix_block", "mix_slot"])
+
+        for slot, (s, k) in enumerate(walk(weights, blocks)):
+            rows.append((names[s], k, slot))
+            if len(rows) == 50_000:
+                yield put()
+                rows = []
+        if rows:
+            yield put()
+
+    one = sources.select("_mk", "_mu", "_mb").repartition(1).sortWithinPartitions("_mk")
+    return materialize(one.mapInArrow(walked, "_mk string, mix_block long, mix_slot long"), "mix-schedule")
 
 
 def n_tokens(text: Column) -> Column:
@@ -160,75 +133,62 @@ def mix_sources(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
     block_tokens: int = BLOCK_TOKENS,
-    slots: int = SLOTS,
     smoothing: float = 0.5,
+    max_blocks: int = MAX_BLOCKS,
     source_col: str = "source",
     text_col: str = "text",
     id_col: str = "doc_id",
     range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Every row of ``docs`` with ``mix_tokens``, ``mix_block`` (number within
-    the source), ``mix_phase``, ``mix_slot`` (global order of blocks) and
-    ``mix_offset`` (order inside the block: tokens of the source before it).
-    Without ``weights`` a source's target is its token total to the power
-    ``smoothing``."""
+    the source), ``mix_slot`` (global order of blocks) and ``mix_offset`` (order
+    inside the block: tokens of the source before it).  Without ``weights`` a
+    source's target is its token total to the power ``smoothing``."""
     spark = docs.sparkSession
     cols = [c for c in docs.columns if c not in _OUT]  # an earlier mix is replaced
-    keyed = docs.withColumns({
-        "_mk": F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))),
-        "mix_tokens": n_tokens(F.col(text_col)),
-        "_mh": F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), 1),
-    })
-    light = keyed.select("_mk", "mix_tokens", "_mh")
+    # All columns of the input travel in one, so no name can clash.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
+        F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("_mk"),
+        n_tokens(F.col(text_col)).alias("mix_tokens"),
+        F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), 1).alias("_mh"),
+        F.col(id_col).alias("_mi"),
+    )
     n_rows = docs.select(F.lit(1)).count()
     ranges = max(1, -(-n_rows // range_rows))
     # Ranges of the hash's 31 high bits, so ranges follow the hash order.
     range_of = lambda h: F.shiftright(F.shiftright(h, 32) * F.lit(ranges), 31)
-    sums = light.groupBy("_mk", range_of(F.col("_mh")).alias("_mr")).agg(F.sum("mix_tokens").alias("_mt"), F.count(F.lit(1)).alias("_mn"))
-    total = lambda x: x.groupBy("_mk").agg(F.sum("_mt").alias("t"))
-    totals = {r["_mk"]: r["t"] for r in total(sums).limit(MAX_SOURCES + 1).collect()}
-    named = {"n" if k is None else f"s{k}": w for k, w in (weights or {}).items()}
-    inner = None
-    if len(totals) <= MAX_SOURCES:
-        blocks = {s: max(1, -(-t // block_tokens)) for s, t in totals.items()}
-        wanted = {s: float(t) ** smoothing if weights is None else named.get(s, 0.0) for s, t in totals.items()}
+    light = keyed.select("_mk", "mix_tokens", "_mh")
+    sums = light.groupBy("_mk", range_of(F.col("_mh")).alias("_mr")).agg(F.sum("mix_tokens").alias("_mt"))
+    sums = materialize(sums, "mix-sums")
+    totals = sums.groupBy("_mk").agg(F.sum("_mt").alias("t"))
+    if weights is None:
+        wanted = totals.withColumn("_mw", F.pow(F.col("t").cast("double"), F.lit(float(smoothing))))
     else:
-        sums = materialize(sums, "mix-sums")
-        known = total(sums).withColumn("_mb", F.greatest(F.lit(1), F.ceil(F.col("t") / block_tokens)).cast("long"))
-        if weights is None:
-            known = known.withColumn("_mw", F.pow(F.col("t").cast("double"), F.lit(float(smoothing))))
-        else:
-            given = spark.createDataFrame([(s, float(w)) for s, w in named.items() if w is not None], "_mk string, _mw double")
-            known = known.join(given, "_mk", "left")
-        least = known.where("_mw > 0").agg(F.min("_mw")).first()[0] or 1.0
-        known = materialize(known.select("_mk", "_mb", F.when(F.col("_mw") > 0, F.col("_mw")).otherwise(F.lit(least)).alias("_mw")), "mix-sources")
-        wanted, blocks, inner = _grouped(known)
-    before = Window.partitionBy("_mk").orderBy("_mr").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("_mb", F.coalesce(F.sum("_mt").over(before), F.lit(0)))
-    table = phases(shares_of(wanted, slots), blocks) if blocks else []
-    # One row per source (or group) and phase, at most MAX_SOURCES^2 / 2, of a period's numbers.
-    plan = spark.createDataFrame(
-        [(s, p, a, b, f, z, at) for s, p, a, b, f, z, at in table if a < b],
-        "_mk string, mix_phase int, _ma long, _me long, _mf long, _mz long, _mx array<int>",
+        named = [("n" if k is None else f"s{k}", float(w)) for k, w in weights.items() if w is not None]
+        wanted = join_small(totals, spark.createDataFrame(named, "_mk string, _mw double"), "_mk", "left")
+    wanted = materialize(wanted, "mix-weights")
+    least = wanted.where("_mw > 0").agg(F.min("_mw")).first()[0] or 1.0
+    positive = wanted.withColumn("_mw", F.when(F.col("_mw") > 0, F.col("_mw")).otherwise(F.lit(least)))
+    all_tokens, all_weight = positive.agg(F.sum("t"), F.sum("_mw")).first()
+    size = max(block_tokens, -(-(all_tokens or 0) // max_blocks))
+    sources = positive.select(
+        "_mk",
+        F.greatest(F.lit(1), F.round(F.col("_mw") / F.lit(all_weight or 1.0) * UNITS).cast("long")).alias("_mu"),
+        F.greatest(F.lit(1), F.ceil(F.col("t") / size)).cast("long").alias("_mb"),
     )
-    if inner is None:
-        last = F.broadcast(spark.createDataFrame([(s, b - 1) for s, b in blocks.items()], "_mk string, _ml long"))
-    else:
-        last = known.select("_mk", (F.col("_mb") - 1).alias("_ml"))
-    inside = Window.partitionBy("_mk", "_mr").orderBy("_mh", id_col, "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    sources = materialize(sources, "mix-sources")
+
+    before = Window.partitionBy("_mk").orderBy("_mr").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_mk", "_mr", F.coalesce(F.sum("_mt").over(before), F.lit(0)).alias("_ms"))
+    starts = join_small(starts, sources.select("_mk", (F.col("_mb") - 1).alias("_ml")), "_mk")
+    inside = Window.partitionBy("_mk", "_mr").orderBy("_mh", "_mi", "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         keyed.withColumn("_mr", range_of(F.col("_mh")))
-        .join(starts.select("_mk", "_mr", "_mb"), ["_mk", "_mr"])
-        .withColumn("mix_offset", F.col("_mb") + F.coalesce(F.sum("mix_tokens").over(inside), F.lit(0)))
-        .join(last, "_mk")
-        .withColumn("mix_block", F.least(F.floor(F.col("mix_offset") / block_tokens), F.col("_ml")))
+        .join(starts, ["_mk", "_mr"])
+        .withColumn("mix_offset", F.col("_ms") + F.coalesce(F.sum("mix_tokens").over(inside), F.lit(0)))
+        .withColumn("mix_block", F.least(F.floor(F.col("mix_offset") / size), F.col("_ml")).cast("long"))
     )
-    # Who is scheduled, with which of its blocks: the source, or its group.
-    if inner is None:
-        placed = placed.withColumns({"_mg": F.col("_mk"), "_mp": F.col("mix_block")})
-    else:
-        placed = placed.join(inner, ["_mk", "mix_block"], "left").withColumns({"_mg": F.coalesce("_mg", "_mk"), "_mp": F.coalesce("_mp", "mix_block")})
-    placed = placed.join(F.broadcast(plan.withColumnRenamed("_mk", "_pk")), (F.col("_mg") == F.col("_pk")) & (F.col("_mp") >= F.col("_ma")) & (F.col("_mp") < F.col("_me")))
-    k, a = F.col("_mp") - F.col("_ma"), F.size("_mx")
-    slot = F.col("_mf") + F.floor(k / a) * F.col("_mz") + F.element_at("_mx", (k % a + 1).cast("int"))
-    return placed.select(*cols, "mix_tokens", F.col("mix_block").cast("long"), "mix_phase", slot.cast("long").alias("mix_slot"), F.col("mix_offset").cast("long"))
+    placed = join_small(placed, schedule(sources), ["_mk", "mix_block"])
+    row = [F.col("_row").getField(c).alias(c) for c in cols]
+    return placed.select(*row, "mix_tokens", "mix_block", "mix_slot", F.col("mix_offset").cast("long").alias("mix_offset"))
