@@ -14,7 +14,8 @@ has, needs nothing more) and written as a run of level 0.  When a level has
 ``fanout`` runs they are merged into one run of the next level: counts add
 up, the largest id stays.  All runs have the same buckets, so joins with them
 move the batch only.  The store is a set of catalog tables named after it; a
-later session that has the tables goes on where the last one stopped.
+later session that has the tables goes on where the last one stopped.  A store
+without a name is scratch space of its session.
 
 Everything is DataFrame functions, run in the JVM.
 
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.plans.joins import join_small
-from tallyfold.session import scratch_path
+from tallyfold.session import delete_path, durable_path, scratch_path, scratch_table
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -91,7 +92,7 @@ class LineRuns:
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
         self.spark, self.min_docs, self.min_chars, self.fanout = spark, min_docs, min_chars, fanout
-        self.name = name or f"tallyfold_lines_{uuid.uuid4().hex[:10]}"
+        self.name, self._own = name or f"tallyfold_lines_{uuid.uuid4().hex[:10]}", name is None
         found = [re.fullmatch(re.escape(self.name) + r"_l(\d+)_r(\d+)", t.name) for t in spark.catalog.listTables()]
         #: (level, number) of every run.
         self.runs: list[tuple[int, int]] = sorted((int(m[1]), int(m[2])) for m in found if m)
@@ -101,6 +102,10 @@ class LineRuns:
     def _table(self, run: tuple[int, int]) -> str:
         return f"{self.name}_l{run[0]}_r{run[1]}"
 
+    def _path(self, run: tuple[int, int]) -> str:
+        name = f"lines/{self._table(run)}"
+        return scratch_path(self.spark, name, unique=False) if self._own else durable_path(self.spark, name)
+
     def run(self, run: tuple[int, int]) -> DataFrame:
         return self.spark.table(self._table(run))
 
@@ -110,7 +115,9 @@ class LineRuns:
         table = self._table(run)
         # Rows come dealt out by hash: a task holds whole buckets.
         writer = rows.write.format("parquet").mode("overwrite").bucketBy(self.n_buckets, *_HASH).sortBy(*_HASH)
-        writer.option("path", scratch_path(self.spark, f"lines/{table}", unique=False)).saveAsTable(table)
+        if self._own:
+            scratch_table(self.spark, table.removeprefix("tallyfold_"), unique=False)
+        writer.option("path", self._path(run)).saveAsTable(table)
         self.runs.append(run)
         return run
 
@@ -156,9 +163,7 @@ class LineRuns:
         self.runs.remove(run)
         self.spark.sql(f"DROP TABLE {self._table(run)}")
         # Tables with a path of their own leave their files.
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(scratch_path(self.spark, f"lines/{self._table(run)}", unique=False))
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(self.spark, self._path(run))
 
     def frequent(self) -> DataFrame:
         """``_h1, _h2, _top`` of every frequent key."""

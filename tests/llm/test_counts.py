@@ -6,6 +6,8 @@ import gzip
 import hashlib
 import random
 import re
+import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -150,6 +152,66 @@ def test_cycle_ends():
     secret_scan.find_secrets(t)
 
 
+def test_secrets_in_every_kind_of_escape():
+    secret = "password=hunter2hunter2"
+    spell = lambda f: "".join(f(c) for c in secret)
+    wide = [secret.encode("utf-16-le"), secret.encode("utf-16-be"), ("é " + secret).encode("utf-16-le"), b"x" + secret.encode("utf-16")]
+    for t in (
+        "%u0070assword=hunter2hunter2",
+        r"\u{70}assword=hunter2hunter2",
+        r"\U00000070assword=hunter2hunter2",
+        "&#112;assword&#x3d;hunter2hunter2",
+        spell(lambda c: f"\\u{ord(c):04x}"),
+        spell(lambda c: f"\\u{{{ord(c):x}}}"),
+        spell(lambda c: f"\\U{ord(c):08x}"),
+        spell(lambda c: f"%u{ord(c):04X}"),
+        spell(lambda c: f"&#{ord(c)};"),
+        "user=a+b&password+%3D+hunter2hunter2",
+        "password+=+hunter2hunter2",
+        *[base64.b64encode(w).decode() for w in wide],
+        *[w.hex() for w in wide],
+    ):
+        text = f"see {t} end"
+        base, spans = secret_scan.find_secrets(text)
+        got = [(a, b) for kind, a, b in spans if kind == "assign"]
+        assert got, t
+        assert all(4 <= a < b <= 4 + len(t) for a, b in got), t
+        assert "hunter2hunter2" not in secret_scan.redact(text, spans)
+    # No character has these numbers: they stay and hide nothing.
+    odd = r"\U00110000 \u{FFFFFF} &#9999999; password=hunter2hunter2"
+    assert [k for k, _, _ in secret_scan.find_secrets(odd)[1]] == ["assign"]
+
+
+def test_secrets_in_data_that_expands_a_thousandfold(monkeypatch):
+    """Nothing is cut off, and one block of a layer is held at a time."""
+    monkeypatch.setattr(secret_scan, "BLOCK", 1 << 20)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1 << 16)
+    fill = b"\0" * (24 << 20)
+    for raw in (zlib.compress(fill + b" password=hunter2hunter2", 9), gzip.compress(fill + b"token:abcdefgh1 ", 9)):
+        assert len(raw) * 900 < len(fill)
+        t = "a " + base64.b64encode(raw).decode() + " z"
+        tracemalloc.start()
+        _, spans = secret_scan.find_secrets(t)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert any(k == "assign" and 2 <= a < b <= len(t) - 2 for k, a, b in spans)
+        assert peak < 10 * secret_scan.BLOCK < len(fill)
+
+
+def test_blocks_of_unpacked_data_hide_nothing_at_their_borders(monkeypatch):
+    monkeypatch.setattr(secret_scan, "BLOCK", 4000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 300)
+    noise = random.Random(3)
+    secret = b"password=hunter2hunter2"
+    inner = base64.b64encode(b"x" * 20 + secret + b"y" * 40)
+    for at in [*range(3650, 4050, 7), 7399, 7701]:
+        fill = bytes(noise.choice(b"abc def ghi jkl\n") for _ in range(9000))
+        for hidden in (b" " + secret + b" ", b" " + inner + b" "):
+            raw = gzip.compress(fill[:at] + hidden + fill[at:])
+            t = f"q {raw.hex()} q"
+            assert [k for k, _, _ in secret_scan.find_secrets(t)[1] if k == "assign"], at
+
+
 def test_scan_secrets_frame(session, docs, empty):
     got = {r.doc_id: r for r in secret_scan.scan_secrets(docs).collect()}
     assert len(got) == docs.select("doc_id").distinct().count()

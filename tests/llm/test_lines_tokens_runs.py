@@ -80,7 +80,8 @@ def test_line_runs_are_levelled_and_reopened(session):
     assert sorted(map(tuple, again.drop_lines(df).collect()), key=str) == brute_lines(rows)
     keys = again.run(again.runs[0])
     assert keys.count() == keys.select("_h1", "_h2").distinct().count()
-    assert session.catalog.listTables(pattern=f"{name}*")[0].name == f"{name}_l2_r{again.runs[0][1]}"
+    assert [t.name for t in session.catalog.listTables(pattern=f"{name}*")] == [f"{name}_l2_r{again.runs[0][1]}"]
+    session.sql(f"DROP TABLE {name}_l2_r{again.runs[0][1]}")
 
 
 def test_settled_keys_are_not_stored_again(session):
