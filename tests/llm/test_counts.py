@@ -408,3 +408,85 @@ def test_temperature_lowers_the_loss():
 
 def test_digest_of_no_span():
     assert hashlib.sha256(secret_scan.join_spans([]).encode()).hexdigest().startswith("e3b0c442")
+
+
+def _order_of(a, b, pairs):
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
+
+
+def _longest(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+def test_alignment_cannot_be_extended():
+    """No equal words are left between two neighbouring pairs; with words that
+    occur once it is the longest alignment there is."""
+    rng = random.Random(12)
+    for _ in range(300):
+        a, b = ([rng.choice("abcdefgh"[: rng.randrange(2, 9)]) for _ in range(rng.randrange(0, 14))] for _ in range(2))
+        pairs = licenses.align(a, b)
+        _order_of(a, b, pairs)
+        ends = [(-1, -1), *pairs, (len(a), len(b))]
+        for (i, j), (k, m) in zip(ends, ends[1:]):
+            assert not set(a[i + 1 : k]) & set(b[j + 1 : m])
+        assert len(pairs) <= _longest(a, b)
+    for _ in range(200):
+        a, b = (rng.sample("abcdefghijklmnop", rng.randrange(0, 16)) for _ in range(2))
+        pairs = licenses.align(a, b)
+        _order_of(a, b, pairs)
+        assert len(pairs) == _longest(a, b)
+
+
+def test_every_place_of_a_template_is_found(session):
+    rng = random.Random(5)
+    isc, filler = licenses.TEMPLATES["ISC"], lambda n: " ".join(f"q{rng.randrange(10**6)}" for _ in range(n))
+    rows = [
+        (1, f"{isc} {filler(50)} {isc}"),
+        (2, f"{filler(7)} {isc} {isc} {isc} {filler(3)} {licenses.TEMPLATES['BSD-2-Clause']} {filler(9)}"),
+        (3, filler(500)),
+        (4, f"{licenses.TEMPLATES['AGPL-3.0 header']} {licenses.TEMPLATES['LGPL-2.1 header']} {licenses.TEMPLATES['Unlicense']}"),
+    ]
+    got = {r.doc_id: r for r in licenses.scan_licenses(session.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(licenses.words_of(isc))
+    places = {i: [(x.license, x.start_word, x.end_word) for x in r.licenses if x.coverage > 0.99] for i, r in got.items()}
+    assert places[1] == [("ISC", 0, n), ("ISC", n + 50, 2 * n + 50)]
+    assert places[2][-3:] == [("ISC", 7 + n * k, 7 + n * (k + 1)) for k in range(3)]
+    assert [x[0] for x in places[2][:-3]] == ["BSD-2-Clause"]
+    assert places[3] == [] and got[3].license is None
+    # (All words of the GPL's header stand in the Affero one as well.)
+    assert {x[0] for x in places[4]} - {"GPL-3.0 header"} == {"AGPL-3.0 header", "LGPL-2.1 header", "Unlicense"}
+    # Words put between others: as many as asked for.
+    template = licenses.words_of(isc)
+    apart = [x for w in template for x in (w, f"z{rng.randrange(10**6)}", "q1")]
+    assert licenses.all_matches(apart, template, 0.8) == []
+    assert licenses.all_matches(apart, template, 0.8, spread=3.0)[0][0] == 1.0
+
+
+def test_places_equal_a_search_of_all_windows():
+    """Brute force: the window at every template word, the best first, then both sides."""
+    rng = random.Random(9)
+
+    def brute(words, template, a, b):
+        hits = []
+        for s in (s for s in range(a, b) if words[s] in template):
+            pairs = licenses.align(words[s : min(b, s + 2 * len(template))], template)
+            if len(pairs) >= 0.8 * len(template):
+                hits.append((-len(pairs), s + pairs[0][0], s + pairs[-1][0] + 1))
+        if not hits:
+            return []
+        got = min(hits, key=lambda h: h[0])  # of equal ones the earliest window's
+        return [*brute(words, template, a, got[1]), got, *brute(words, template, got[2], b)]
+
+    for _ in range(40):
+        template = [rng.choice("abcdefghij") for _ in range(rng.randrange(4, 9))]
+        words = [rng.choice("abcdefghijkl") for _ in range(rng.randrange(0, 40))]
+        for _ in range(rng.randrange(0, 3)):
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = [w for w in template if rng.random() < 0.95]
+        want = [(-n / len(template), s, e) for n, s, e in brute(words, template, 0, len(words))]
+        assert licenses.all_matches(words, template, 0.8) == want
