@@ -89,9 +89,13 @@ class _Grams:
             self.count[k] = np.bincount(index[ends], minlength=len(self.keys[k]))
 
 
-def _sorted(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of keys by value, and the bounds of each bucket in it."""
-    return np.argsort(keys), np.concatenate([[0], np.cumsum(np.bincount(bucket_of(keys, buckets), minlength=buckets))])
+def _sorted(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, dict[int, tuple[int, int]]]:
+    """The order of keys by value, and the range of each bucket that has some:
+    the work follows the keys, however many buckets there are."""
+    order = np.argsort(keys)
+    present, first = np.unique(bucket_of(keys[order], buckets), return_index=True)
+    stops = [*first[1:].tolist(), len(keys)]
+    return order, {b: (lo, hi) for b, lo, hi in zip(present.tolist(), first.tolist(), stops)}
 
 
 def _counts(chunks: DataFrame, buckets: int, bits: int) -> DataFrame:
@@ -103,13 +107,11 @@ def _counts(chunks: DataFrame, buckets: int, bits: int) -> DataFrame:
             for row in batch.to_pylist():
                 g, rows = _Grams(row), []
                 for k in ORDERS:
-                    order, bounds = _sorted(g.keys[k], buckets)
+                    order, ranges = _sorted(g.keys[k], buckets)
                     keys, count = g.keys[k][order], g.count[k][order].astype("<u4")
-                    for b in range(buckets):
-                        lo, hi = bounds[b], bounds[b + 1]
-                        if lo < hi:
-                            n = zstandard.compress(count[lo:hi].tobytes(), 1)
-                            rows.append((k, b, row["_chunk"], row["_part"], pack_sorted(keys[lo:hi] >> low), n))
+                    for b, (lo, hi) in ranges.items():
+                        n = zstandard.compress(count[lo:hi].tobytes(), 1)
+                        rows.append((k, b, row["_chunk"], row["_part"], pack_sorted(keys[lo:hi] >> low), n))
                 kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["_k", "_b", "_chunk", "_part", "_keys", "_n"]
@@ -153,8 +155,8 @@ def _returned(g: _Grams, totals: pa.Table, buckets: int, column: str) -> dict[in
     out = {k: np.zeros(len(g.keys[k]), np.int64) for k in ORDERS}
     cuts = {k: _sorted(g.keys[k], buckets) for k in ORDERS}
     for k, b, blob in zip(*(totals.column(c).to_pylist() for c in ("_k", "_b", column))):
-        order, bounds = cuts[k]
-        out[k][order[bounds[b] : bounds[b + 1]]] = np.frombuffer(zstandard.decompress(blob), "<u8").astype(np.int64)
+        order, ranges = cuts[k]
+        out[k][order[slice(*ranges[b])]] = np.frombuffer(zstandard.decompress(blob), "<u8").astype(np.int64)
     return out
 
 

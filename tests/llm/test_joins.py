@@ -186,6 +186,47 @@ def test_lm_probabilities_sum_to_one(session):
     assert p[("a", "b")] > p[("a", "zzz")] and known
 
 
+def test_lm_scores_equal_brute_force(session, docs, corpus):
+    """Every count, estimate and context in plain Python; only the fit of the
+    mixture weights is the operator's (it has a test of its own)."""
+    texts = {i: ["<0>", "<1>", *words((t or "").translate(LOWER)), "<e>"] for i, t in corpus}
+    grams = lambda x, k: [tuple(x[e - k + 1 : e + 1]) for e in range(k - 1, len(x))]
+    fold = {i: zlib.crc32(str(i).encode()) % 7 for i in texts}
+    rows = [i for i, _ in corpus]  # ids are distinct here
+    train, out = [i for i in rows if fold[i] != 2], [i for i in rows if fold[i] == 3]
+    count = lambda ids: {k: Counter(g for i in ids for g in grams(texts[i], k)) for k in (1, 2, 3)}
+    every, deleted = count(train), count(out)
+    size = lambda ids: sum(len(texts[i]) - 2 for i in ids)
+    total, distinct = size(train), len(every[1]) - 2
+
+    def estimate(x, e, c, n):
+        own = [c[k][tuple(x[e - k + 1 : e + 1])] for k in (1, 2, 3)]
+        seen = [n, c[1][(x[e - 1],)], c[2][tuple(x[e - 2 : e])]]
+        level = lambda v: min(int(math.log2(max(v, 1))), lm._FREQUENCIES - 1)
+        context = 1 + lm._FREQUENCIES + level(seen[2]) if seen[2] > 0 else 1 + level(seen[1]) if seen[1] > 0 else 0
+        return context, [a / b if b > 0 else 0.0 for a, b in zip(own, seen)]
+
+    cells = defaultdict(lambda: [0.0] * 4)
+    rest = {k: every[k] - deleted[k] for k in (1, 2, 3)}
+    for i in out:
+        for e in range(2, len(texts[i])):
+            context, p = estimate(texts[i], e, rest, total - size(out))
+            logs = [math.log2(max(v, 2.0**-60)) for v in p]
+            cell = context
+            for v, g in zip(p, logs):
+                cell = cell * lm.LEVELS + (min(math.floor(-g), lm.LEVELS - 2) if v > 0 else lm.LEVELS - 1)
+            cells[cell] = [x + y for x, y in zip(cells[cell], [1.0, *logs])]
+    lam = lm.learn_weights([(c, *v) for c, v in sorted(cells.items())], 1 / (distinct + 1))
+    got = {r.doc_id: r for r in lm.score_texts(docs, bucket_keys=40, chunk_bytes=3000).collect()}
+    assert len(got) == len(rows)
+    for i, x in texts.items():
+        want = 0.0
+        for e in range(2, len(x)):
+            context, p = estimate(x, e, every, total)
+            want += math.log10(lam[context, 0] / (distinct + 1) + sum(a * b for a, b in zip(lam[context, 1:], p)))
+        assert got[i].score == pytest.approx(want, rel=1e-6)
+
+
 def test_lm_weights_by_em():
     rng = np.random.default_rng(0)
     # One context; a token is explained by the bigram estimate in 70 %.
