@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.components import components
 from tallyfold.llm.text import (
-    bucket_of, hash_words, mix, pack48, parts_by, slices, split_words, text_bytes, texts, unpack48, windows, word_ids,
+    bucket_of, hash_words, mix, pack48, slices, split_words, text_bytes, texts, unpack48, windows, word_ids,
 )
 from tallyfold.session import materialize
 
@@ -113,15 +113,17 @@ def _segments(docs: DataFrame, n: int, fragments: int, text_col: str) -> DataFra
                 keys = np.concatenate(list(sets.values()))
                 size = np.array([len(k) for k in sets.values()], np.int64)
                 owner = np.repeat(np.arange(len(who)), size)
-                order, bounds = parts_by(bucket_of(keys, fragments), fragments)
+                # Fragments that have some: the work follows the shingles,
+                # however many fragments there are.
+                fragment = bucket_of(keys, fragments)
+                order = np.argsort(fragment, kind="stable")
                 keys, owner = keys[order], owner[order]
+                present, starts = np.unique(fragment[order], return_index=True)
                 rows = []
-                for f in range(fragments):
-                    lo, hi = bounds[f], bounds[f + 1]
-                    if lo < hi:
-                        there, first = np.unique(owner[lo:hi], return_index=True)
-                        counts = np.diff(np.append(first, hi - lo)).astype("<u4")
-                        rows.append((f, who[there].astype("<i8").tobytes(), counts.tobytes(), pack48(keys[lo:hi])))
+                for f, lo, hi in zip(present.tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                    there, first = np.unique(owner[lo:hi], return_index=True)
+                    counts = np.diff(np.append(first, hi - lo)).astype("<u4")
+                    rows.append((f, who[there].astype("<i8").tobytes(), counts.tobytes(), pack48(keys[lo:hi])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
                     ["_f", "_who", "_n", "_keys"],
