@@ -117,6 +117,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
         at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def existing_files(spark: SparkSession, path: str) -> list[str]:
+    """The files right below a folder, whatever store it is in; none if there is
+    no such folder."""
+    sc = _context(spark)
+    if sc is None:
+        raise RuntimeError("listing a folder needs a SparkContext")
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in store.listStatus(at)] if store.exists(at) else []
+
+
 def on_drop(forget: Callable[[SparkSession], None]) -> None:
     """Have ``forget`` called by :func:`drop_scratch`: for memos of what was
     written."""
