@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import contamination, jaccard, mixing, rules, secret_scan
-from tallyfold.session import materialize, ship_package
+from tallyfold.session import durable_path, existing_files, materialize, ship_package
 from tallyfold.sources.tables import read_table
 
 
@@ -60,9 +60,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, resume: str | None = None) -> DataFrame:
+    """All stages over ``documents``.  With a name to ``resume`` by, each
+    finished stage is kept under that name in the shared folder: a run that
+    was broken off, run again with the same name, begins with the first stage
+    that is not whole.  (A name belongs to one input.)"""
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        label = f"pipeline-{name.replace(' ', '-')}"
+        if resume is None:
+            docs = materialize(stage(spark, docs, sf_dir), label)
+            continue
+        path = durable_path(spark, f"pipelines/{resume}/{k}-{label}")
+        # The writer puts the mark of success last.
+        if not any(f.endswith("/_SUCCESS") for f in existing_files(spark, path)):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -1,6 +1,7 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
 import random
+import uuid
 from collections import Counter
 
 import pytest
@@ -74,3 +75,29 @@ def test_keep_one_with_repeated_rows_nulls_and_empty(session, empty):
     assert jaccard.keep_one(empty).count() == 0
     for name, stage in corpus_pipeline.STAGES[3:]:
         assert stage(session, empty, "").count() == 0, name
+
+
+def test_a_broken_run_goes_on_where_it_stopped(session, folder, monkeypatch):
+    path, *_ = folder
+    calls, broken = Counter(), [True]
+
+    def counted(name, stage):
+        def run(spark, docs, sf_dir):
+            calls[name] += 1
+            if name == "secret scans" and broken[0]:
+                raise RuntimeError("lost")
+            return stage(spark, docs, sf_dir)
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, counted(n, f)) for n, f in corpus_pipeline.STAGES])
+    name = f"test-{uuid.uuid4().hex[:8]}"
+    with pytest.raises(RuntimeError, match="lost"):
+        corpus_pipeline.run(session, path, resume=name)
+    broken[0] = False
+    got = corpus_pipeline.run(session, path, resume=name)
+    assert calls == {"quality rules": 1, "n-gram Jaccard join": 1, "benchmark decontamination": 1, "secret scans": 2, "source mixing": 1}
+    rows = lambda df: Counter((r.doc_id, r.text, r.mix_slot, r.mix_offset) for r in df.collect())
+    assert rows(got) == rows(corpus_pipeline.run(session, path, resume=name))
+    assert sum(calls.values()) == 6  # all stages read back
+    assert rows(got) == rows(corpus_pipeline.run(session, path))
