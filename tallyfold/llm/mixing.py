@@ -129,6 +129,11 @@ def n_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
+def _unused(taken: list[str], names: list[str]) -> list[str]:
+    """The names, made longer where a column has them already."""
+    return [next(n for k in range(len(taken) + 1) if (n := "_" * k + name) not in taken) for name in names]
+
+
 def mix_sources(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
@@ -146,20 +151,17 @@ def mix_sources(
     source's target is its token total to the power ``smoothing``."""
     spark = docs.sparkSession
     cols = [c for c in docs.columns if c not in _OUT]  # an earlier mix is replaced
-    # All columns of the input travel in one, so no name can clash.
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
-        F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("_mk"),
-        n_tokens(F.col(text_col)).alias("mix_tokens"),
-        F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), 1).alias("_mh"),
-        F.col(id_col).alias("_mi"),
-    )
+    key, part, hashed, start, last = _unused(docs.columns, ["_mk", "_mr", "_mh", "_ms", "_ml"])
+    keyed = docs.withColumns({
+        key: F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))),
+        "mix_tokens": n_tokens(F.col(text_col)),
+        hashed: F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), 1),
+    })
     n_rows = docs.select(F.lit(1)).count()
     ranges = max(1, -(-n_rows // range_rows))
     # Ranges of the hash's 31 high bits, so ranges follow the hash order.
     range_of = lambda h: F.shiftright(F.shiftright(h, 32) * F.lit(ranges), 31)
-    light = keyed.select("_mk", "mix_tokens", "_mh")
-    sums = light.groupBy("_mk", range_of(F.col("_mh")).alias("_mr")).agg(F.sum("mix_tokens").alias("_mt"))
+    sums = keyed.groupBy(F.col(key).alias("_mk"), range_of(F.col(hashed)).alias("_mr")).agg(F.sum("mix_tokens").alias("_mt"))
     sums = materialize(sums, "mix-sums")
     totals = sums.groupBy("_mk").agg(F.sum("_mt").alias("t"))
     if weights is None:
@@ -182,13 +184,13 @@ def mix_sources(
     before = Window.partitionBy("_mk").orderBy("_mr").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("_mk", "_mr", F.coalesce(F.sum("_mt").over(before), F.lit(0)).alias("_ms"))
     starts = join_small(starts, sources.select("_mk", (F.col("_mb") - 1).alias("_ml")), "_mk")
-    inside = Window.partitionBy("_mk", "_mr").orderBy("_mh", "_mi", "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select(*[F.col(a).alias(b) for a, b in (("_mk", key), ("_mr", part), ("_ms", start), ("_ml", last))])
+    inside = Window.partitionBy(key, part).orderBy(hashed, id_col, "mix_tokens").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        keyed.withColumn("_mr", range_of(F.col("_mh")))
-        .join(starts, ["_mk", "_mr"])
-        .withColumn("mix_offset", F.col("_ms") + F.coalesce(F.sum("mix_tokens").over(inside), F.lit(0)))
-        .withColumn("mix_block", F.least(F.floor(F.col("mix_offset") / size), F.col("_ml")).cast("long"))
+        keyed.withColumn(part, range_of(F.col(hashed)))
+        .join(starts, [key, part])
+        .withColumn("mix_offset", (F.col(start) + F.coalesce(F.sum("mix_tokens").over(inside), F.lit(0))).cast("long"))
+        .withColumn("mix_block", F.least(F.floor(F.col("mix_offset") / size), F.col(last)).cast("long"))
     )
-    placed = join_small(placed, schedule(sources), ["_mk", "mix_block"])
-    row = [F.col("_row").getField(c).alias(c) for c in cols]
-    return placed.select(*row, "mix_tokens", "mix_block", "mix_slot", F.col("mix_offset").cast("long").alias("mix_offset"))
+    placed = join_small(placed, schedule(sources).withColumnRenamed("_mk", key), [key, "mix_block"])
+    return placed.select(*cols, "mix_tokens", "mix_block", "mix_slot", "mix_offset")
