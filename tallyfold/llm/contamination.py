@@ -13,7 +13,9 @@ place the window would have to stand in, which must lie inside the document
 whole window (exact check).  Of a run of windows that occur one after another
 only the first and the last are put out.  Explode, join and check are one
 generated stage, so a document's word array is never copied for a word of it,
-and nothing but the ends of matching runs is shuffled.
+and nothing but the ends of matching runs is shuffled.  A mark after the last
+word of every document matches a row of its own in the joined table: its place
+is the number of words, so documents without hits come out of the same scan.
 
 The window table is broadcast in blocks of at most ``broadcast_bytes``, sized
 from its measured bytes: a larger benchmark takes more passes over the
@@ -39,6 +41,9 @@ BROADCAST_BYTES = 64 << 20
 
 # A word before lower-casing; A-Z becomes a-z, nothing else changes case.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# The mark after the words of a document (no word has this character), and the
+# class of its row.
+_END, _END_CLASS = "\0", -1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,11 +52,20 @@ def words(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Id, a digest that tells rows of one id apart, and the words."""
+    """Id, a digest that tells rows of one id apart, and the words with the end
+    mark."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), F.octet_length(text).alias("_b"), words(F.col(text_col)).alias("_w")
+    marked = F.concat(words(F.col(text_col)), F.array(F.lit(_END)))
+    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), F.octet_length(text).alias("_b"), marked.alias("_w"))
+
+
+def _with_end(table: DataFrame) -> DataFrame:
+    """The window table with the row that the end mark matches."""
+    end = {"_k": F.lit(_END), "_o": F.lit(0), "_c": F.lit(_END_CLASS), "_s": F.lit(0), "_n": F.lit(0), "_t": F.lit(""), "_first": F.lit(_END)}
+    row = table.sparkSession.range(1).select(
+        *[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields]
     )
+    return table.unionByName(row)
 
 
 def item_classes(items: DataFrame, text_col: str, item_col: str) -> DataFrame:
@@ -129,7 +143,7 @@ def contamination(
     strings), ``spans`` (hit word ranges, end exclusive) and the row digest
     columns ``_h``, ``_b``."""
     classes = item_classes(items, item_text_col, item_col)
-    table = prefix_words(docs, classes, window, broadcast_bytes, text_col)
+    table = _with_end(prefix_words(docs, classes, window, broadcast_bytes, text_col))
     keyed = _keyed(docs, text_col, id_col)
     spread = keyed.select("_id", "_h", "_b", F.col("_w").alias("_all"), F.posexplode("_w").alias("_pos", "_word")).withColumn("_wk", F.lower("_word"))
 
@@ -138,14 +152,14 @@ def contamination(
     first = F.col("_prev").isNull() | ~same(F.get("_all", at - 1), F.col("_prev"))
     last = F.col("_next").isNull() | ~same(F.get("_all", at + F.col("_n")), F.col("_next"))
     there = F.concat_ws(" ", F.slice("_all", F.greatest(at, F.lit(0)) + 1, F.col("_n")))
-    fits = (
-        (F.col("_wk") == F.col("_k"))
-        & (at >= 0)
-        & (at + F.col("_n") <= F.size("_all"))
+    window_there = (
+        (at >= 0)
+        & (at + F.col("_n") < F.size("_all"))
         & (F.lower(F.get("_all", at)) == F.col("_first"))
         & same(there, F.col("_t"))
         & (first | last)
     )
+    fits = (F.col("_wk") == F.col("_k")) & ((F.col("_c") == _END_CLASS) | window_there)
     ends = reduce(
         DataFrame.unionByName,
         [
@@ -161,12 +175,19 @@ def contamination(
         F.sort_array(F.collect_list(F.when(F.col("_last"), F.col("_e")))).alias("_es"),
     )
     ranges = F.zip_with("_as", "_es", lambda a, e: F.struct(a.alias("a"), e.alias("e")))
+    end = F.col("_c") == _END_CLASS
     per_doc = (
         runs.select("_id", "_h", "_b", "_c", ranges.alias("_s"))
         .groupBy("_id", "_h", "_b", "_c").agg(F.flatten(F.collect_list("_s")).alias("_s"))
-        .join(classes.select("_c", "_items"), "_c")
+        .join(classes.select("_c", "_items"), "_c", "left")
         .groupBy("_id", "_h", "_b")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_s")))).alias("_s"), F.flatten(F.collect_list("_items")).alias("_i"))
+        .agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(~end, F.col("_s")))))).alias("_s"),
+            F.flatten(F.collect_list("_items")).alias("_i"),
+            # The end's place, once for every row with this id and text.
+            F.max(F.when(end, F.get("_s", F.lit(0)).a)).cast("long").alias("n_words"),
+            F.max(F.when(end, F.size("_s"))).alias("_rows"),
+        )
     )
     # Ranges in order of their starts: join those that touch.
     top = lambda acc: F.try_element_at(acc, F.lit(-1))
@@ -181,19 +202,16 @@ def contamination(
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
+    per_doc = per_doc.select("*", F.explode(F.sequence(F.lit(1), F.col("_rows"))))
     hits = per_doc.select(
-        F.col("_id").alias("_hid"), F.col("_h").alias("_hh"), F.col("_b").alias("_hb"),
-        joined.alias("_s"), F.array_sort(F.transform("_i", lambda x: x.cast("string"))).alias("_i"),
+        "_id", "_h", "_b", "n_words", joined.alias("_s"), F.array_sort(F.transform("_i", lambda x: x.cast("string"))).alias("_i"),
     )
-    sizes = keyed.select("_id", "_h", "_b", F.size("_w").cast("long").alias("n_words"))
-    on = F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_h") == F.col("_hh")) & (F.col("_b") == F.col("_hb"))
-    spans = F.coalesce("_s", F.expr("cast(array() as array<struct<a:int,e:int>>)"))
-    return sizes.join(hits, on, "left").select(
+    return hits.select(
         F.col("_id").alias(id_col),
         "n_words",
-        F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + (s.e - s.a)).alias("n_hit"),
-        F.coalesce("_i", F.expr("cast(array() as array<string>)")).alias("items"),
-        spans.alias("spans"),
+        F.aggregate("_s", F.lit(0).cast("long"), lambda n, s: n + (s.e - s.a)).alias("n_hit"),
+        F.col("_i").alias("items"),
+        F.col("_s").alias("spans"),
         "_h",
         "_b",
     )
