@@ -19,7 +19,7 @@ from tallyfold.operators import activity, cube, cumulate, late, matches, scd, su
 from tallyfold.session import cut_lineage, materialize, scratch_path, scratch_table
 from tallyfold.sources import proxy
 from tallyfold.sources.keyed import KeyedTable
-from tallyfold.sources.tables import partitions_for, read_csv_checked, read_table, write_bucketed
+from tallyfold.sources.tables import buckets_for, read_csv_checked, read_table, write_bucketed
 
 # ------------------------------------------------------- O28 in a stored table
 
@@ -97,7 +97,7 @@ def late_actor_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_join_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O22 over two-level buckets."""
     frames = [proxy.match_details(spark, sf_dir), proxy.matches(spark, sf_dir), proxy.medal_matches_players(spark, sf_dir)]
-    n = max(partitions_for(df) for df in frames)
+    n = buckets_for(*frames)
     out = []
     for name, df in zip(("details", "matches", "kinds"), matches.spread_match_tables(*frames, n)):
         table = scratch_table(spark, f"spread_{name}")

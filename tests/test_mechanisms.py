@@ -12,7 +12,7 @@ from tallyfold.functions.bits import advance_bits, wide_bits, wide_bits_count, w
 from tallyfold.operators import activity, cube, matches, patterns, summaries, surrogate
 from tallyfold.plans.explain import count_nodes
 from tallyfold.session import scratch_path, scratch_table
-from tallyfold.sources.tables import read_csv_checked, table_files, write_bucketed
+from tallyfold.sources.tables import buckets_for, read_csv_checked, table_files, write_bucketed
 
 D = dt.date
 
@@ -231,3 +231,14 @@ def test_bad_csv_lines_are_kept_with_a_reason(spark, tmp_path):
     }
     assert {r.file.rsplit("/", 1)[1] for r in bad.collect()} == {"a.csv"}
     assert good.count() + bad.count() == len(lines) - 1 + 1
+
+
+# ------------------------------------------------------------ size of a bucket
+
+
+def test_a_bucket_keeps_its_size_as_tables_grow(spark):
+    rows_of = lambda n: spark.range(n).selectExpr("id as match_id", "1 as mapid")
+    small, large = rows_of(3_000), rows_of(60_000)
+    assert buckets_for(small, rows=1_000) == 8
+    assert buckets_for(small, large, rows=1_000) == 60  # beyond the 8 shuffle partitions
+    assert buckets_for(rows_of(6_000_000)) == 12
