@@ -10,16 +10,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold import reports
 from tallyfold.functions.bits import wide_bits_count, wide_bits_text
 from tallyfold.operators import activity, cube, cumulate, late, matches, scd, summaries, surrogate
+from tallyfold.plans.sequence import largest_group
 from tallyfold.session import cut_lineage, materialize, scratch_path, scratch_table
 from tallyfold.sources import proxy
 from tallyfold.sources.keyed import KeyedTable
-from tallyfold.sources.tables import buckets_for, read_csv_checked, read_table, write_bucketed
+from tallyfold.sources.tables import BUCKET_ROWS, buckets_for, read_csv_checked, read_table, write_bucketed
 
 # ------------------------------------------------------- O28 in a stored table
 
@@ -181,16 +182,37 @@ def _cube(spark: SparkSession, sf_dir: str) -> str:
     return reports._shared(spark, sf_dir, "cube", files, lambda: _load_cube(spark, sf_dir))
 
 
+def _by_game(details: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Details and games bucketed on the game, once: both loads of the cube then
+    join and group by game in place.  With a game of more than two buckets'
+    rows they stay as they are, for shuffled joins that split it."""
+    if largest_group(details, ["game_id"]) > 2 * BUCKET_ROWS:
+        return details, games
+    n, out = buckets_for(details, games), []
+    for name, df in (("game_details", details), ("games", games)):
+        table = scratch_table(spark := df.sparkSession, name)
+        out.append(write_bucketed(df, table, "game_id", n, path=scratch_path(spark, f"bucketed/{table}", unique=False)))
+    return out[0], out[1]
+
+
+def _before_returns(details: DataFrame, games: DataFrame, season: int) -> DataFrame:
+    """The details as they were before the returns of ``season``: those of
+    earlier games, and of the others the lines with another flag than R."""
+    early = games.where(F.col("season") < season).select("game_id").distinct().withColumn("_early", F.lit(True))
+    # One pass with marks, no union of parts or join by line: a bucketed table
+    # stays in place.
+    kept = F.max(F.col("l_returnflag") != "R").over(Window.partitionBy("game_id", "line_number"))
+    line = F.col("game_id").isNotNull() & F.col("line_number").isNotNull()
+    marked = details.withColumn("_kept", line & F.coalesce(kept, F.lit(False))).join(early, "game_id", "left")
+    return marked.where(F.col("_early").isNotNull() | F.col("_kept")).select(*[c for c in details.columns if c != "l_returnflag"])
+
+
 def _load_cube(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "cube")
-    games, details = proxy.games(spark, sf_dir), proxy.game_details(spark, sf_dir)
+    flagged, games = _by_game(proxy.game_details(spark, sf_dir, "l_returnflag"), proxy.games(spark, sf_dir))
     season = games.agg(F.max("season")).first()[0]
-    returned = read_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "R").select(F.col("l_orderkey").alias("game_id"), F.col("l_linenumber").alias("line_number"))
-    early = games.where(F.col("season") < season).select("game_id")
-    first = details.join(early, "game_id", "left_semi").unionByName(
-        details.join(early, "game_id", "left_anti").join(returned, ["game_id", "line_number"], "left_semi").select(*details.columns)
-    )
-    cube.load_seasons(path, first, games)
+    details = flagged.drop("l_returnflag")
+    cube.load_seasons(path, _before_returns(flagged, games, season), games)
     cube.load_seasons(path, details, games.where(F.col("season") == season))
     return path
 

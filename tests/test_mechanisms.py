@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from support import rows
 
+from tallyfold import maintained
 from tallyfold.functions.bits import advance_bits, wide_bits, wide_bits_count, wide_bits_text
 from tallyfold.operators import activity, cube, matches, patterns, summaries, surrogate
-from tallyfold.plans.explain import count_nodes
+from tallyfold.plans.explain import count_nodes, plan_text
 from tallyfold.session import scratch_path, scratch_table
 from tallyfold.sources.tables import buckets_for, read_csv_checked, table_files, write_bucketed
 
@@ -242,3 +243,25 @@ def test_a_bucket_keeps_its_size_as_tables_grow(spark):
     assert buckets_for(small, rows=1_000) == 8
     assert buckets_for(small, large, rows=1_000) == 60  # beyond the 8 shuffle partitions
     assert buckets_for(rows_of(6_000_000)) == 12
+
+
+# ------------------------------------------------------ the cube, game by game
+
+
+def test_the_cube_is_made_in_place_from_details_before_returns(spark):
+    rng = random.Random(9)
+    none = lambda v: None if rng.random() < 0.05 else v
+    data = [(none(rng.randrange(40)), rng.randrange(5), none(rng.randrange(3)), none(float(rng.randrange(30))), none(rng.randrange(4)), none(rng.choice("RAN"))) for _ in range(900)]
+    flagged = spark.createDataFrame(data, "game_id int, player_id int, team_id int, pts double, line_number int, l_returnflag string")
+    games = [(none(i), none(2000 + i % 3), D(2000, 1, 1), i % 2) for i in range(38)]
+    games = spark.createDataFrame(games + games[:9], "game_id int, season int, game_date date, home_team_wins int")
+    details = flagged.drop("l_returnflag")
+    early = games.where("season < 2002").select("game_id")
+    other = flagged.where("l_returnflag <> 'R'").select("game_id", "line_number")
+    want = details.join(early, "game_id", "left_semi").unionByName(details.join(early, "game_id", "left_anti").join(other, ["game_id", "line_number"], "left_semi").select(*details.columns))
+    assert rows(maintained._before_returns(flagged, games, 2002)) == rows(want)
+    kept, games = maintained._by_game(flagged, games)
+    first = maintained._before_returns(kept, games, 2002)
+    assert rows(first) == rows(want)
+    for part in (cube.season_cube(first, games), cube.season_wins(first, games)):
+        assert "hashpartitioning(game_id" not in plan_text(part, "simple")
