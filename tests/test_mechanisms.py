@@ -8,12 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 from support import rows
 
-from tallyfold import maintained
+from tallyfold import maintained, reports
 from tallyfold.functions.bits import advance_bits, wide_bits, wide_bits_count, wide_bits_text
 from tallyfold.operators import activity, cube, matches, patterns, summaries, surrogate
 from tallyfold.plans.explain import count_nodes, plan_text
-from tallyfold.session import scratch_path, scratch_table
-from tallyfold.sources.tables import buckets_for, read_csv_checked, table_files, write_bucketed
+from tallyfold.session import scoped_conf, scratch_path, scratch_table
+from tallyfold.sources.tables import buckets_for, partitions_for, read_csv_checked, table_files, write_bucketed
 
 D = dt.date
 
@@ -265,3 +265,18 @@ def test_the_cube_is_made_in_place_from_details_before_returns(spark):
     assert rows(first) == rows(want)
     for part in (cube.season_cube(first, games), cube.season_wins(first, games)):
         assert "hashpartitioning(game_id" not in plan_text(part, "simple")
+
+
+def test_snapshots_have_buckets_for_their_facts(spark):
+    """The planned size of a backfill that joined two tables asks for the most."""
+    years = spark.range(2000, 2003).selectExpr("cast(id as int) as y")
+    keys = spark.range(200_000).withColumnRenamed("id", "k")
+    backfill = keys.crossJoin(years)
+    for name in "abcd":
+        backfill = backfill.crossJoin(spark.range(1).withColumnRenamed("id", name)).drop(name)
+    step = lambda prev: keys.withColumn("y", F.lit(2003))
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": "40"}):
+        snaps = reports._load(spark, "bucket-test", backfill, "y", ["k"], step, facts=keys)
+        assert snaps.count() == 800_000
+        assert partitions_for(backfill) > 8
+        assert len({f.rsplit("_", 1)[1] for f in snaps.where("y = 2001").inputFiles()}) == 8
