@@ -37,8 +37,10 @@ from tallyfold.session import materialize
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20
 
-# A word before lower-casing; A-Z becomes a-z, nothing else changes case.
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# A word before lower-casing; A-Z becomes a-z, nothing else changes case.  The
+# characters between words, all but letters and digits of ASCII's, are listed one
+# by one: Java looks single characters up in one table, ranges it tries in turn.
+_WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,6 +48,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_WORD), F.lit(0))
 
 
+def _key(word: str) -> Column:
+    """What words are joined by, the same for any case: a number, as joins look
+    numbers up without making a row of each."""
+    return F.xxhash64(F.lower(word))
+
+
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """Id, a digest that tells rows of one id apart, and the words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -87,13 +95,14 @@ def _blocks(table: DataFrame, broadcast_bytes: int) -> list[DataFrame]:
 
 
 def prefix_words(docs: DataFrame, classes: DataFrame, window: int, broadcast_bytes: int, text_col: str) -> DataFrame:
-    """One row per window: its rarest word ``_k`` (any case), the word's
-    offset ``_o``, the window and what is beside it.  Windows with a word that
-    no document has are left out."""
+    """One row per window: the hash ``_k`` of its rarest word (any case), the
+    word's offset ``_o``, the window and what is beside it.  Windows with a word
+    that no document has are left out.  (Words of one hash are counted as one:
+    their windows may stay in, or have a prefix less rare than another.)"""
     found = _windows(classes, window)
-    placed = found.select("_c", "_s", F.posexplode("_x").alias("_o", "_p")).withColumn("_k", F.lower("_p"))
+    placed = found.select("_c", "_s", F.posexplode("_x").alias("_o", "_p")).withColumn("_k", _key("_p"))
     vocabulary = materialize(placed.select("_k").distinct(), "window-words")
-    seen = docs.select(F.explode(words(F.col(text_col))).alias("_p")).select(F.lower("_p").alias("_k"))
+    seen = docs.select(F.explode(words(F.col(text_col))).alias("_p")).select(_key("_p").alias("_k"))
     counts = reduce(
         DataFrame.unionByName,
         [seen.join(F.broadcast(b), "_k", "left_semi").groupBy("_k").agg(F.count(F.lit(1)).alias("_n")) for b in _blocks(vocabulary, broadcast_bytes)],
@@ -131,7 +140,7 @@ def contamination(
     classes = item_classes(items, item_text_col, item_col)
     table = prefix_words(docs, classes, window, broadcast_bytes, text_col)
     keyed = _keyed(docs, text_col, id_col)
-    spread = keyed.select("_id", "_h", "_b", F.col("_w").alias("_all"), F.posexplode("_w").alias("_pos", "_word")).withColumn("_wk", F.lower("_word"))
+    spread = keyed.select("_id", "_h", "_b", F.col("_w").alias("_all"), F.posexplode("_w").alias("_pos", "_word")).withColumn("_wk", _key("_word"))
 
     at = F.col("_pos") - F.col("_o")
     same = lambda a, b: F.translate(a, _UPPER, _LOWER).eqNullSafe(b)
